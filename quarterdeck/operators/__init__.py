@@ -4,8 +4,8 @@ from quarterdeck.operators.clean import clean_facts, dedupe_by_key, reference_ye
 from quarterdeck.operators.compare import only_in, two_way_difference
 from quarterdeck.operators.enrich import (
     Lookup,
+    broadcast_if_small,
     label_facts,
-    label_series,
     left_lookup,
     lookup_resolution,
 )
@@ -66,6 +66,7 @@ __all__ = [
     "best_table",
     "best_year",
     "best_year_single",
+    "broadcast_if_small",
     "check",
     "clean_facts",
     "coverage_gaps",
@@ -76,7 +77,6 @@ __all__ = [
     "keep_valid",
     "keyed_value_with_reference",
     "label_facts",
-    "label_series",
     "landing_summary",
     "latest_snapshot",
     "left_lookup",

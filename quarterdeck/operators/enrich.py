@@ -1,9 +1,15 @@
 """Labels for facts out of code tables.
 
 No join here carries a broadcast hint. Spark measures a side before it broadcasts it
-(``spark.sql.autoBroadcastJoinThreshold`` on the estimate when planning, again on the real
-size at run time under adaptive execution) and otherwise shuffles both sides and splits
-skewed partitions, which is the wanted behaviour for a lookup of unknown size.
+(``spark.sql.autoBroadcastJoinThreshold``, on the estimate when planning and again on the
+real size at run time) and otherwise shuffles both sides and splits skewed partitions,
+which is the wanted behaviour for a lookup of unknown size. The one exception is
+`broadcast_if_small`, for a lookup whose estimate is far too high; it measures first.
+
+For the same reason each lookup is joined to the facts as the plain table it is. Resolving
+the lookups on the series table first would look cheaper, but the size estimate of a join is
+the product of its sides: the result would never pass for small, and the facts would be
+shuffled to meet it.
 """
 
 from __future__ import annotations
@@ -13,20 +19,44 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarterdeck.functions import columns_of, series_title, trim_text
 
+SMALL_ROWS, SMALL_BYTES = 500_000, 32 << 20
+
 
 @dataclass(frozen=True)
 class Lookup:
-    """A (code, text) table: ``code`` names the column on both sides."""
+    """A code table. ``code`` names the column on both sides, ``text`` what it adds: a
+    label, or several columns where the table also holds the code of a further lookup."""
 
     table: DataFrame
     code: str
-    text: str
+    text: str | Sequence[str]
+
+    @property
+    def added(self) -> list[str]:
+        return columns_of(self.text)
 
     def rows(self) -> DataFrame:
-        return trim_text(self.table.select(self.code, self.text), self.code)
+        return trim_text(self.table.select(self.code, *self.added), self.code)
+
+
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES
+) -> DataFrame:
+    """``df`` with a broadcast hint if counting shows it to be small, else ``df`` as it is.
+
+    Meant for a lookup derived by aggregation: Spark estimates it at the size of the table
+    it came from, and would shuffle the facts before finding out. The count runs a job.
+    """
+    width = F.lit(8 * len(df.columns))
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(f.name), F.lit(0))
+    size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width.cast("bigint"))).first()
+    return F.broadcast(df) if size[0] <= max_rows and (size[1] or 0) <= max_bytes else df
 
 
 def left_lookup(df: DataFrame, lookup: Lookup) -> DataFrame:
@@ -35,38 +65,34 @@ def left_lookup(df: DataFrame, lookup: Lookup) -> DataFrame:
     return (
         trim_text(df, lookup.code)
         .join(lookup.rows(), lookup.code, "left")
-        .select(*df.columns, lookup.text)
+        .select(*df.columns, *lookup.added)
     )
 
 
-def label_series(series: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
-    """The series table with one text column per lookup."""
-    for lookup in lookups:
-        series = left_lookup(series, lookup)
-    return series
-
-
 def label_facts(
     facts: DataFrame,
     series: DataFrame,
     lookups: Sequence[Lookup],
     key: str | Sequence[str] = "series_id",
     title: str = "series_title",
+    title_of: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Facts with the codes and labels of their series and a title made of the labels.
+    """Facts with the codes of their series, the text of every code, and a title made of
+    the labels ``title_of`` (by default every text column, in the order of the lookups).
 
-    The lookups are resolved on the series table, which is far smaller than the facts; the
-    facts are then joined once. Facts of an unknown series stay, with null labels and an
-    empty title.
+    Facts of an unknown series stay, with null codes and labels and an empty title.
     """
     names = columns_of(key)
-    labelled = label_series(trim_text(series, names), lookups)
-    added = [c for c in labelled.columns if c not in names]
-    return (
-        facts.join(labelled, names, "left")
-        .withColumn(title, series_title([k.text for k in lookups]))
-        .select(*facts.columns, *added, title)
+    added = [c for c in series.columns if c not in names]
+    out = (
+        trim_text(facts, names)
+        .join(trim_text(series, [*names, *added]), names, "left")
+        .select(*facts.columns, *added)
     )
+    for lookup in lookups:
+        out = left_lookup(out, lookup)
+    labels = title_of or [c for lookup in lookups for c in lookup.added]
+    return out.withColumn(title, series_title(labels))
 
 
 def lookup_resolution(df: DataFrame, labels: Sequence[str]) -> DataFrame:

@@ -86,7 +86,7 @@ def reconcile(
 
 def unpublished(listing: DataFrame, landed: DataFrame, name: str = "filename") -> DataFrame:
     """Names that are landed but no longer listed, each once."""
-    return landed.select(name).distinct().join(listing.select(name), name, "left_anti")
+    return landed.select(name).distinct().join(listing.select(name).distinct(), name, "left_anti")
 
 
 def landing_summary(reconciled: DataFrame) -> DataFrame:

@@ -164,4 +164,5 @@ def schema_drift(df: DataFrame, expected: T.StructType) -> DataFrame:
 
 def stale_sources(required: DataFrame, unpublished: DataFrame, name: str = "filename") -> DataFrame:
     """Required files that the source no longer publishes, each once."""
-    return required.select(name).distinct().join(unpublished.select(name), name, "left_semi")
+    gone = unpublished.select(name).distinct()
+    return required.select(name).distinct().join(gone, name, "left_semi")

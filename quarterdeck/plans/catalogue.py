@@ -182,14 +182,12 @@ LABELS = ("r_name", "n_name", "brand_text", "type_text")
 def _labelled(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with the region and nation of their supplier and the brand and type of their
     part. One region is unknown to its lookup; part codes are padded on one side."""
-    part = table(spark, sf_dir, "part")
     nation = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "s_nationkey")
     region = table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
-    suppliers = (
-        table(spark, sf_dir, "supplier")
-        .select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-        .join(nation.select("s_nationkey", "n_regionkey"), "s_nationkey", "left")
+    suppliers = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"
     )
+    part = table(spark, sf_dir, "part")
     parts = part.select(
         F.col("p_partkey").alias("l_partkey"),
         F.concat(F.lit(" "), "p_brand", F.lit("  ")).alias("brand_code"),
@@ -207,20 +205,22 @@ def _labelled(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
         lines,
         suppliers,
         [
+            ops.Lookup(nation, "s_nationkey", ("n_name", "n_regionkey")),
             ops.Lookup(region.where(F.col("r_name") != "ASIA"), "n_regionkey", "r_name"),
-            ops.Lookup(nation, "s_nationkey", "n_name"),
         ],
         "l_suppkey",
-        "supplier_title",
-    )
+    ).drop("series_title")
     labelled = ops.label_facts(
         by_supplier,
         parts,
-        [ops.Lookup(brands, "brand_code", "brand_text"), ops.Lookup(types, "type_code", "type_text")],
+        [
+            ops.Lookup(ops.broadcast_if_small(brands), "brand_code", "brand_text"),
+            ops.Lookup(ops.broadcast_if_small(types), "type_code", "type_text"),
+        ],
         "l_partkey",
-        "part_title",
+        title_of=LABELS,
     )
-    return labelled.select(*lines.columns, *LABELS, series_title(LABELS).alias("series_title"))
+    return labelled.select(*lines.columns, *LABELS, "series_title")
 
 
 def labelled_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,7 +243,11 @@ def delimited_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers, suppliers and nations landed as padded text under padded headers, and
     read back as one table set."""
     root = scratch_path(spark, "delimited")
-    shapes = {"customer": ("c_custkey", "c_name"), "supplier": ("s_suppkey", "s_name"), "nation": ("n_nationkey", "n_name")}
+    shapes = {
+        "customer": ("c_custkey", "c_name"),
+        "supplier": ("s_suppkey", "s_name"),
+        "nation": ("n_nationkey", "n_name"),
+    }
     for name, (key, text) in shapes.items():
         padded = table(spark, sf_dir, name).select(
             F.format_string("%d   ", key).alias(f"{key}      "),

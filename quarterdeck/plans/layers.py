@@ -24,7 +24,6 @@ from quarterdeck.operators import (
     reference_years,
 )
 from quarterdeck.operators.quality import METRICS_SCHEMA
-from quarterdeck.functions import trim_text
 from quarterdeck.sinks import ensure_schema, publish
 from quarterdeck.sources import (
     explode_records,
@@ -102,6 +101,8 @@ class Flow:
         schema = getattr(self.settings, layer)
         counts = None
         if rules:
+            if cluster_by:
+                raise ValueError(f"{name}: rules are counted by the write, which must not shuffle")
             df, counts = observed(df, rules, name)
         table = publish(df, f"{schema}.{name}", comment, {"quality": layer}, cluster_by)
         if counts is not None:
@@ -123,9 +124,7 @@ class Flow:
 
     def silver(self) -> None:
         codes = [code for code, _ in LABELS.values()]
-        series = trim_text(
-            self._read("bronze", "raw_series").select("series_id", *codes, "seasonal")
-        )
+        series = self._read("bronze", "raw_series").select("series_id", *codes, "seasonal")
         lookups = [
             Lookup(self._read("bronze", f"raw_{name}"), code, text)
             for name, (code, text) in LABELS.items()
