@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarterdeck.functions import clean_names
@@ -34,19 +35,26 @@ def read_with_rescue(
     """Typed read under an explicit schema that loses no line.
 
     A line that does not fit keeps the fields that do, and its full text in ``_rescued``;
-    for every other line that column is null. Column pruning is off because a pruned
-    reader skips the fields it does not need and so would not notice a bad one.
+    for every other line that column is null. Lines are parsed whole, as a column: the file
+    reader would parse only the fields a query needs, and so miss bad ones elsewhere. The
+    header is the first line; its copies at the head of other files are skipped as well.
     """
+    lines = spark.read.text(path)
+    header = lines.first()
+    fields = [(f.name, f.dataType.simpleString()) for f in schema.fields] + [(RESCUED, "string")]
+    ddl = ", ".join(f"`{name}` {kind}" for name, kind in fields)
+    options = {
+        "sep": delimiter,
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": RESCUED,
+        "ignoreLeadingWhiteSpace": "true",
+        "ignoreTrailingWhiteSpace": "true",
+    }
+    line = F.col("value")
     return (
-        spark.read.schema(T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType())]))
-        .option("delimiter", delimiter)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", RESCUED)
-        .option("columnPruning", False)
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
-        .csv(path)
+        lines.where((line != F.lit(header[0] if header else "")) & (F.trim(line) != ""))
+        .select(F.from_csv(line, ddl, options).alias("row"))
+        .select("row.*")
     )
 
 
