@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarterdeck.functions import columns_of, last_segment
 from quarterdeck.operators.gaps import with_previous
@@ -125,8 +126,12 @@ def manifest(
     """When each name was first and last seen, and the day it counts as retired: the first
     run after the last sighting, null while the name is still there.
 
-    ``day`` is a date. The calendar of runs is the distinct days over all sightings.
+    ``day`` is a date. The calendar of runs is the distinct days over all sightings; the date
+    type has fewer than four million values, so it is broadcast whatever the sightings hold.
+    Most names share one last day, and would otherwise meet in the same task.
     """
+    if not isinstance(sightings.schema[day].dataType, T.DateType):
+        raise TypeError(f"{day} has to be a date")
     keys = columns_of(names)
     seen = sightings.groupBy(*keys).agg(
         F.min(day).alias("first_seen"), F.max(day).alias("last_seen")
@@ -134,7 +139,8 @@ def manifest(
     runs = with_previous(sightings.select(day).distinct(), day).select(
         F.col(f"previous.{day}").alias("last_seen"), F.col(day).alias("retired_on")
     )
-    return seen.join(runs.where(F.col("last_seen").isNotNull()), "last_seen", "left").select(
+    followed = F.broadcast(runs.where(F.col("last_seen").isNotNull()))
+    return seen.join(followed, "last_seen", "left").select(
         *keys, "first_seen", "last_seen", "retired_on"
     )
 

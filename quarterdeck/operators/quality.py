@@ -120,15 +120,23 @@ def enforce(metrics: DataFrame) -> None:
 
 
 def volume_freshness(
-    df: DataFrame, stamp: str, dataset: str, min_rows: int, not_before: Column
+    df: DataFrame,
+    stamp: str,
+    dataset: str,
+    min_rows: int,
+    not_before: Column,
+    max_rows: int | None = None,
 ) -> DataFrame:
-    """Row count and newest ``stamp`` against their bounds; one row. An empty dataset is
-    not fresh."""
+    """Row count and newest ``stamp`` against their bounds, which are inclusive; one row.
+    An empty dataset is not fresh."""
+    enough = F.col("rows") >= min_rows
+    if max_rows is not None:
+        enough = enough & (F.col("rows") <= max_rows)
     return df.agg(F.count(F.lit(1)).alias("rows"), F.max(stamp).alias("newest")).select(
         F.lit(dataset).alias("dataset"),
         "rows",
         "newest",
-        (F.col("rows") >= min_rows).alias("volume_ok"),
+        enough.alias("volume_ok"),
         F.coalesce(F.col("newest") >= not_before, F.lit(False)).alias("fresh_ok"),
     )
 

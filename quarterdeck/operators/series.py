@@ -55,14 +55,16 @@ def period_totals(
     shuffle, so a series that holds a large share of the facts leaves each map task as a
     handful of rows.
     """
+    names = [*columns_of(series), *columns_of(title), year]
     is_quarter = F.col(period).isin(list(quarters))
     return (
         facts.where(is_quarter | (F.col(period) == annual))
-        .groupBy(*columns_of(series), *columns_of(title), year)
+        .select(*names, is_quarter.alias("__quarter"), F.col(value).alias("__value"))
+        .groupBy(*names)
         .agg(
-            F.sum(F.when(is_quarter, F.col(value))).alias("quarter_total"),
-            F.sum(F.when(~is_quarter, F.col(value))).alias("annual_total"),
-            F.bool_or(is_quarter).alias("has_quarter"),
+            F.sum(F.when(F.col("__quarter"), F.col("__value"))).alias("quarter_total"),
+            F.sum(F.when(~F.col("__quarter"), F.col("__value"))).alias("annual_total"),
+            F.bool_or("__quarter").alias("has_quarter"),
         )
     )
 

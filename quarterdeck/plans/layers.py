@@ -96,15 +96,13 @@ class Flow:
         df: DataFrame,
         comment: str,
         rules: tuple[Rule, ...] = (),
-        cluster_by: tuple[str, ...] = (),
+        sort_by: tuple[str, ...] = (),
     ) -> DataFrame:
         schema = getattr(self.settings, layer)
         counts = None
         if rules:
-            if cluster_by:
-                raise ValueError(f"{name}: rules are counted by the write, which must not shuffle")
             df, counts = observed(df, rules, name)
-        table = publish(df, f"{schema}.{name}", comment, {"quality": layer}, cluster_by)
+        table = publish(df, f"{schema}.{name}", comment, {"quality": layer}, sort_by=sort_by)
         if counts is not None:
             self.metrics += observed_metrics(counts.get, rules, name)
         return table
@@ -135,7 +133,7 @@ class Flow:
             "facts",
             facts,
             "Typed, unique facts with the labels of their series",
-            cluster_by=("series_id", "year", "period"),
+            sort_by=("series_id", "year", "period"),
         )
         years = reference_years(
             self._read("bronze", "raw_population"), {"nation": self.questions.nation}

@@ -41,6 +41,13 @@ gaps AS (
   SELECT year, population, CAST(year - lag(year) OVER (ORDER BY year) AS INTEGER) AS year_gap
   FROM years)"""
 
+KEYED = f"""{FACTS}, {YEARS},
+wanted AS (
+  SELECT l_partkey, year, period, CAST(sum(value) AS DECIMAL(18,2)) AS value
+  FROM facts WHERE l_partkey = 25 AND period = 'Q01' GROUP BY ALL),
+keyed AS (
+  SELECT wanted.*, population FROM wanted LEFT JOIN years ON wanted.year = years.year)"""
+
 AUDIT = f"""WITH {FACTS},
 ruled AS (
   SELECT f.*, r.rule FROM (
@@ -163,11 +170,7 @@ FROM years WHERE year BETWEEN 1996 AND 2000""",
     "reference_years": """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS population
 FROM orders WHERE o_orderstatus = 'F' GROUP BY 1""",
-    "keyed_value_with_reference": f"""WITH {FACTS}, {YEARS},
-wanted AS (
-  SELECT l_partkey, year, period, CAST(sum(value) AS DECIMAL(18,2)) AS value
-  FROM facts WHERE l_partkey = 25 AND period = 'Q01' GROUP BY ALL)
-SELECT wanted.*, population FROM wanted LEFT JOIN years ON wanted.year = years.year""",
+    "keyed_value_with_reference": f"WITH {KEYED} SELECT * FROM keyed",
     "coverage_gaps": f"WITH {GAPS} SELECT * FROM gaps",
     "coverage_gaps_by_key": """
 SELECT user_id, day,
@@ -267,6 +270,7 @@ FROM top10 GROUP BY series_title""",
     "report_trend": f"""WITH {YEARS}
 SELECT year, population, population - lag(population) OVER (ORDER BY year) AS change
 FROM years WHERE year BETWEEN 1996 AND 2000""",
+    "report_value_by_year": f"WITH {KEYED} SELECT year, value, population FROM keyed",
     "highest_series": f"""WITH {BEST}
 SELECT * FROM best WHERE yearly_sum = (SELECT max(yearly_sum) FROM best)""",
     "result_profile": f"""WITH {BEST}

@@ -79,6 +79,8 @@ def test_volume_and_freshness(spark):
     bound = F.lit("2024-01-05").cast("timestamp")
     got = volume_freshness(df, "ts", "d", 3, bound).first()
     assert (got.rows, got.volume_ok, got.fresh_ok) == (2, False, True)
+    assert volume_freshness(df, "ts", "d", 1, bound, max_rows=2).first().volume_ok
+    assert not volume_freshness(df, "ts", "d", 1, bound, max_rows=1).first().volume_ok
     empty = volume_freshness(df.where("false"), "ts", "d", 0, bound).first()
     assert (empty.rows, empty.newest, empty.volume_ok, empty.fresh_ok) == (0, None, True, False)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarterdeck import sources
-from quarterdeck.operators import two_way_difference
+from quarterdeck.operators import dedupe_by_key, two_way_difference
 from quarterdeck.plans import sql_twins
 from quarterdeck.plans.layers import DELIMITED_FILES, DOCUMENT_FILE, Flow, Questions
 from quarterdeck.sinks import clustered, ensure_schema, publish, publish_query
@@ -108,6 +108,13 @@ def test_clustering_splits_a_hot_key(spark):
     assert sum(sizes) == rows and max(sizes) < rows * 0.25
 
 
+def test_sorting_after_dedupe_is_free(spark):
+    df = spark.range(100).select((F.col("id") % 7).alias("k"), "id")
+    kept = dedupe_by_key(df, "k").sortWithinPartitions("k")
+    text = kept._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Sort [") == 2 and text.count("Exchange") == 1
+
+
 def test_stream_ingest_takes_each_file_once(spark, tmp_path):
     source, target, marks = (str(tmp_path / n) for n in ("in", "out", "marks"))
     schema = spark.range(1).schema
