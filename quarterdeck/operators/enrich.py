@@ -39,8 +39,12 @@ class Lookup:
     def added(self) -> list[str]:
         return columns_of(self.text)
 
-    def rows(self) -> DataFrame:
-        return trim_text(self.table.select(self.code, *self.added), self.code)
+    def join_to(self, df: DataFrame, codes: Sequence[str] = ()) -> DataFrame:
+        """``df``, whose codes are trimmed, with the added columns last. Of these, the ones
+        named in ``codes`` are themselves codes and trimmed too."""
+        table = self.table.select(self.code, *self.added)
+        table = trim_text(table, [c for c in table.columns if c == self.code or c in codes])
+        return df.join(table, self.code, "left").select(*df.columns, *self.added)
 
 
 def broadcast_if_small(
@@ -62,11 +66,7 @@ def broadcast_if_small(
 def left_lookup(df: DataFrame, lookup: Lookup) -> DataFrame:
     """Add the lookup's text; rows whose code is unknown keep a null. Blanks around the
     codes are ignored on both sides. Column order is kept, the text comes last."""
-    return (
-        trim_text(df, lookup.code)
-        .join(lookup.rows(), lookup.code, "left")
-        .select(*df.columns, *lookup.added)
-    )
+    return lookup.join_to(trim_text(df, lookup.code))
 
 
 def label_facts(
@@ -89,8 +89,9 @@ def label_facts(
         .join(trim_text(series, [*names, *added]), names, "left")
         .select(*facts.columns, *added)
     )
+    codes = [lookup.code for lookup in lookups]
     for lookup in lookups:
-        out = left_lookup(out, lookup)
+        out = lookup.join_to(out, codes)
     labels = title_of or [c for lookup in lookups for c in lookup.added]
     return out.withColumn(title, series_title(labels))
 

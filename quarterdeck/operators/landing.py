@@ -85,9 +85,13 @@ def reconcile(
     )
 
 
-def unpublished(listing: DataFrame, landed: DataFrame, name: str = "filename") -> DataFrame:
-    """Names that are landed but no longer listed, each once."""
-    return landed.select(name).distinct().join(listing.select(name).distinct(), name, "left_anti")
+def unpublished(
+    listing: DataFrame, landed: DataFrame, name: str = "filename", ordered: bool = False
+) -> DataFrame:
+    """Names that are landed but no longer listed, each once; ``ordered`` sorts them."""
+    listed = listing.select(name).distinct()
+    gone = landed.select(name).distinct().join(listed, name, "left_anti")
+    return gone.orderBy(name) if ordered else gone
 
 
 def landing_summary(reconciled: DataFrame) -> DataFrame:

@@ -435,11 +435,10 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream")
     landed = ingest_available(
         spark,
-        sf_dir,
+        sf_dir + "/{events}.parquet",  # a glob, which may match a file or a folder of files
         f"{root}/events",
         f"{root}/checkpoint",
         table(spark, sf_dir, "events").schema,
-        files="events.parquet",
     )
     return landed.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("events"),

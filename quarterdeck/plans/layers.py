@@ -6,7 +6,10 @@ that loses executors recomputes at most one layer, and no plan spans the whole f
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,18 +19,20 @@ from quarterdeck.operators import (
     best_year,
     clean_facts,
     coverage_gaps,
+    enforce,
     keyed_value_with_reference,
     label_facts,
     observed,
     observed_metrics,
     range_stats,
     reference_years,
+    rule_metrics,
 )
 from quarterdeck.operators.quality import METRICS_SCHEMA
 from quarterdeck.sinks import ensure_schema, publish
 from quarterdeck.sources import (
     explode_records,
-    read_delimited_set,
+    read_delimited,
     read_documents,
     read_table,
 )
@@ -101,6 +106,9 @@ class Flow:
         schema = getattr(self.settings, layer)
         counts = None
         if rules:
+            fatal = [rule for rule in rules if rule.action == "fail"]
+            if fatal:
+                enforce(rule_metrics(df, fatal, name))
             df, counts = observed(df, rules, name)
         table = publish(df, f"{schema}.{name}", comment, {"quality": layer}, sort_by=sort_by)
         if counts is not None:
@@ -110,66 +118,92 @@ class Flow:
     def _read(self, layer: str, name: str) -> DataFrame:
         return read_table(self.spark, name, getattr(self.settings, layer))
 
+    def _together(self, *writes: Callable[[], DataFrame]) -> None:
+        """Submit writes that do not read each other, so that small tables do not wait for
+        the large one."""
+        with ThreadPoolExecutor(len(writes)) as pool:
+            for done in [pool.submit(write) for write in writes]:
+                done.result()
+
+    def _raw_file(self, name: str) -> DataFrame:
+        file = DELIMITED_FILES[name]
+        df = read_delimited(self.spark, f"{self.settings.landing}/series/{file}")
+        rules = FACT_RULES if name == "data" else ()
+        return self._write("bronze", f"raw_{name}", df, f"Landed file {file}", rules)
+
+    def _raw_population(self) -> DataFrame:
+        path = f"{self.settings.landing}/population/{DOCUMENT_FILE}"
+        records = explode_records(read_documents(self.spark, path), "data", RECORD_NAMES)
+        comment = "Landed population records"
+        return self._write("bronze", "raw_population", records, comment, RECORD_RULES)
+
     def bronze(self) -> None:
-        landing = self.settings.landing.rstrip("/")
-        raw = read_delimited_set(self.spark, f"{landing}/series", DELIMITED_FILES)
-        for name, df in raw.items():
-            rules = FACT_RULES if name == "data" else ()
-            self._write("bronze", f"raw_{name}", df, f"Landed file {DELIMITED_FILES[name]}", rules)
-        documents = read_documents(self.spark, f"{landing}/population/{DOCUMENT_FILE}")
-        records = explode_records(documents, "data", RECORD_NAMES)
-        self._write("bronze", "raw_population", records, "Landed population records", RECORD_RULES)
+        self._together(
+            self._raw_population, *(partial(self._raw_file, name) for name in DELIMITED_FILES)
+        )
 
-    def silver(self) -> None:
+    def _facts(self) -> DataFrame:
         codes = [code for code, _ in LABELS.values()]
         series = self._read("bronze", "raw_series").select("series_id", *codes, "seasonal")
         lookups = [
             Lookup(self._read("bronze", f"raw_{name}"), code, text)
             for name, (code, text) in LABELS.items()
         ]
-        facts = label_facts(clean_facts(self._read("bronze", "raw_data")), series, lookups)
-        self._write(
+        return self._write(
             "silver",
             "facts",
-            facts,
+            label_facts(clean_facts(self._read("bronze", "raw_data")), series, lookups),
             "Typed, unique facts with the labels of their series",
             sort_by=("series_id", "year", "period"),
         )
-        years = reference_years(
-            self._read("bronze", "raw_population"), {"nation": self.questions.nation}
+
+    def _population(self) -> DataFrame:
+        records = self._read("bronze", "raw_population")
+        years = reference_years(records, {"nation": self.questions.nation})
+        years = self._write(
+            "silver", "population", years, "Population by year; years may be missing"
         )
-        self._write("silver", "population", years, "Population by year; years may be missing")
-        self._write(
+        return self._write(
             "silver",
             "population_coverage",
-            coverage_gaps(self._read("silver", "population")),
+            coverage_gaps(years),
             "Distance of each year to the previous one present; other than 1 is a hole",
             COVERAGE_RULES,
         )
 
-    def gold(self) -> None:
+    def silver(self) -> None:
+        self._together(self._facts, self._population)
+
+    def _stats(self) -> DataFrame:
         ask = self.questions
-        facts, population = self._read("silver", "facts"), self._read("silver", "population")
-        self._write(
+        return self._write(
             "gold",
             "pop_stats",
-            range_stats(population, ask.start, ask.end),
+            range_stats(self._read("silver", "population"), ask.start, ask.end),
             f"Mean and sample deviation of the population {ask.start}-{ask.end}",
         )
-        self._write(
+
+    def _best_year(self) -> DataFrame:
+        return self._write(
             "gold",
             "best_year",
-            best_year(facts),
+            best_year(self._read("silver", "facts")),
             "Best year per series; quarters, or the annual code where there are none; ties kept",
         )
-        self._write(
-            "gold",
-            "value_pop",
-            keyed_value_with_reference(
-                facts, population, {"series_id": ask.series_id}, ask.period
-            ),
-            f"{ask.series_id} {ask.period} by year with the population where known",
+
+    def _value_pop(self) -> DataFrame:
+        ask = self.questions
+        values = keyed_value_with_reference(
+            self._read("silver", "facts"),
+            self._read("silver", "population"),
+            {"series_id": ask.series_id},
+            ask.period,
         )
+        comment = f"{ask.series_id} {ask.period} by year with the population where known"
+        return self._write("gold", "value_pop", values, comment)
+
+    def gold(self) -> None:
+        self._together(self._stats, self._best_year, self._value_pop)
 
     def run(self) -> DataFrame:
         """Build all layers; returns the rule metrics of the run, also kept as a table."""

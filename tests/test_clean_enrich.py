@@ -106,6 +106,20 @@ def test_labels(spark):
     assert missing == {"sector_name": (4, 2), "class_text": (4, 3)}
 
 
+def test_a_lookup_may_carry_the_code_of_the_next(spark):
+    facts = spark.createDataFrame([(" S1",)], "series_id string")
+    series = spark.createDataFrame([("S1", "7 ")], "series_id string, nation string")
+    nations = spark.createDataFrame([("7", "Chile", " 1 ")], "nation string, name string, region string")
+    regions = spark.createDataFrame([("1", "America")], "region string, region_name string")
+    got = label_facts(
+        facts,
+        series,
+        [Lookup(nations, "nation", ("name", "region")), Lookup(regions, "region", "region_name")],
+        title_of=("region_name", "name"),
+    )
+    assert got.first().series_title == "America, Chile"
+
+
 def test_a_repeated_lookup_code_fans_out(spark):
     facts = spark.createDataFrame([("S1", "A")], "series_id string, x string")
     series = spark.createDataFrame([("S1", "A")], "series_id string, code string")

@@ -125,6 +125,26 @@ def test_stream_ingest_takes_each_file_once(spark, tmp_path):
     assert ingest_available(spark, source, target, marks, schema).count() == 13
 
 
+def test_stream_ingest_of_padded_text(spark, tmp_path):
+    source, target, marks = (tmp_path / n for n in ("in", "out", "marks"))
+    source.mkdir()
+    for n in (1, 2):
+        (source / f"f{n}.txt").write_text(f"series_id  \t  value\nS{n}  \t 1\n")
+    (source / "notes.md").write_text("not data")
+    got = ingest_available(
+        spark,
+        str(source),
+        str(target),
+        str(marks),
+        T.StructType.fromDDL("series_id string, value string"),
+        "csv",
+        files="*.txt",
+        files_per_batch=1,
+        options={"sep": "\t", "header": "true"},
+    )
+    assert sorted(tuple(r) for r in got.collect()) == [("S1  ", " 1"), ("S2  ", " 1")]
+
+
 # --- the layered flow ----------------------------------------------------------------
 
 FILES = {
