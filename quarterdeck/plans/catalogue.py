@@ -112,11 +112,12 @@ def range_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyed_value_with_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One part's annual values; 1998 has no reference and stays with a null."""
     return ops.keyed_value_with_reference(
         fact_totals(spark, sf_dir),
         yearly_orders(spark, sf_dir),
         {"l_partkey": 25},
-        "Q01",
+        ops.ANNUAL,
     )
 
 

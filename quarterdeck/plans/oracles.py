@@ -44,7 +44,7 @@ gaps AS (
 KEYED = f"""{FACTS}, {YEARS},
 wanted AS (
   SELECT l_partkey, year, period, CAST(sum(value) AS DECIMAL(18,2)) AS value
-  FROM facts WHERE l_partkey = 25 AND period = 'Q01' GROUP BY ALL),
+  FROM facts WHERE l_partkey = 25 AND period = 'Q05' GROUP BY ALL),
 keyed AS (
   SELECT wanted.*, population FROM wanted LEFT JOIN years ON wanted.year = years.year)"""
 
