@@ -44,25 +44,20 @@ def keep_valid(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def rule_metrics(df: DataFrame, rules: Sequence[Rule], dataset: str) -> DataFrame:
     """One row per rule: rows seen, passed, failed and dropped. One aggregation for all."""
-    seen = F.count(F.lit(1))
-    counts = df.agg(
-        F.array(
-            *(
-                F.struct(
-                    F.lit(dataset).alias("dataset"),
-                    F.lit(rule.name).alias("rule"),
-                    F.lit(rule.action).alias("action"),
-                    seen.alias("rows"),
-                    F.count_if(rule.holds()).alias("passed"),
-                    F.count_if(~rule.holds()).alias("failed"),
-                    (F.count_if(~rule.holds()) if rule.action == "drop" else F.lit(0).cast("bigint")).alias(
-                        "dropped"
-                    ),
-                )
-                for rule in rules
-            )
-        ).alias("metrics")
-    )
+
+    def line(rule: Rule) -> Column:
+        broken = F.count_if(~rule.holds())
+        return F.struct(
+            F.lit(dataset).alias("dataset"),
+            F.lit(rule.name).alias("rule"),
+            F.lit(rule.action).alias("action"),
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(rule.holds()).alias("passed"),
+            broken.alias("failed"),
+            (broken if rule.action == "drop" else F.lit(0).cast("bigint")).alias("dropped"),
+        )
+
+    counts = df.agg(F.array(*(line(rule) for rule in rules)).alias("metrics"))
     return counts.select(F.inline("metrics"))
 
 

@@ -39,7 +39,8 @@ def test_display(spark):
 
 
 def test_bad_text_becomes_null(spark):
-    df = spark.createDataFrame([(" 12 ", " 1.005 "), ("-", "-"), (None, "x")], "year string, value string")
+    rows = [(" 12 ", " 1.005 "), ("-", "-"), (None, "x")]
+    df = spark.createDataFrame(rows, "year string, value string")
     got = typed_clean(df, ("year", "value"), {"year": "int", "value": "double"}, {"value": 2})
     assert [tuple(r) for r in got.collect()] == [(12, 1.01), (None, None), (None, None)]
 

@@ -13,7 +13,8 @@ from quarterdeck.operators import gaps as gaps_module
 
 
 def test_hole_shows_as_distance(spark):
-    df = spark.createDataFrame([(y, y * 10) for y in (2013, 2014, 2019, 2021)], "year int, population long")
+    rows = [(y, y * 10) for y in (2013, 2014, 2019, 2021)]
+    df = spark.createDataFrame(rows, "year int, population long")
     got = coverage_gaps(df)
     assert got.columns == ["year", "population", "year_gap"]
     assert sorted(tuple(r) for r in got.collect()) == [
@@ -62,7 +63,8 @@ def test_extreme_points(spark):
 
 
 def test_days_by_key_from_repeated_rows(spark):
-    rows = [("u", date(2024, 1, 1)), ("u", date(2024, 1, 1)), ("u", date(2024, 1, 4)), ("v", date(2024, 1, 9)), ("v", None)]
+    days = {"u": (1, 1, 4), "v": (9, None)}
+    rows = [(u, d and date(2024, 1, d)) for u, ds in days.items() for d in ds]
     df = spark.createDataFrame(rows, "user string, day date")
     got = sorted(tuple(r) for r in coverage_gaps_by_key(df, "user", "day").collect())
     assert got == [

@@ -197,7 +197,8 @@ def test_rule_audit_counts(spark):
 
 
 def test_highest_keeps_ties(spark):
-    df = spark.createDataFrame([("a", 2.0), ("b", 2.0), ("c", 1.0), ("d", None)], "k string, yearly_sum double")
+    rows = [("a", 2.0), ("b", 2.0), ("c", 1.0), ("d", None)]
+    df = spark.createDataFrame(rows, "k string, yearly_sum double")
     assert sorted(r.k for r in highest(df).collect()) == ["a", "b"]
 
 

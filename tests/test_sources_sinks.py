@@ -99,10 +99,12 @@ def test_publish_is_idempotent_and_described(spark, tmp_path):
 
 def test_clustering_splits_a_hot_key(spark):
     rows = 30_000
-    df = spark.range(rows).select(F.when(F.col("id") < rows * 0.6, 0).otherwise(F.col("id")).alias("k"), "id")
+    key = F.when(F.col("id") < rows * 0.6, 0).otherwise(F.col("id"))
+    df = spark.range(rows).select(key.alias("k"), "id")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        sizes = [r["count"] for r in clustered(df, "k").groupBy(F.spark_partition_id()).count().collect()]
+        parts = clustered(df, "k").groupBy(F.spark_partition_id()).count()
+        sizes = [r["count"] for r in parts.collect()]
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert sum(sizes) == rows and max(sizes) < rows * 0.25
@@ -170,20 +172,24 @@ FILES = {
 }
 
 
-@pytest.fixture(scope="module")
-def flow(spark, tmp_path_factory):
-    root = tmp_path_factory.mktemp("flow")
+def land(root, files, records):
     (root / "landing/series").mkdir(parents=True)
     (root / "landing/population").mkdir()
-    for name, lines in FILES.items():
+    for name, lines in files.items():
         (root / "landing/series" / DELIMITED_FILES[name]).write_text("\n".join(lines) + "\n")
+    (root / "landing/population" / DOCUMENT_FILE).write_text(json.dumps({"data": records}))
+
+
+def record(year, population, nation="United States"):
+    return {"Nation ID": "01000US", "Nation": nation, "Year": year, "Population": population}
+
+
+@pytest.fixture(scope="module")
+def flow(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("flow")
     years = {2013: 10, 2014: 20, 2015: 30, 2021: 40, None: 50}
-    data = [
-        {"Nation ID": "01000US", "Nation": "United States", "Year": y, "Population": p}
-        for y, p in years.items()
-    ]
-    data.append({"Nation ID": "x", "Nation": "Elsewhere", "Year": 2013, "Population": 1})
-    (root / "landing/population" / DOCUMENT_FILE).write_text(json.dumps({"data": data}))
+    records = [record(y, p) for y, p in years.items()] + [record(2013, 1, "Elsewhere")]
+    land(root, FILES, records)
     settings = Settings(f"{root}/landing", "t_bronze", "t_silver", "t_gold")
     run = Flow(spark, settings, Questions(), str(root))
     metrics = run.run()
@@ -230,3 +236,16 @@ def test_flow_against_sql(flow):
     spark, _, _ = flow
     twin = sql_twins.best_year_sql(spark.read.table("t_silver.facts"))
     assert tuple(two_way_difference(spark.read.table("t_gold.best_year"), twin).first()) == (0, 0)
+
+
+def test_flow_over_empty_facts_and_reference(spark, tmp_path):
+    land(tmp_path, {name: lines[:1] for name, lines in FILES.items()}, [record(None, 1)])
+    settings = Settings(f"{tmp_path}/landing", "e_bronze", "e_silver", "e_gold")
+    metrics = Flow(spark, settings, Questions(), str(tmp_path)).run()
+    assert {r.rule: (r.rows, r.failed) for r in metrics.collect()} == {
+        "non_null_series_id": (0, 0),
+        "non_null_year": (1, 1),
+        "no_year_gap": (0, 0),
+    }
+    assert spark.read.table("e_gold.best_year").count() == 0
+    assert tuple(spark.read.table("e_gold.pop_stats").first()) == (None, None)
