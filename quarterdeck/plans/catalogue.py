@@ -5,7 +5,8 @@ The tables play these roles:
 * facts: line items, unaggregated. A series is a part under one return flag. Flag N reports
   quarters; flag R reports under the annual code only; flag A reports quarters while the
   line status is open and the annual code otherwise, so the mixed case occurs too. The title
-  is made of flag and status, is shared by many series and varies within one.
+  is made of flag and status, is shared by many series and varies within one. It is grouped
+  by its code, the status, and spelled out on the answer: text stays out of the shuffles.
 * annual reference: orders per year, 1998 left out as the year that was never published.
 * landing zone: links of the pages; the https site is the listing, the http site what has
   been landed from its predecessor.
@@ -29,6 +30,7 @@ from quarterdeck.streaming import ingest_available
 from quarterdeck.workspace import Settings, scratch_path
 
 SERIES = ("l_partkey", "l_returnflag")
+TITLE_CODE = "l_linestatus"
 ANNUAL_ONLY, MIXED = "R", "A"
 
 
@@ -40,15 +42,18 @@ def _money(name: str) -> Column:
     return F.col(name).cast("decimal(18,2)").alias(name)
 
 
+def _day(name: str) -> Column:
+    """Dates leave the catalogue as ISO text, which every client reads alike."""
+    return F.col(name).cast("string").alias(name)
+
+
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     annual = (F.col("l_returnflag") == ANNUAL_ONLY) | (
-        (F.col("l_returnflag") == MIXED) & (F.col("l_linestatus") == "F")
+        (F.col("l_returnflag") == MIXED) & (F.col(TITLE_CODE) == "F")
     )
     return table(spark, sf_dir, "lineitem").select(
         *SERIES,
-        F.concat(F.lit("Flag "), "l_returnflag", F.lit(", status "), "l_linestatus").alias(
-            "series_title"
-        ),
+        TITLE_CODE,
         F.year("l_shipdate").alias("year"),
         F.when(annual, F.lit(ops.ANNUAL))
         .otherwise(F.elt(F.quarter("l_shipdate"), *(F.lit(q) for q in ops.QUARTERS)))
@@ -57,6 +62,19 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _titled(df: DataFrame) -> DataFrame:
+    return df.withColumn(
+        "series_title",
+        series_title(
+            [F.concat(F.lit("Flag "), "l_returnflag"), F.concat(F.lit("status "), TITLE_CODE)]
+        ),
+    )
+
+
+def _answer(best: DataFrame) -> DataFrame:
+    return _titled(best).select(*SERIES, "series_title", "year", _money("yearly_sum"))
+
+
 def fact_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The facts with one value per part, year and period."""
     return (
@@ -76,9 +94,7 @@ def yearly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def winners(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.best_year(facts(spark, sf_dir), series=SERIES).withColumn(
-        "yearly_sum", _money("yearly_sum")
-    )
+    return _answer(ops.best_year(facts(spark, sf_dir), series=SERIES, title=TITLE_CODE))
 
 
 # --- time-series answers -------------------------------------------------------------
@@ -89,17 +105,16 @@ def best_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def best_year_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    twin = sql_twins.best_year_sql(facts(spark, sf_dir), SERIES)
+    twin = sql_twins.best_year_sql(_titled(facts(spark, sf_dir)), SERIES)
     return twin.withColumn("yearly_sum", _money("yearly_sum"))
 
 
 def best_year_single(spark: SparkSession, sf_dir: str) -> DataFrame:
-    best = ops.best_year_single(facts(spark, sf_dir), series=SERIES)
-    return best.withColumn("yearly_sum", _money("yearly_sum"))
+    return _answer(ops.best_year_single(facts(spark, sf_dir), series=SERIES, title=TITLE_CODE))
 
 
 def period_rule_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.period_rule_audit(facts(spark, sf_dir), series=SERIES)
+    return ops.period_rule_audit(facts(spark, sf_dir), series=SERIES, title=TITLE_CODE)
 
 
 def equivalence_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +142,7 @@ def coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def coverage_gaps_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("day"))
-    return ops.coverage_gaps_by_key(days, "user_id", "day")
+    return ops.coverage_gaps_by_key(days, "user_id", "day").withColumn("day", _day("day"))
 
 
 # --- cleaning and labels -------------------------------------------------------------
@@ -150,7 +165,7 @@ def dedupe_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", _money("l_quantity")
     )
     unique = ops.dedupe_by_key(lines, ("l_orderkey", "l_linenumber"), [F.desc("l_shipdate")])
-    return unique.withColumn("l_shipdate", F.to_date("l_shipdate"))
+    return unique.withColumn("l_shipdate", F.to_date("l_shipdate").cast("string"))
 
 
 def typed_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -340,7 +355,9 @@ def expect_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def volume_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(F.to_date("ts").alias("day"))
-    return ops.volume_freshness(events, "day", "events", 1, F.lit("2024-02-01").cast("date"))
+    bound = F.lit("2024-02-01").cast("date")
+    report = ops.volume_freshness(events, "day", "events", 1, bound)
+    return report.withColumn("newest", _day("newest"))
 
 
 # --- landing zone --------------------------------------------------------------------
@@ -383,14 +400,15 @@ def _sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def manifest_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.manifest(_sightings(spark, sf_dir), ("user_id", "event_type"))
+    seen = ops.manifest(_sightings(spark, sf_dir), ("user_id", "event_type"))
+    return seen.withColumns({c: _day(c) for c in ("first_seen", "last_seen", "retired_on")})
 
 
 def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
         "event_id", "user_id", "event_type", _money("value"), F.to_date("ts").alias("ingest_date")
     )
-    return ops.latest_snapshot(events)
+    return ops.latest_snapshot(events).withColumn("ingest_date", _day("ingest_date"))
 
 
 # --- reports -------------------------------------------------------------------------

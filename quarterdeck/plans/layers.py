@@ -88,8 +88,12 @@ class Flow:
         settings: Settings,
         questions: Questions = Questions(),
         locations: str | None = None,
+        document_schema: str | None = None,
     ) -> None:
+        """``locations`` is the folder to create the schemas in, the warehouse by default.
+        ``document_schema`` saves the pass that infers the fields of the documents."""
         self.spark, self.settings, self.questions = spark, settings, questions
+        self.document_schema = document_schema
         self.metrics: list[tuple] = []
         for schema in (settings.bronze, settings.silver, settings.gold):
             ensure_schema(spark, schema, f"{locations}/{schema}" if locations else None)
@@ -133,7 +137,8 @@ class Flow:
 
     def _raw_population(self) -> DataFrame:
         path = f"{self.settings.landing}/population/{DOCUMENT_FILE}"
-        records = explode_records(read_documents(self.spark, path), "data", RECORD_NAMES)
+        documents = read_documents(self.spark, path, self.document_schema)
+        records = explode_records(documents, "data", RECORD_NAMES)
         comment = "Landed population records"
         return self._write("bronze", "raw_population", records, comment, RECORD_RULES)
 

@@ -173,11 +173,11 @@ FROM orders WHERE o_orderstatus = 'F' GROUP BY 1""",
     "keyed_value_with_reference": f"WITH {KEYED} SELECT * FROM keyed",
     "coverage_gaps": f"WITH {GAPS} SELECT * FROM gaps",
     "coverage_gaps_by_key": """
-SELECT user_id, day,
+SELECT user_id, CAST(day AS VARCHAR) AS day,
        CAST(day - lag(day) OVER (PARTITION BY user_id ORDER BY day) AS INTEGER) AS gap
 FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events)""",
     "dedupe_by_key": """
-SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS l_shipdate, l_partkey, l_suppkey,
+SELECT l_orderkey, l_linenumber, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate, l_partkey, l_suppkey,
        CAST(l_quantity AS DECIMAL(18,2)) AS l_quantity
 FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
         ORDER BY l_shipdate DESC, l_partkey, l_suppkey, l_quantity) AS place FROM lineitem)
@@ -234,7 +234,7 @@ SELECT 'coverage', 'no_year_gap', 'warn', count(*),
        count(*) FILTER (year_gap IS NULL OR year_gap = 1), count(*) FILTER (year_gap <> 1), 0
 FROM gaps""",
     "volume_freshness": """
-SELECT 'events' AS dataset, count(*) AS rows, max(CAST(ts AS DATE)) AS newest,
+SELECT 'events' AS dataset, count(*) AS rows, CAST(max(CAST(ts AS DATE)) AS VARCHAR) AS newest,
        count(*) >= 1 AS volume_ok, max(CAST(ts AS DATE)) >= DATE '2024-02-01' AS fresh_ok
 FROM events""",
     "listing_links": f"WITH {LINKS} SELECT page_id, position, filename, link FROM links",
@@ -252,12 +252,13 @@ WHERE l.position = 0 AND b.status = 'unpublished'""",
 spans AS (
   SELECT user_id, event_type, min(day) AS first_seen, max(day) AS last_seen
   FROM seen GROUP BY ALL)
-SELECT user_id, event_type, first_seen, last_seen,
-       (SELECT min(day) FROM seen WHERE day > last_seen) AS retired_on
+SELECT user_id, event_type, CAST(first_seen AS VARCHAR) AS first_seen,
+       CAST(last_seen AS VARCHAR) AS last_seen,
+       CAST((SELECT min(day) FROM seen WHERE day > last_seen) AS VARCHAR) AS retired_on
 FROM spans""",
     "latest_snapshot": """
 SELECT event_id, user_id, event_type, CAST(value AS DECIMAL(18,2)) AS value,
-       CAST(ts AS DATE) AS ingest_date
+       CAST(CAST(ts AS DATE) AS VARCHAR) AS ingest_date
 FROM events WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)""",
     "report_top10": f"WITH {TOP10} SELECT * FROM top10",
     "report_best_table": f"""WITH {BEST}

@@ -241,7 +241,9 @@ def test_flow_against_sql(flow):
 def test_flow_over_empty_facts_and_reference(spark, tmp_path):
     land(tmp_path, {name: lines[:1] for name, lines in FILES.items()}, [record(None, 1)])
     settings = Settings(f"{tmp_path}/landing", "e_bronze", "e_silver", "e_gold")
-    metrics = Flow(spark, settings, Questions(), str(tmp_path)).run()
+    fields = "`Nation ID`: string, Nation: string, Year: int, Population: bigint"
+    schema = f"data array<struct<{fields}>>"
+    metrics = Flow(spark, settings, Questions(), str(tmp_path), schema).run()
     assert {r.rule: (r.rows, r.failed) for r in metrics.collect()} == {
         "non_null_series_id": (0, 0),
         "non_null_year": (1, 1),
