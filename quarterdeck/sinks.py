@@ -56,6 +56,8 @@ def publish(
     cluster_by: str | Sequence[str] | None = None,
     sort_by: str | Sequence[str] | None = None,
     partition_by: str | Sequence[str] | None = None,
+    bucket_by: str | Sequence[str] | None = None,
+    buckets: int = 0,
 ) -> DataFrame:
     """Replace ``table`` by the rows of ``df`` and return the table. Re-running converges:
     the table is a function of its inputs alone.
@@ -63,17 +65,24 @@ def publish(
     ``sort_by`` orders the rows inside each file without moving them between files, so that
     a filter on the leading column skips most row groups. It is free where the rows already
     come in that order, as they do out of a de-duplication on the same keys. ``cluster_by``
-    gives whole files a key range, see `clustered`.
+    gives whole files a key range, see `clustered`. ``bucket_by`` files the rows into
+    ``buckets`` by a hash of the columns, one file each, so that a later grouping on them (or
+    on more columns) needs no shuffle; the columns have to spread the rows evenly, as the
+    leading part of a unique key does.
     """
     spark = df.sparkSession
     rows = df
     if cluster_by:
         rows = clustered(df, cluster_by)
+    elif bucket_by:
+        rows = df.repartition(buckets, *columns_of(bucket_by))
     elif sort_by:
         rows = df.sortWithinPartitions(*columns_of(sort_by))
     writer = rows.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*columns_of(partition_by))
+    if bucket_by:
+        writer = writer.bucketBy(buckets, *columns_of(bucket_by)).sortBy(*columns_of(bucket_by))
     writer.saveAsTable(table)
     describe(spark, table, comment, properties)
     return spark.read.table(table)

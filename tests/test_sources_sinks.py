@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarterdeck import sources
-from quarterdeck.operators import dedupe_by_key, two_way_difference
+from quarterdeck.operators import dedupe_by_key, period_totals, two_way_difference
 from quarterdeck.plans import sql_twins
 from quarterdeck.plans.layers import DELIMITED_FILES, DOCUMENT_FILE, Flow, Questions
 from quarterdeck.sinks import clustered, ensure_schema, publish, publish_query
@@ -110,6 +110,21 @@ def test_clustering_splits_a_hot_key(spark):
     assert sum(sizes) == rows and max(sizes) < rows * 0.25
 
 
+def test_buckets_save_the_shuffle_of_a_grouping(spark, tmp_path):
+    ensure_schema(spark, "buck", str(tmp_path / "buck"))
+    df = spark.range(200).select(
+        (F.col("id") % 10).cast("string").alias("series_id"),
+        (F.col("id") / 10).cast("int").alias("year"),
+        F.lit("Q01").alias("period"),
+        F.col("id").cast("double").alias("value"),
+    )
+    table = publish(df, "buck.t", bucket_by=("series_id", "year"), buckets=4)
+    totals = period_totals(table, title=None)
+    assert "Exchange" not in totals._jdf.queryExecution().executedPlan().toString()
+    assert totals.count() == 200
+    assert len(list((tmp_path / "buck" / "t").glob("*.parquet"))) == 4
+
+
 def test_sorting_after_dedupe_is_free(spark):
     df = spark.range(100).select((F.col("id") % 7).alias("k"), "id")
     kept = dedupe_by_key(df, "k").sortWithinPartitions("k")
