@@ -35,7 +35,7 @@ def test_wide_integers_are_refused(spark):
         coverage_gaps(spark.createDataFrame([(1, 1)], "year long, population long"))
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=12, derandomize=True, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(
         st.tuples(st.sampled_from(["a", "b", None]), st.integers(-30, 30)), unique=True, max_size=25
