@@ -11,23 +11,39 @@ from pyspark.sql import types as T
 from quarterdeck.functions import columns_of, trim_text, typed
 
 
+def _orderable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_orderable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _orderable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def dedupe_by_key(
-    df: DataFrame, keys: str | Sequence[str], order: Sequence[str | Column] = ()
+    df: DataFrame,
+    keys: str | Sequence[str],
+    largest: str | Sequence[str] = (),
+    order: Sequence[Column] = (),
 ) -> DataFrame:
-    """One row per key: the first under ``order``, the remaining columns breaking ties, so
-    that a re-run keeps the same row.
+    """One row per key: the one with the largest ``largest`` columns, nulls being smallest,
+    the remaining columns breaking ties in the same sense. A re-run keeps the same row.
 
-    ``row_number() = 1`` is applied by Spark inside each partition before the shuffle; a
-    key with very many copies sends one of them per partition.
+    This is a maximum over whole rows, combined before the shuffle: a key with very many
+    copies sends one row per task. ``order`` gives sort expressions to use instead; then it is
+    ``row_number() = 1``, which Spark also applies inside each partition first.
     """
     names = columns_of(keys)
-    rest = [
-        F.asc_nulls_last(f.name)
-        for f in df.schema.fields
-        if f.name not in names and not isinstance(f.dataType, (T.MapType, T.VariantType))
-    ]
-    choice = [*order, *rest] or [F.lit(1)]
-    ranking = Window.partitionBy(*names).orderBy(*choice)
+    leading = columns_of(largest)
+    rest = [c for c in df.columns if c not in names and c not in leading]
+    ranked = [*leading, *rest]
+    if not ranked:
+        return df.distinct()
+    if not order and all(_orderable(df.schema[c].dataType) for c in ranked):
+        best = df.groupBy(*names).agg(F.max(F.struct(*ranked)).alias("__row"))
+        return best.select(*(c if c in names else F.col(f"__row.{c}") for c in df.columns))
+
+    ties = [F.desc_nulls_last(c) for c in ranked if _orderable(df.schema[c].dataType)]
+    ranking = Window.partitionBy(*names).orderBy(*order, *(ties or [F.lit(1)]))
     return (
         df.withColumn("__place", F.row_number().over(ranking))
         .where(F.col("__place") == 1)
@@ -62,7 +78,7 @@ def clean_facts(
         types={year: "int", value: "double"},
         round_to={value: 2},
     )
-    return dedupe_by_key(clean, (series, year, period), [F.desc_nulls_last(value)])
+    return dedupe_by_key(clean, (series, year, period), value)
 
 
 def reference_years(

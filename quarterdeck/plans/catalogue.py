@@ -162,10 +162,12 @@ def reference_years(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedupe_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", _money("l_quantity")
+        "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity"
+    )
+    unique = ops.dedupe_by_key(lines, ("l_orderkey", "l_linenumber"), "l_shipdate")
+    return unique.withColumns(
+        {"l_shipdate": F.to_date("l_shipdate").cast("string"), "l_quantity": _money("l_quantity")}
     )
-    unique = ops.dedupe_by_key(lines, ("l_orderkey", "l_linenumber"), [F.desc("l_shipdate")])
-    return unique.withColumn("l_shipdate", F.to_date("l_shipdate").cast("string"))
 
 
 def typed_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,10 +240,11 @@ def _labelled(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labelled_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", _money("l_quantity")
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity"
     )
     unique = ops.dedupe_by_key(lines, ("l_orderkey", "l_linenumber"))
-    return _labelled(unique, spark, sf_dir)
+    labelled = _labelled(unique, spark, sf_dir)
+    return labelled.withColumn("l_quantity", _money("l_quantity"))
 
 
 def lookup_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:

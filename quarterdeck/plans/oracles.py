@@ -180,7 +180,8 @@ FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events)""",
 SELECT l_orderkey, l_linenumber, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate, l_partkey, l_suppkey,
        CAST(l_quantity AS DECIMAL(18,2)) AS l_quantity
 FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-        ORDER BY l_shipdate DESC, l_partkey, l_suppkey, l_quantity) AS place FROM lineitem)
+        ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC) AS place
+      FROM lineitem)
 WHERE place = 1""",
     "typed_clean": """
 SELECT p_partkey, p_brand, CASE WHEN p_size > 5 THEN p_size END AS p_size,
@@ -189,7 +190,7 @@ SELECT p_partkey, p_brand, CASE WHEN p_size > 5 THEN p_size END AS p_size,
   SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey,
          CAST(l_quantity AS DECIMAL(18,2)) AS l_quantity
   FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-          ORDER BY l_suppkey, l_partkey, l_quantity) AS place FROM lineitem)
+          ORDER BY l_suppkey DESC, l_partkey DESC, l_quantity DESC) AS place FROM lineitem)
   WHERE place = 1), {LABELLED}
 SELECT *, concat_ws(', ', r_name, n_name, brand_text, type_text) AS series_title FROM labelled""",
     "lookup_resolution": f"""WITH lines AS (SELECT * FROM lineitem), {LABELLED}

@@ -19,6 +19,7 @@ from quarterdeck.operators import (
     label_facts,
     lookup_resolution,
     reference_years,
+    two_way_difference,
     typed_clean,
 )
 
@@ -59,19 +60,44 @@ def test_clean_facts_trims_casts_and_keeps_one_row(spark):
 
 
 def test_dedupe_is_repeatable_and_null_keys_are_one_key(spark):
-    rows = [(1, "b"), (1, "a"), (None, "d"), (None, "c"), (2, None)]
+    rows = [(1, "b"), (1, "a"), (1, None), (None, "d"), (None, "c"), (2, None)]
     df = spark.createDataFrame(rows, "k int, v string")
     for parts in (1, 5):
         got = dedupe_by_key(df.repartition(parts), "k")
-        assert sorted((tuple(r) for r in got.collect()), key=str) == [(1, "a"), (2, None), (None, "c")]
-    first = dedupe_by_key(df, "k", [F.desc_nulls_last("v")])
-    assert {r.k: r.v for r in first.collect()} == {1: "b", 2: None, None: "d"}
+        assert {r.k: r.v for r in got.collect()} == {1: "b", 2: None, None: "d"}
+    first = dedupe_by_key(df, "k", order=[F.asc_nulls_last("v")])
+    assert {r.k: r.v for r in first.collect()} == {1: "a", 2: None, None: "c"}
+
+
+def test_both_ways_to_dedupe_agree(spark):
+    df = spark.range(500).select(
+        (F.pmod(F.xxhash64("id"), F.lit(60))).alias("k"),
+        F.when(F.col("id") % 4 > 0, F.col("id") % 5).alias("a"),
+        F.array((F.col("id") % 7).cast("string")).alias("b"),
+        F.col("id").alias("c"),
+    )
+    one = dedupe_by_key(df, "k", ("b", "a"))
+    same = [F.desc_nulls_last("b"), F.desc_nulls_last("a")]
+    two = dedupe_by_key(df, "k", ("b", "a"), order=same)
+    assert one.columns == two.columns == df.columns
+    assert one.count() == df.select("k").distinct().count()
+    assert tuple(two_way_difference(one, two).first()) == (0, 0)
+
+
+def test_dedupe_with_a_map_or_with_keys_only(spark):
+    rows = [(1, {"a": 1}, 2), (1, {"a": 2}, 3)]
+    df = spark.createDataFrame(rows, "k int, m map<string,int>, v int")
+    assert [r.v for r in dedupe_by_key(df, "k").collect()] == [3]
+    assert dedupe_by_key(df.select("k"), "k").count() == 1
 
 
 def test_dedupe_drops_copies_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") / 400).cast("int").alias("k"), "id")
-    text = dedupe_by_key(df, "k")._jdf.queryExecution().executedPlan().toString()
+    text = dedupe_by_key(df, "k", order=[F.col("id")])._jdf.queryExecution().executedPlan().toString()
     assert text.index("Final") < text.index("Exchange") < text.index("Partial")
+    wide = df.withColumn("t", F.col("id").cast("string"))
+    text = dedupe_by_key(wide, "k")._jdf.queryExecution().executedPlan().toString()
+    assert text.index("[max(") < text.index("Exchange") < text.index("[partial_max(")
 
 
 def test_title_skips_nulls_and_is_never_null(spark):

@@ -126,7 +126,7 @@ def test_buckets_save_the_shuffle_of_a_grouping(spark, tmp_path):
 
 
 def test_sorting_after_dedupe_is_free(spark):
-    df = spark.range(100).select((F.col("id") % 7).alias("k"), "id")
+    df = spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").cast("string"))
     kept = dedupe_by_key(df, "k").sortWithinPartitions("k")
     text = kept._jdf.queryExecution().executedPlan().toString()
     assert text.count("Sort [") == 2 and text.count("Exchange") == 1
