@@ -24,6 +24,12 @@ def _ordinal(df: DataFrame, point: str) -> Column:
     return F.unix_date(point) if isinstance(kind, T.DateType) else F.col(point).cast("int")
 
 
+def _distance(df: DataFrame, point: str, before: Column) -> Column:
+    if isinstance(df.schema[point].dataType, T.DateType):
+        return F.date_diff(F.col(point), before)
+    return F.col(point) - before
+
+
 def with_previous(
     df: DataFrame, point: str, carry: Sequence[str] = (), keys: str | Sequence[str] | None = None
 ) -> DataFrame:
@@ -73,11 +79,7 @@ def coverage_gaps(
     """Each row with its distance to the previous point present. 1 means no hole; null
     marks the first row. Holes before the first or after the last point cannot show."""
     names = columns_of(keys)
-    before = F.col(f"previous.{point}")
-    if isinstance(df.schema[point].dataType, T.DateType):
-        distance = F.date_diff(F.col(point), before)
-    else:
-        distance = F.col(point) - before
+    distance = _distance(df, point, F.col(f"previous.{point}"))
     return with_previous(df.select(*names, point, *measures), point, (), names).select(
         *names, point, *measures, distance.alias(gap)
     )
@@ -94,9 +96,5 @@ def coverage_gaps_by_key(
     names = columns_of(keys)
     order = Window.partitionBy(*names).orderBy(point)
     points = df.select(*names, point).where(F.col(point).isNotNull()).distinct()
-    before = F.lag(point).over(order)
-    if isinstance(df.schema[point].dataType, T.DateType):
-        distance = F.date_diff(F.col(point), before)
-    else:
-        distance = F.col(point) - before
+    distance = _distance(df, point, F.lag(point).over(order))
     return points.select(*names, point, distance.alias(gap))
