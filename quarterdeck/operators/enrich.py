@@ -53,13 +53,17 @@ def broadcast_if_small(
     """``df`` with a broadcast hint if counting shows it to be small, else ``df`` as it is.
 
     Meant for a lookup derived by aggregation: Spark estimates it at the size of the table
-    it came from, and would shuffle the facts before finding out. The count runs a job.
+    it came from, and would shuffle the facts before finding out. Counting runs a job, one
+    distributed aggregate over ``df``. Nested columns are not measured, so never hinted.
     """
+    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    if any(isinstance(f.dataType, nested) for f in df.schema.fields):
+        return df
     width = F.lit(8 * len(df.columns))
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             width = width + F.coalesce(F.octet_length(f.name), F.lit(0))
-    size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width.cast("bigint"))).first()
+    size = df.agg(F.count(F.lit(1)), F.sum(width.cast("bigint"))).first()
     return F.broadcast(df) if size[0] <= max_rows and (size[1] or 0) <= max_bytes else df
 
 
