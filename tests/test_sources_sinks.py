@@ -9,8 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarterdeck import sources
-from quarterdeck.operators import dedupe_by_key, period_totals, two_way_difference
-from quarterdeck.plans import sql_twins
+from quarterdeck.operators import (
+    Rule,
+    RuleViolation,
+    dedupe_by_key,
+    period_totals,
+    two_way_difference,
+)
+from quarterdeck.plans import layers, sql_twins
 from quarterdeck.plans.layers import DELIMITED_FILES, DOCUMENT_FILE, Flow, Questions
 from quarterdeck.sinks import clustered, ensure_schema, publish, publish_query
 from quarterdeck.streaming import ingest_available
@@ -266,3 +272,14 @@ def test_flow_over_empty_facts_and_reference(spark, tmp_path):
     }
     assert spark.read.table("e_gold.best_year").count() == 0
     assert tuple(spark.read.table("e_gold.pop_stats").first()) == (None, None)
+
+
+def test_flow_stops_on_a_fatal_rule_before_publishing(spark, tmp_path, monkeypatch):
+    land(tmp_path, FILES, [record(2013, 1)])
+    settings = Settings(f"{tmp_path}/landing", "f_bronze", "f_silver", "f_gold")
+    strict = (Rule("key_present", "series_id IS NOT NULL", "fail"),)
+    monkeypatch.setattr(layers, "FACT_RULES", strict)
+    with pytest.raises(RuleViolation, match="data.key_present: 1 of 8 rows"):
+        Flow(spark, settings, Questions(), str(tmp_path)).run()
+    assert not spark.catalog.tableExists("f_bronze.raw_data")
+    assert not spark.catalog.tableExists("f_silver.facts")
