@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from dataclasses import dataclass, fields
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CONF_PREFIX = "spark.quarterdeck."
 
@@ -31,17 +30,19 @@ class Settings:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path not used before, in the folder that every executor can reach.
-
-    The folder is the session's ``spark.checkpoint.dir``. A machine-local temporary
-    folder is used only when that is unset and the session is itself one machine.
+    """A path not used before, in a folder that the driver and every executor can reach: the
+    session's ``spark.checkpoint.dir``, or where that is unset the warehouse, which is shared too.
     """
-    base = spark.conf.get("spark.checkpoint.dir", "")
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set: on a cluster it has to name a folder "
-                "shared by the driver and all executors"
-            )
-        base = tempfile.mkdtemp(prefix="quarterdeck-")
+    base = spark.conf.get("spark.checkpoint.dir", "") or (
+        spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    )
     return f"{base.rstrip('/')}/quarterdeck/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a scratch path and read back, which cuts its lineage: what reads it does
+    not compute it again, and losing an executor costs no more than a reread."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
