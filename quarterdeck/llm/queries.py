@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarterdeck.llm import mixing
 from quarterdeck.llm.fingerprint import fingerprints
 
 
@@ -15,8 +16,15 @@ def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_table(spark, sf_dir, "documents")).drop("edited")
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_order_minhash": op1_order_minhash,
+    "op2_mix_sources": op2_mix_sources,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_mix_sources": mixing.ORACLE,
+}

@@ -1,0 +1,89 @@
+from __future__ import annotations
+
+import re
+from collections import Counter, defaultdict
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from oracle import connect, oracle_rows, spark_rows
+from quarterdeck.llm import mixing
+
+SCHEMA = "doc_id long, source string, text string"
+
+
+def against_oracle(df_rows, spark):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, source VARCHAR, text VARCHAR)")
+    if df_rows:
+        con.executemany("INSERT INTO documents VALUES (?, ?, ?)", df_rows)
+    got = spark_rows(mixing.mix_report(spark.createDataFrame(df_rows, SCHEMA)))
+    assert got == oracle_rows(con, mixing.ORACLE)[1]
+    return got
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_matches_oracle(spark, sf):
+    d = f"/root/testdata/sf{sf}"
+    got = spark_rows(mixing.mix_report(spark.read.parquet(f"{d}/documents.parquet")))
+    assert got == oracle_rows(connect(d), mixing.ORACLE)[1]
+
+
+def test_sources_meet_their_targets(spark):
+    rows = mixing.mix_report(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()
+    taken, target, largest = Counter(), {}, Counter()
+    for r in rows:
+        key = (r.source_size, r.target)
+        taken[key] += r.taken
+        target[key] = r.target
+        largest[key] = max(largest[key], r["size"])
+        assert r.taken <= 3 * r["size"]
+    assert all(abs(taken[k] - target[k]) <= largest[k] / 2 + 1 for k in taken)
+    assert abs(sum(target.values()) - sum(r["size"] for r in rows)) < 1
+
+
+def test_capped_excess_is_shared_again(spark):
+    rows = [(i, "a", "w " * 2) for i in range(3)] + [(i, "b", "w " * 50) for i in range(10, 20)]
+    rows += [(i, "c", "w " * 400) for i in range(30, 40)] + [(i, None, "w") for i in range(50, 53)]
+    got = {r.source_size: r.target for r in mixing.mix_report(spark.createDataFrame(rows, SCHEMA)).collect()}
+    # a: 6 words, weight 5; b: 500, weight 2; c: 4000, weight 1; null: 3, weight 5 again
+    assert got[6] == 18 and got[3] == 9 and got[500] == 1500 and got[4000] == 4509 - 18 - 9 - 1500
+
+
+def test_edge_rows(spark):
+    odd = [
+        (1, "é", "a b"), (1, "é", "a b"), (1, "é", "c d"), (None, None, None), (None, "z", "x y z"), (4, "", ""),
+        (5, None, "\t \n"), (6, "Z", "one"), (7, "z", "w " * 5000), (8, "\U0001f600", "p q"), (9, "￿", "p q r"),
+    ]
+    against_oracle(odd, spark)
+    against_oracle([(1, "a", None), (2, "b", "")], spark)
+    assert sum(against_oracle([(1, "only", "a b c")], spark).values()) == 1
+    assert mixing.mix_report(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_mix_repeats_whole_rows(spark):
+    rows = [(i, f"s{i % 7}", "w " * (i % 13)) for i in range(300)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("_plan", F.lit(1)).withColumn("size", F.lit("x"))
+    report = {r.doc_id: r.copies for r in mixing.mix_report(docs).collect()}
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    got = Counter(r.doc_id for r in mixed.collect())
+    assert got == {d: c for d, c in report.items() if c}
+
+
+def test_hot_source_and_same_plan_over_any_partitions(spark):
+    rows = [(i, "hot" if i % 3 else f"s{i % 11}", "w " * (1 + i % 40)) for i in range(4000)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert spark_rows(mixing.mix_report(docs)) == spark_rows(mixing.mix_report(docs.repartition(13)))
+    against_oracle(rows[:600], spark)
+    by = defaultdict(int)
+    for r in mixing.mix_report(docs).collect():
+        by[r.source_size] += r.taken - r.target * r["size"] / r.source_size
+    assert max(map(abs, by.values())) <= 20
+
+
+def test_no_python_in_the_plan(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = mixing.mix_report(docs)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
