@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterdeck.llm import mixing
+from quarterdeck.llm import line_dedup, mixing
 from quarterdeck.llm.fingerprint import fingerprints
 
 
@@ -20,11 +20,17 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 QUERIES = {
     "op1_order_minhash": op1_order_minhash,
     "op2_mix_sources": op2_mix_sources,
+    "op3_line_dedup": op3_line_dedup,
 }
 
 ORACLES: dict[str, str] = {
     "op2_mix_sources": mixing.ORACLE,
+    "op3_line_dedup": line_dedup.ORACLE,
 }
