@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterdeck.llm import line_dedup, mixing, toxicity
+from quarterdeck.llm import line_dedup, mixing, quality, toxicity
 from quarterdeck.llm.fingerprint import fingerprints
 
 
@@ -24,6 +24,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(_table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    )
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -34,6 +40,7 @@ QUERIES = {
     "op1_order_minhash": op1_order_minhash,
     "op2_mix_sources": op2_mix_sources,
     "op3_line_dedup": op3_line_dedup,
+    "op4_quality": op4_quality,
     "op6_toxicity": op6_toxicity,
 }
 
