@@ -86,9 +86,10 @@ class Machine:
 
 def fit_machine(
     parts: list[tuple[np.ndarray, np.ndarray, list[float]]], y: np.ndarray,
-    epochs: int = 12, batch: int = 128, rate: float = 0.08, l2: float = 1e-4,
+    epochs: int = 12, least_steps: int = 800, batch: int = 128, rate: float = 0.08, l2: float = 1e-4,
 ) -> Machine:
-    """Adagrad on the logistic loss, over the same shuffles in every run."""
+    """Adagrad on the logistic loss, over the same shuffles in every run. Small samples are gone
+    through more often, until ``least_steps`` batches."""
     rng = np.random.default_rng(0)
     stats = np.array([p[2] for p in parts])
     levels = np.linspace(0, 1, BINS + 1)[1:-1]
@@ -97,7 +98,7 @@ def fit_machine(
     share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
     m = Machine(cuts, float(np.log(share / (1 - share))), np.zeros(size), rng.normal(0, 0.1, (size, FACTORS)))
     seen_linear, seen_factors, seen_bias = np.full(size, 1e-2), np.full((size, FACTORS), 1e-2), 1e-2
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-least_steps * batch // len(parts)))):
         order = rng.permutation(len(parts))
         for i in range(0, len(order), batch):
             chosen = order[i : i + batch]
