@@ -200,12 +200,14 @@ def dedup_lines(
         narrow.mapInArrow(_suspects(filter_, bits, least), f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, key binary"),
         "suspects",
     )
-    doomed = (
+    doomed = written(
         held.groupBy("key")
         .agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper"))
         .where(F.col("n") >= documents)
-        .select("key", "keeper")
+        .select("key", "keeper"),
+        "doomed",
     )
+    # written, so that the join deals out both sides anew and a frequent line can be split
     gone = (
         held.join(doomed, "key")
         .where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
