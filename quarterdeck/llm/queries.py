@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterdeck.llm import line_dedup, mixing, quality, toxicity
+from quarterdeck.llm import line_dedup, mixing, packing, quality, toxicity
 from quarterdeck.llm.fingerprint import fingerprints
 
 
@@ -36,12 +36,17 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), with_ids=False)
+
+
 QUERIES = {
     "op1_order_minhash": op1_order_minhash,
     "op2_mix_sources": op2_mix_sources,
     "op3_line_dedup": op3_line_dedup,
     "op4_quality": op4_quality,
     "op6_toxicity": op6_toxicity,
+    "op9_packing": op9_packing,
 }
 
 ORACLES: dict[str, str] = {
