@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterdeck.llm import line_dedup, mixing, packing, quality, toxicity
+from quarterdeck.llm import line_dedup, mixing, packing, quality, token_counts, toxicity
 from quarterdeck.llm.fingerprint import fingerprints
 
 
@@ -40,6 +40,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.section_tokens(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_order_minhash": op1_order_minhash,
     "op2_mix_sources": op2_mix_sources,
@@ -47,6 +51,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op6_toxicity": op6_toxicity,
     "op9_packing": op9_packing,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLES: dict[str, str] = {
