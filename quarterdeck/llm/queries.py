@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterdeck.llm import line_dedup, mixing, packing, quality, token_counts, toxicity
+from quarterdeck.llm import line_dedup, mixing, packing, quality, token_counts, toxicity, vectors
 from quarterdeck.llm.fingerprint import fingerprints
 
 
@@ -36,6 +36,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.neighbours(_table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), with_ids=False)
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_quality": op4_quality,
     "op6_toxicity": op6_toxicity,
+    "op8_hnsw": op8_hnsw,
     "op9_packing": op9_packing,
     "op10_token_counts": op10_token_counts,
 }
