@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterdeck.llm import line_dedup, mixing, packing, quality, token_counts, toxicity, vectors
+from quarterdeck.llm import line_dedup, mixing, near_dedup, packing, quality, token_counts, toxicity, vectors
 from quarterdeck.llm.fingerprint import fingerprints
 
 
@@ -36,6 +36,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_report(_table(spark, sf_dir, "documents"))
+
+
 def op8_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.neighbours(_table(spark, sf_dir, "embeddings"), every=100, k=10)
 
@@ -54,6 +58,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_quality": op4_quality,
     "op6_toxicity": op6_toxicity,
+    "op7_near_dedup": op7_near_dedup,
     "op8_hnsw": op8_hnsw,
     "op9_packing": op9_packing,
     "op10_token_counts": op10_token_counts,
