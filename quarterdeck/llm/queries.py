@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterdeck.llm import line_dedup, mixing, near_dedup, packing, quality, token_counts, toxicity, vectors
+from quarterdeck.llm import line_dedup, mixing, near_dedup, packing, quality, surrogates, token_counts, toxicity, vectors
 from quarterdeck.llm.fingerprint import fingerprints
 
 
@@ -30,6 +30,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = spark.conf.get("spark.quarterdeck.surrogate.key", "quarterdeck")
+    return surrogates.surrogate_report(_table(spark, sf_dir, "documents"), key)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -57,6 +62,7 @@ QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_line_dedup": op3_line_dedup,
     "op4_quality": op4_quality,
+    "op5_surrogates": op5_surrogates,
     "op6_toxicity": op6_toxicity,
     "op7_near_dedup": op7_near_dedup,
     "op8_hnsw": op8_hnsw,
