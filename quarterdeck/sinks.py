@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +63,10 @@ def publish(
     """Replace ``table`` by the rows of ``df`` and return the table. Re-running converges:
     the table is a function of its inputs alone.
 
+    The rows are written under another name first and take the table's name when they are
+    complete. If the job fails, the table keeps its old rows; readers see them until then, and
+    ``df`` may read them.
+
     ``sort_by`` orders the rows inside each file without moving them between files, so that
     a filter on the leading column skips most row groups. It is free where the rows already
     come in that order, as they do out of a de-duplication on the same keys. ``cluster_by``
@@ -83,8 +88,16 @@ def publish(
         writer = writer.partitionBy(*columns_of(partition_by))
     if bucket_by:
         writer = writer.bucketBy(buckets, *columns_of(bucket_by)).sortBy(*columns_of(bucket_by))
-    writer.saveAsTable(table)
-    describe(spark, table, comment, properties)
+    fresh = f"{table}__{uuid.uuid4().hex}"
+    try:
+        writer.saveAsTable(fresh)
+        describe(spark, fresh, comment, properties)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    spark.catalog.refreshTable(table)
     return spark.read.table(table)
 
 

@@ -283,3 +283,16 @@ def test_flow_stops_on_a_fatal_rule_before_publishing(spark, tmp_path, monkeypat
         Flow(spark, settings, Questions(), str(tmp_path)).run()
     assert not spark.catalog.tableExists("f_bronze.raw_data")
     assert not spark.catalog.tableExists("f_silver.facts")
+
+
+def test_a_failing_rewrite_keeps_the_old_rows(spark):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS rewrites")
+    publish(spark.range(3).toDF("n"), "rewrites.t", "first")
+    bad = spark.range(5).selectExpr("CASE WHEN id = 4 THEN raise_error('broken') ELSE id END AS n")
+    with pytest.raises(Exception, match="broken"):
+        publish(bad, "rewrites.t", "second")
+    assert spark.read.table("rewrites.t").count() == 3
+    assert [t.name for t in spark.catalog.listTables("rewrites")] == ["t"]
+    again = publish(spark.read.table("rewrites.t").selectExpr("n + 1 AS n"), "rewrites.t", "third")
+    assert sorted(r.n for r in again.collect()) == [1, 2, 3]
+    assert "third" in str(spark.sql("DESCRIBE TABLE EXTENDED rewrites.t").collect())
