@@ -6,8 +6,8 @@ from quarterdeck.functions.columns import (
     display_integer,
     display_number,
     last_segment,
+    quoted,
     rename_columns,
-    rounded,
     series_title,
     trim_text,
     typed,
@@ -19,8 +19,8 @@ __all__ = [
     "display_integer",
     "display_number",
     "last_segment",
+    "quoted",
     "rename_columns",
-    "rounded",
     "series_title",
     "trim_text",
     "typed",

@@ -16,6 +16,11 @@ def columns_of(names: str | Iterable[str] | None) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
+def quoted(name: str) -> str:
+    """A column name as a reference to that very column, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def clean_names(df: DataFrame) -> DataFrame:
     """Strip the padding around every column name; order is kept."""
     return df.toDF(*(name.strip() for name in df.columns))
@@ -33,17 +38,12 @@ def trim_text(df: DataFrame, names: str | Iterable[str] | None = None) -> DataFr
     """
     wanted = columns_of(names) or df.columns
     text = [n for n in wanted if isinstance(df.schema[n].dataType, T.StringType)]
-    return df.withColumns({n: F.trim(F.col(n)) for n in text}) if text else df
+    return df.withColumns({n: F.trim(F.col(quoted(n))) for n in text}) if text else df
 
 
 def typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast columns in place; text that is no such value becomes null, never an error."""
-    return df.withColumns({n: F.col(n).try_cast(t) for n, t in types.items()})
-
-
-def rounded(column: str | Column, places: int = 2) -> Column:
-    """Round half up."""
-    return F.round(column, places)
+    return df.withColumns({n: F.col(quoted(n)).try_cast(t) for n, t in types.items()})
 
 
 def series_title(labels: Sequence[str | Column], separator: str = ", ") -> Column:

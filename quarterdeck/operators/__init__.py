@@ -19,6 +19,7 @@ from quarterdeck.operators.landing import (
     manifest,
     raise_on_failures,
     reconcile,
+    reconcile_sides,
     require_listing,
     run_summary,
     unpublished,
@@ -34,6 +35,7 @@ from quarterdeck.operators.quality import (
     rule_metrics,
     schema_drift,
     stale_sources,
+    violations,
     volume_freshness,
 )
 from quarterdeck.operators.reports import (
@@ -91,6 +93,7 @@ __all__ = [
     "raise_on_failures",
     "range_stats",
     "reconcile",
+    "reconcile_sides",
     "reference_years",
     "require_listing",
     "result_profile",
@@ -98,6 +101,7 @@ __all__ = [
     "run_summary",
     "schema_drift",
     "stale_sources",
+    "violations",
     "title_totals",
     "top_k",
     "trend",

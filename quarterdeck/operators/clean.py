@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarterdeck.functions import columns_of, trim_text, typed
+from quarterdeck.functions import columns_of, quoted, trim_text, typed
 
 
 def _orderable(kind: T.DataType) -> bool:
@@ -39,11 +39,13 @@ def dedupe_by_key(
     if not ranked:
         return df.distinct()
     if not order and all(_orderable(df.schema[c].dataType) for c in ranked):
-        best = df.groupBy(*names).agg(F.max(F.struct(*ranked)).alias("__row"))
-        return best.select(*(c if c in names else F.col(f"__row.{c}") for c in df.columns))
+        best = df.groupBy(*map(quoted, names)).agg(F.max(F.struct(*map(quoted, ranked))).alias("__row"))
+        return best.select(
+            *(F.col(quoted(c) if c in names else f"__row.{quoted(c)}").alias(c) for c in df.columns)
+        )
 
-    ties = [F.desc_nulls_last(c) for c in ranked if _orderable(df.schema[c].dataType)]
-    ranking = Window.partitionBy(*names).orderBy(*order, *(ties or [F.lit(1)]))
+    ties = [F.desc_nulls_last(quoted(c)) for c in ranked if _orderable(df.schema[c].dataType)]
+    ranking = Window.partitionBy(*map(quoted, names)).orderBy(*order, *(ties or [F.lit(1)]))
     return (
         df.withColumn("__place", F.row_number().over(ranking))
         .where(F.col("__place") == 1)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,15 +100,21 @@ def label_facts(
     return out.withColumn(title, series_title(labels))
 
 
-def lookup_resolution(df: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """Per label column: rows, and rows whose label is missing. One aggregation."""
+def lookup_resolution(df: DataFrame, labels: Sequence[str], weight: str | None = None) -> DataFrame:
+    """Per label column: rows, and rows whose label is missing. One aggregation. ``weight`` names a
+    column that says for how many rows each row stands, as after counting per code."""
+    stands_for = F.col(weight) if weight else F.lit(1).cast("bigint")
+
+    def total(of: Column) -> Column:
+        return F.coalesce(F.sum(F.when(of, stands_for)), F.lit(0).cast("bigint"))
+
     counts = df.agg(
         F.array(
             *(
                 F.struct(
                     F.lit(name).alias("label"),
-                    F.count(F.lit(1)).alias("rows"),
-                    F.count_if(F.col(name).isNull()).alias("missing"),
+                    total(F.lit(True)).alias("rows"),
+                    total(F.col(name).isNull()).alias("missing"),
                 )
                 for name in labels
             )

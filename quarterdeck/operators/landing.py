@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,9 +15,6 @@ from quarterdeck.operators.gaps import with_previous
 LINK_PATTERN = r'(?i)href="([^"]+)"'
 NEW, PRESENT, UNPUBLISHED = "new", "present", "unpublished"
 
-# Failures named in the text of the error; all of them are in its ``failures`` frame.
-NAMED_IN_MESSAGE = 100
-
 
 class EmptyListing(RuntimeError):
     """The source listing has no files, which means that fetching or parsing it broke."""
@@ -70,6 +67,12 @@ def reconcile(
     sides = listing.select(
         name, F.lit(True).alias("listed"), F.lit(False).alias("held")
     ).unionAll(landed.select(name, F.lit(False).alias("listed"), F.lit(True).alias("held")))
+    return reconcile_sides(sides, retain, name)
+
+
+def reconcile_sides(sides: DataFrame, retain: bool = True, name: str = "filename") -> DataFrame:
+    """As `reconcile`, for one frame of names with the flags ``listed`` and ``held``, so that names
+    found in one pass need not be found again for each side. Null names are no names."""
     status = (
         F.when(~F.col("held"), F.lit(NEW))
         .when(F.col("listed"), F.lit(PRESENT))
@@ -79,7 +82,8 @@ def reconcile(
         F.lit("retain" if retain else "delete")
     )
     return (
-        sides.groupBy(name)
+        sides.where(F.col(name).isNotNull())
+        .groupBy(name)
         .agg(F.bool_or("listed").alias("listed"), F.bool_or("held").alias("held"))
         .select(name, status.alias("status"), action.alias("action"))
     )
@@ -90,7 +94,7 @@ def unpublished(
 ) -> DataFrame:
     """Names that are landed but no longer listed, each once; ``ordered`` sorts them."""
     listed = listing.select(name).distinct()
-    gone = landed.select(name).distinct().join(listed, name, "left_anti")
+    gone = landed.where(F.col(name).isNotNull()).select(name).distinct().join(listed, name, "left_anti")
     return gone.orderBy(name) if ordered else gone
 
 
@@ -101,9 +105,9 @@ def landing_summary(reconciled: DataFrame) -> DataFrame:
 
 def run_summary(outcomes: DataFrame, reconciled: DataFrame, failed: str = "failed") -> DataFrame:
     """One row for a whole run: files fetched, failed, no longer published and marked for
-    deletion. ``outcomes`` has one row per attempted file."""
+    deletion. ``outcomes`` has one row per attempted file; an unknown outcome is a failure."""
     tried = outcomes.select(
-        F.col(failed).alias("bad"), F.lit(None).cast("string").alias("status"), F.lit("").alias("action")
+        F.coalesce(F.col(failed), F.lit(True)).alias("bad"), F.lit(None).cast("string").alias("status"), F.lit("").alias("action")
     )
     known = reconciled.select(F.lit(None).cast("boolean").alias("bad"), "status", "action")
     return tried.unionAll(known).agg(
@@ -114,14 +118,20 @@ def run_summary(outcomes: DataFrame, reconciled: DataFrame, failed: str = "faile
     )
 
 
-def raise_on_failures(outcomes: DataFrame, name: str = "filename", failed: str = "failed") -> None:
-    """Raise if any attempted item failed. Call it after every item was tried."""
-    failures = outcomes.where(failed).select(name)
+def raise_on_failures(
+    outcomes: DataFrame,
+    name: str = "filename",
+    failed: str = "failed",
+    publish: Callable[[DataFrame], str] | None = None,
+) -> None:
+    """Raise if any attempted item failed or has no known outcome. Call it after every item was
+    tried. ``publish`` stores the frame of all failures and says where; the message has the count
+    and that place, the error the frame."""
+    failures = outcomes.where(F.coalesce(F.col(failed), F.lit(True))).select(name)
     count = failures.count()
     if count:
-        first = [r[0] for r in failures.orderBy(name).limit(NAMED_IN_MESSAGE).collect()]
-        more = f" and {count - len(first)} more" if count > len(first) else ""
-        raise FailedItems(f"{count} item(s) failed: {', '.join(first)}{more}", failures)
+        where = f"; all are listed in {publish(failures)}" if publish else ""
+        raise FailedItems(f"{count} item(s) failed{where}", failures)
 
 
 def manifest(

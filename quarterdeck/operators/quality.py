@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarterdeck.functions import quoted
+
 ACTIONS = ("drop", "warn", "fail")
 
 
@@ -35,7 +37,8 @@ class Rule:
 
 
 def keep_valid(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """The rows on which every "drop" rule holds."""
+    """The rows on which every "drop" rule holds. Other rules are not looked at: `check` acts on
+    "fail" rules too."""
     for rule in rules:
         if rule.action == "drop":
             df = df.where(rule.holds())
@@ -62,10 +65,20 @@ def rule_metrics(df: DataFrame, rules: Sequence[Rule], dataset: str) -> DataFram
 
 
 def check(df: DataFrame, rules: Sequence[Rule], dataset: str) -> tuple[DataFrame, DataFrame]:
-    """The kept rows and the metrics, both lazy."""
+    """The kept rows and the metrics, both lazy. Rules with the action "fail" are tried at once, in
+    one pass, and raise `RuleViolation` where a row breaks one."""
+    fatal = [rule for rule in rules if rule.action == "fail"]
+    if fatal:
+        enforce(rule_metrics(df, fatal, dataset))
     return keep_valid(df, rules), rule_metrics(df, rules, dataset)
 
 
+def violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The rows that break any rule, each with the names of those it breaks, in one pass."""
+    broken = F.array_compact(F.array(*(F.when(~r.holds(), F.lit(r.name)) for r in rules)))
+    return df.withColumn("violated", broken).where(F.size("violated") > 0)
+
+
 def observed(df: DataFrame, rules: Sequence[Rule], dataset: str) -> tuple[DataFrame, Observation]:
     """The kept rows, with the counts gathered by the job that consumes them rather than by
     a second pass. Write the frame without a further shuffle: Spark counts each task of a
@@ -136,10 +149,13 @@ def volume_freshness(
     )
 
 
-def schema_drift(df: DataFrame, expected: T.StructType) -> DataFrame:
+def schema_drift(
+    df: DataFrame, expected: T.StructType, count: Sequence[str] = ("unexpected", "retyped")
+) -> DataFrame:
     """One row per expected or actual column: its two types, a status ("ok", "missing",
     "unexpected", "retyped") and how many rows carry a value in it, which tells a harmless
-    new column from one that matters."""
+    new column from one that matters. Only columns whose status is in ``count`` are read and
+    counted; the others have a null there."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     wanted = {f.name: f.dataType.simpleString() for f in expected.fields}
 
@@ -151,13 +167,14 @@ def schema_drift(df: DataFrame, expected: T.StructType) -> DataFrame:
         return "ok" if actual[name] == wanted[name] else "retyped"
 
     def line(name: str) -> Column:
-        present = F.count(F.col(name)) if name in actual else F.lit(0).cast("bigint")
+        counted = status(name) in count
+        present = F.count(F.col(quoted(name))) if counted and name in actual else F.lit(0 if counted else None)
         return F.struct(
             F.lit(name).alias("column"),
             F.lit(wanted.get(name)).cast("string").alias("expected_type"),
             F.lit(actual.get(name)).cast("string").alias("actual_type"),
             F.lit(status(name)).alias("status"),
-            present.alias("values"),
+            present.cast("bigint").alias("values"),
         )
 
     names = [*wanted, *(n for n in actual if n not in wanted)]

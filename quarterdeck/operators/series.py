@@ -151,8 +151,9 @@ def period_rule_audit(
     winner, series whose winning years differ from the fallback rule's, and series that
     have no winner at all under the rule.
 
-    All rules are ranked in one pass over the same totals; the comparison is two
-    aggregations, so no join and no list of winners is needed.
+    All rules are judged in one pass over the same totals, in windows over the series alone, and
+    the comparison groups by the series too, so both use one shuffle. Only the totals and the
+    three result rows are shuffled besides.
     """
     keys, titles = columns_of(series), columns_of(title)
     totals = period_totals(facts, quarters, annual, keys, titles, year, period, value)
@@ -160,34 +161,26 @@ def period_rule_audit(
     both = F.coalesce(quarter + yearly, quarter, yearly).cast(
         totals.schema["quarter_total"].dataType
     )
-
-    def candidate(rule: str, total: Column, leads: Column, competes: Column) -> Column:
-        return F.when(
-            competes,
-            F.struct(
-                F.lit(rule).alias("rule"),
-                leads.alias("has_quarter"),
-                F.round(total, 2).alias("total"),
-            ),
-        )
-
-    candidates = F.array(
-        candidate(FALLBACK, _fallback_total(), F.col("has_quarter"), F.lit(True)),
-        candidate(ALL_PERIODS, both, F.lit(True), F.lit(True)),
-        candidate(QUARTERS_ONLY, quarter, F.lit(True), F.col("has_quarter")),
+    own = Window.partitionBy(*keys)
+    quarterly = F.bool_or("has_quarter").over(own)
+    competing = {  # rule -> whether the year competes, and its total
+        FALLBACK: (F.col("has_quarter") == F.col("quarterly"), _fallback_total()),
+        ALL_PERIODS: (F.lit(True), both),
+        QUARTERS_ONLY: (F.col("has_quarter"), quarter),
+    }
+    rules = tuple(competing)
+    judged = totals.withColumn("quarterly", quarterly).select(
+        *keys,
+        *(F.when(joins, F.round(total, 2)).alias(f"{r}_total") for r, (joins, total) in competing.items()),
+        *(joins.alias(f"{r}_joins") for r, (joins, _) in competing.items()),
     )
-    ranking = Window.partitionBy(*keys, "rule").orderBy(*_best_first("total"))
-    winners = (
-        totals.select(*keys, *titles, year, F.explode(candidates).alias("c"))
-        .where(F.col("c").isNotNull())
-        .select(*keys, *titles, year, "c.*")
-        .withColumn("place", F.rank().over(ranking))
-        .where(F.col("place") == 1)
-    )
-
-    rules = (FALLBACK, ALL_PERIODS, QUARTERS_ONLY)
-    won = winners.groupBy(*keys, *titles, year).agg(
-        *(F.bool_or(F.col("rule") == r).alias(r) for r in rules)
+    # where no total of a series is known, all of its years are tied
+    won = judged.select(
+        *keys,
+        *(
+            (F.col(f"{r}_joins") & F.col(f"{r}_total").eqNullSafe(F.max(f"{r}_total").over(own))).alias(r)
+            for r in rules
+        ),
     )
     per_series = won.groupBy(*keys).agg(
         *(F.bool_or(r).alias(r) for r in rules),

@@ -65,9 +65,9 @@ def test_empty_listing_raises(spark):
     assert require_listing(names(spark, "a")).count() == 1
 
 
-def test_run_summary_and_failures(spark, monkeypatch):
+def test_run_summary_and_failures(spark):
     outcomes = spark.createDataFrame(
-        [("a", False), ("b", True), ("c", True), ("d", True)], "filename string, failed boolean"
+        [("a", False), ("b", True), ("c", True), ("d", None)], "filename string, failed boolean"
     )
     known = reconcile(names(spark, "a", "b"), names(spark, "z"), retain=False)
     assert run_summary(outcomes, known).first().asDict() == {
@@ -76,15 +76,26 @@ def test_run_summary_and_failures(spark, monkeypatch):
         "unpublished": 1,
         "deleted": 1,
     }
-    with pytest.raises(FailedItems, match=r"3 item\(s\) failed: b, c, d$"):
-        raise_on_failures(outcomes)
-    monkeypatch.setattr(landing, "NAMED_IN_MESSAGE", 2)
-    with pytest.raises(FailedItems, match="b, c and 1 more") as raised:
+    published = []
+
+    def publish(df):
+        published.extend(sorted(r.filename for r in df.collect()))
+        return "log.failures"
+
+    with pytest.raises(FailedItems, match=r"^3 item\(s\) failed; all are listed in log.failures$") as raised:
+        raise_on_failures(outcomes, publish=publish)
+    assert published == sorted(r.filename for r in raised.value.failures.collect()) == ["b", "c", "d"]
+    with pytest.raises(FailedItems, match=r"^3 item\(s\) failed$"):
         raise_on_failures(outcomes)
-    assert sorted(r.filename for r in raised.value.failures.collect()) == ["b", "c", "d"]
     raise_on_failures(outcomes.where("NOT failed"))
 
 
+def test_null_names_are_no_names(spark):
+    listed, landed = names(spark, "a", None), names(spark, None, "b")
+    assert sorted(r.filename for r in reconcile(listed, landed).collect()) == ["a", "b"]
+    assert [r.filename for r in unpublished(listed, landed).collect()] == ["b"]
+
+
 def test_manifest(spark):
     d = [date(2024, 1, i) for i in (1, 2, 9)]
     rows = [("a", d[0]), ("a", d[2]), ("b", d[0]), ("b", d[0]), ("c", d[1])]

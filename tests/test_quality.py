@@ -12,6 +12,7 @@ from quarterdeck.operators import (
     Rule,
     RuleViolation,
     check,
+    dedupe_by_key,
     enforce,
     observed,
     observed_metrics,
@@ -35,9 +36,9 @@ def df(spark):
 
 
 def test_drop_filters_and_warn_does_not(df):
-    kept, metrics = check(df, RULES, "d")
+    kept, _ = check(df, RULES[:2], "d")
     assert sorted(r.k for r in kept.collect()) == ["a", "b", "c"]
-    got = [tuple(r) for r in metrics.collect()]
+    got = [tuple(r) for r in rule_metrics(df, RULES, "d").collect()]
     assert got == [
         ("d", "key", "drop", 4, 3, 1, 1),
         ("d", "positive", "warn", 4, 2, 2, 0),
@@ -53,6 +54,8 @@ def test_blank_key_passes_the_null_rule(spark):
 def test_fail_raises_and_names_the_rule(df):
     with pytest.raises(RuleViolation, match="d.small: 1 of 4 rows"):
         enforce(rule_metrics(df, RULES, "d"))
+    with pytest.raises(RuleViolation, match="d.small: 1 of 4 rows"):
+        check(df, RULES, "d")
     enforce(rule_metrics(df, RULES[:2], "d"))
 
 
@@ -89,7 +92,16 @@ def test_schema_drift(spark):
     df = spark.createDataFrame([(1, "x", None), (2, None, None)], "a int, b string, extra string")
     expected = T.StructType.fromDDL("a long, b string, c double")
     got = {r.column: (r.status, r["values"]) for r in schema_drift(df, expected).collect()}
-    assert got == {"a": ("retyped", 2), "b": ("ok", 1), "c": ("missing", 0), "extra": ("unexpected", 0)}
+    assert got == {"a": ("retyped", 2), "b": ("ok", None), "c": ("missing", None), "extra": ("unexpected", 0)}
+    every = schema_drift(df, expected, ("ok", "missing", "unexpected", "retyped")).collect()
+    assert {r.column: r["values"] for r in every} == {"a": 2, "b": 1, "c": 0, "extra": 0}
+
+
+def test_dotted_names(spark):
+    df = spark.createDataFrame([(1, "x", 2.0), (1, "y", 3.0)], "`a.b` int, `c d` string, `e``f` double")
+    drift = schema_drift(df, T.StructType.fromDDL("`a.b` long")).collect()
+    assert {r.column: r["values"] for r in drift} == {"a.b": 2, "c d": 2, "e`f": 2}
+    assert [tuple(r) for r in dedupe_by_key(df, "a.b", "c d").collect()] == [(1, "y", 3.0)]
 
 
 def test_stale_sources(spark):
