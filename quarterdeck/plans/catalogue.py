@@ -2,12 +2,12 @@
 
 The tables play these roles:
 
-* facts: line items, unaggregated. A series is a part under one return flag. Flag N reports
-  quarters; flag R reports under the annual code only; flag A reports quarters while the
-  line status is open and the annual code otherwise, so the mixed case occurs too. The title
-  is made of flag and status, is shared by many series and varies within one. It is grouped
-  by its code, the status, and spelled out on the answer: text stays out of the shuffles.
-* annual reference: orders per year, 1998 left out as the year that was never published.
+* facts: line items, unaggregated. A series is a part under one return flag. Flags N and A
+  report quarters and, for every third line, the annual code beside them, often in the same title
+  and year; flag R reports under the annual code only. The title is made of flag and status, is
+  shared by many series and varies within one. It is grouped by its code, the status, and spelled
+  out on the answer: text stays out of the shuffles.
+* annual reference: orders per year; one form of it lacks 1998, a year that was never published.
 * landing zone: links of the pages; the https site is the listing, the http site what has
   been landed from its predecessor.
 * snapshots and files seen: events, a file being a user's stream of one event type.
@@ -26,12 +26,13 @@ from quarterdeck import sources
 from quarterdeck.functions import series_title
 from quarterdeck.plans import sql_twins
 from quarterdeck.plans.layers import DELIMITED_FILES, DOCUMENT_FILE, Flow, Questions
+from quarterdeck.sinks import ensure_schema, publish_query
 from quarterdeck.streaming import ingest_available
-from quarterdeck.workspace import Settings, scratch_path
+from quarterdeck.workspace import CONF_PREFIX, Settings, scratch_path
 
 SERIES = ("l_partkey", "l_returnflag")
 TITLE_CODE = "l_linestatus"
-ANNUAL_ONLY, MIXED = "R", "A"
+ANNUAL_ONLY, ANNUAL_EVERY = "R", 3
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,9 +49,7 @@ def _day(name: str) -> Column:
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    annual = (F.col("l_returnflag") == ANNUAL_ONLY) | (
-        (F.col("l_returnflag") == MIXED) & (F.col(TITLE_CODE) == "F")
-    )
+    annual = (F.col("l_returnflag") == ANNUAL_ONLY) | (F.col("l_linenumber") % ANNUAL_EVERY == 0)
     return table(spark, sf_dir, "lineitem").select(
         *SERIES,
         TITLE_CODE,
@@ -89,10 +88,14 @@ def yearly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "orders")
         .groupBy(F.year("o_orderdate").alias("year"))
         .agg(F.count(F.lit(1)).alias("population"))
-        .where(F.col("year") != 1998)
     )
 
 
+def published_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference with a hole."""
+    return yearly_orders(spark, sf_dir).where(F.col("year") != 1998)
+
+
 def winners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _answer(ops.best_year(facts(spark, sf_dir), series=SERIES, title=TITLE_CODE))
 
@@ -121,6 +124,37 @@ def equivalence_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.two_way_difference(winners(spark, sf_dir), best_year_sql(spark, sf_dir))
 
 
+def twins_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three answers as published SELECTs against the operators: rows that only one side has."""
+    run = scratch_path(spark, "twins")
+    schema = f"twins_{run.rsplit('-', 1)[-1]}"
+    ensure_schema(spark, schema, run)
+    reference, totals = published_orders(spark, sf_dir), fact_totals(spark, sf_dir)
+    selects = {
+        "best_year": (
+            sql_twins.best_year_select(SERIES),
+            {"facts": _titled(facts(spark, sf_dir))},
+            ops.best_year(_titled(facts(spark, sf_dir)), series=SERIES),
+        ),
+        "range_stats": (
+            sql_twins.RANGE_STATS.replace(":start", "1996").replace(":end", "2000"),
+            {"reference": reference},
+            ops.range_stats(reference, 1996, 2000),
+        ),
+        "keyed_value": (
+            sql_twins.keyed_value_select(["l_partkey"]).replace(":l_partkey", "25").replace(":period", "'Q05'"),
+            {"facts": totals, "reference": reference},
+            ops.keyed_value_with_reference(totals, reference, {"l_partkey": 25}, ops.ANNUAL),
+        ),
+    }
+    out = None
+    for name, (select, inputs, answer) in selects.items():
+        published = publish_query(spark, f"{schema}.{name}", select, inputs, f"{name} by a SELECT")
+        line = ops.two_way_difference(answer, published).select(F.lit(name).alias("answer"), "only_left", "only_right")
+        out = line if out is None else out.unionAll(line)
+    return out
+
+
 def range_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = ops.range_stats(yearly_orders(spark, sf_dir), 1996, 2000)
     return stats.select(*(_money(c) for c in stats.columns))
@@ -130,14 +164,14 @@ def keyed_value_with_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One part's annual values; 1998 has no reference and stays with a null."""
     return ops.keyed_value_with_reference(
         fact_totals(spark, sf_dir),
-        yearly_orders(spark, sf_dir),
+        published_orders(spark, sf_dir),
         {"l_partkey": 25},
         ops.ANNUAL,
     )
 
 
 def coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.coverage_gaps(yearly_orders(spark, sf_dir))
+    return ops.coverage_gaps(published_orders(spark, sf_dir))
 
 
 def coverage_gaps_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,14 +228,26 @@ def typed_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 LABELS = ("r_name", "n_name", "brand_text", "type_text")
 
 
-def _labelled(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines with the region and nation of their supplier and the brand and type of their
-    part. One region is unknown to its lookup; part codes are padded on one side."""
+def _by_supplier(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with the region and nation of their supplier. One region is unknown to its lookup."""
     nation = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "s_nationkey")
     region = table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
     suppliers = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"
     )
+    return ops.label_facts(
+        lines,
+        suppliers,
+        [
+            ops.Lookup(nation, "s_nationkey", ("n_name", "n_regionkey")),
+            ops.Lookup(region.where(F.col("r_name") != "ASIA"), "n_regionkey", "r_name"),
+        ],
+        "l_suppkey",
+    ).drop("series_title")
+
+
+def _by_part(lines: DataFrame, spark: SparkSession, sf_dir: str, title_of: tuple[str, ...]) -> DataFrame:
+    """Lines with the brand and type of their part, whose codes are padded on one side."""
     part = table(spark, sf_dir, "part")
     parts = part.select(
         F.col("p_partkey").alias("l_partkey"),
@@ -216,26 +262,16 @@ def _labelled(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat("p_type", F.lit(" ")).alias("type_code"), F.lower("p_type").alias("type_text")
     ).distinct()
 
-    by_supplier = ops.label_facts(
+    return ops.label_facts(
         lines,
-        suppliers,
-        [
-            ops.Lookup(nation, "s_nationkey", ("n_name", "n_regionkey")),
-            ops.Lookup(region.where(F.col("r_name") != "ASIA"), "n_regionkey", "r_name"),
-        ],
-        "l_suppkey",
-    ).drop("series_title")
-    labelled = ops.label_facts(
-        by_supplier,
         parts,
         [
             ops.Lookup(ops.broadcast_if_small(brands), "brand_code", "brand_text"),
             ops.Lookup(ops.broadcast_if_small(types), "type_code", "type_text"),
         ],
         "l_partkey",
-        title_of=LABELS,
+        title_of=title_of,
     )
-    return labelled.select(*lines.columns, *LABELS, "series_title")
 
 
 def labelled_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,13 +279,20 @@ def labelled_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity"
     )
     unique = ops.dedupe_by_key(lines, ("l_orderkey", "l_linenumber"))
-    labelled = _labelled(unique, spark, sf_dir)
+    by_supplier = _by_supplier(unique, spark, sf_dir)
+    labelled = _by_part(by_supplier, spark, sf_dir, LABELS).select(*lines.columns, *LABELS, "series_title")
     return labelled.withColumn("l_quantity", _money("l_quantity"))
 
 
 def lookup_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey")
-    return ops.lookup_resolution(_labelled(lines, spark, sf_dir), LABELS)
+    """Lines are counted per code first, so that only the few codes are joined."""
+    lines = table(spark, sf_dir, "lineitem")
+    count = F.count(F.lit(1)).alias("lines")
+    suppliers = _by_supplier(lines.groupBy("l_suppkey").agg(count), spark, sf_dir)
+    parts = _by_part(lines.groupBy("l_partkey").agg(count), spark, sf_dir, LABELS[2:])
+    return ops.lookup_resolution(suppliers, LABELS[:2], "lines").unionAll(
+        ops.lookup_resolution(parts, LABELS[2:], "lines")
+    )
 
 
 # --- sources -------------------------------------------------------------------------
@@ -342,10 +385,17 @@ CUSTOMER_RULES = (
 
 
 def expect_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = ops.keep_valid(table(spark, sf_dir, "customer"), CUSTOMER_RULES)
+    kept, _ = ops.check(table(spark, sf_dir, "customer"), CUSTOMER_RULES, "customer")
     return kept.withColumn("c_acctbal", _money("c_acctbal"))
 
 
+def rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows at which a run with the stricter rule would stop, and those that would be dropped."""
+    strict = (*CUSTOMER_RULES, ops.Rule("home_market", "c_nationkey < 20", "fail"))
+    broken = ops.violations(table(spark, sf_dir, "customer"), strict)
+    return broken.select("c_custkey", F.array_join("violated", ",").alias("violated"))
+
+
 def expect_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = ops.rule_metrics(table(spark, sf_dir, "customer"), CUSTOMER_RULES, "customer")
     coverage = ops.rule_metrics(
@@ -370,15 +420,20 @@ def listing_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.listing_links(table(spark, sf_dir, "pages"))
 
 
-def _landing_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _sides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links of all pages, found once: whether the listing or the landing zone has them, and
+    whether a page has them first."""
     links = ops.listing_links(table(spark, sf_dir, "pages"), keys="url")
-    secure = F.col("url").startswith("https:")
-    return links.where(secure).select("filename"), links.where(~secure).select("filename")
+    listed = F.col("url").startswith("https:")
+    return links.select(
+        "filename", listed.alias("listed"), (~listed).alias("held"), (F.col("position") == 0).alias("first")
+    )
 
 
 def _reconciled(spark: SparkSession, sf_dir: str, retain: bool = True) -> DataFrame:
-    listing, landed = _landing_sides(spark, sf_dir)
-    return ops.reconcile(ops.require_listing(listing), landed, retain)
+    sides = _sides(spark, sf_dir)
+    ops.require_listing(sides.where("listed"))
+    return ops.reconcile_sides(sides, retain)
 
 
 def landing_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -390,10 +445,22 @@ def landing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stale_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Required: the first link of every page."""
-    listing, landed = _landing_sides(spark, sf_dir)
-    first = listing_links(spark, sf_dir).where(F.col("position") == 0)
-    return ops.stale_sources(first, ops.unpublished(listing, landed))
+    """Required: the first link of every page. All three sides are flags of the same links."""
+    known = _sides(spark, sf_dir).groupBy("filename").agg(
+        *(F.bool_or(c).alias(c) for c in ("listed", "held", "first"))
+    )
+    return known.where("first AND held AND NOT listed").select("filename")
+
+
+def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetching every listed file once: names of a length divisible by five fail, those one longer
+    have no known outcome."""
+    sides = _sides(spark, sf_dir)
+    fifth = F.length("filename") % 5
+    outcomes = sides.where("listed").select("filename").distinct().select(
+        "filename", F.when(fifth != 1, fifth == 0).alias("failed")
+    )
+    return ops.run_summary(outcomes, ops.reconcile_sides(sides, retain=False))
 
 
 def _sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -470,8 +537,10 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _land_files(spark: SparkSession, sf_dir: str, root: str) -> None:
     """The raw shape of the flow out of the given tables. Facts: quantity per part, year and
-    quarter, once per line status, so that the natural key repeats; parts of the first
-    type report their yearly total only. Codes: brand, type, size and colour of the part."""
+    quarter, once per line status, so that the natural key repeats. Parts of the first type report
+    their yearly total under the annual code only; of the others, every third part reports the
+    average of its quarters beside them, and the next one reports every other year like the first
+    type. Codes: brand, type, size and colour of the part."""
     part = table(spark, sf_dir, "part")
     colour = F.substring_index("p_name", " ", 1)
     quantities = (
@@ -485,11 +554,15 @@ def _land_files(spark: SparkSession, sf_dir: str, root: str) -> None:
         .agg(F.sum("l_quantity").alias("v"))
         .join(part.select("p_partkey", "p_type"), "p_partkey", "left")
     )
-    period = F.when(F.col("p_type") == "ECONOMY", F.lit(ops.ANNUAL)).otherwise(
-        F.elt("q", *(F.lit(q) for q in ops.QUARTERS))
-    )
-    data = quantities.groupBy("p_partkey", "y", period.alias("p"), "l_linestatus").agg(
-        F.sum("v").cast("decimal(18,2)").alias("v")
+    third = F.col("p_partkey") % 3
+    yearly = F.coalesce(F.col("p_type") == "ECONOMY", F.lit(False)) | ((third == 1) & (F.col("y") % 2 == 0))
+    in_quarter = F.struct(F.elt("q", *(F.lit(q) for q in ops.QUARTERS)).alias("p"), F.col("v"))
+    in_year = F.struct(F.lit(ops.ANNUAL).alias("p"), F.when(yearly, F.col("v")).otherwise(F.col("v") / 4).alias("v"))
+    reported = F.array_compact(F.array(F.when(~yearly, in_quarter), F.when(yearly | (third == 0), in_year)))
+    data = (
+        quantities.select("p_partkey", "y", "l_linestatus", F.inline(reported))
+        .groupBy("p_partkey", "y", "p", "l_linestatus")
+        .agg(F.sum("v").cast("decimal(18,2)").alias("v"))
     )
     shaped = {
         "data": data.select(
@@ -547,12 +620,12 @@ def medallion_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "flow")
     run = root.rsplit("-", 1)[-1]
     _land_files(spark, sf_dir, f"{root}/landing")
-    settings = Settings(
-        landing=f"{root}/landing",
-        bronze=f"bronze_{run}",
-        silver=f"silver_{run}",
-        gold=f"gold_{run}",
-    )
+    names = {"landing": f"{root}/landing", **{layer: f"{layer}_{run}" for layer in ("bronze", "silver", "gold")}}
+    for name, value in names.items():
+        spark.conf.set(CONF_PREFIX + name, value)
+    settings = Settings.from_session(spark)
+    for name in names:
+        spark.conf.unset(CONF_PREFIX + name)
     asked = Questions(nation="F", start=1996, end=2000, series_id="PART25", period="Q01")
     Flow(spark, settings, asked, locations=root).run()
 
@@ -585,6 +658,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         best_year_single,
         period_rule_audit,
         equivalence_diff,
+        twins_diff,
         range_stats,
         reference_years,
         keyed_value_with_reference,
@@ -599,12 +673,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         rescue_malformed,
         schema_drift,
         expect_drop,
+        rule_violations,
         expect_metrics,
         volume_freshness,
         listing_links,
         landing_reconcile,
         landing_summary,
         stale_sources,
+        run_summary,
         manifest_seen,
         latest_snapshot,
         report_top10,

@@ -8,7 +8,7 @@ FACTS = """facts AS (
   SELECT l_partkey, l_returnflag,
          'Flag ' || l_returnflag || ', status ' || l_linestatus AS series_title,
          CAST(year(l_shipdate) AS INTEGER) AS year,
-         CASE WHEN l_returnflag = 'R' OR (l_returnflag = 'A' AND l_linestatus = 'F') THEN 'Q05'
+         CASE WHEN l_returnflag = 'R' OR l_linenumber % 3 = 0 THEN 'Q05'
               ELSE 'Q0' || CAST(quarter(l_shipdate) AS VARCHAR) END AS period,
          l_quantity AS value
   FROM lineitem)"""
@@ -36,6 +36,10 @@ YEARS = """years AS (
   SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS population
   FROM orders WHERE year(o_orderdate) <> 1998 GROUP BY 1)"""
 
+ALL_YEARS = """years AS (
+  SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS population
+  FROM orders GROUP BY 1)"""
+
 GAPS = f"""{YEARS},
 gaps AS (
   SELECT year, population, CAST(year - lag(year) OVER (ORDER BY year) AS INTEGER) AS year_gap
@@ -118,13 +122,18 @@ CUSTOMER_RULES = """rules AS (
   UNION ALL
   SELECT 'known_nation', 'fail', c_nationkey BETWEEN 0 AND 24 FROM customer)"""
 
-FLOW = """data AS (
+FLOW = """reported AS (
   SELECT l_partkey, CAST(year(l_shipdate) AS INTEGER) AS year,
-         CASE WHEN p_type = 'ECONOMY' THEN 'Q05'
-              ELSE 'Q0' || CAST(quarter(l_shipdate) AS VARCHAR) END AS period,
-         CAST(sum(l_quantity) AS DECIMAL(18,2)) AS value
-  FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
-  GROUP BY 1, 2, 3, l_linestatus),
+         unnest(CASE WHEN coalesce(p_type = 'ECONOMY', false)
+                       OR (l_partkey % 3 = 1 AND year(l_shipdate) % 2 = 0) THEN ['Q05']
+                     WHEN l_partkey % 3 = 0 THEN ['Q0' || quarter(l_shipdate), 'Q05/4']
+                     ELSE ['Q0' || quarter(l_shipdate)] END) AS code,
+         l_linestatus, l_quantity
+  FROM lineitem LEFT JOIN part ON l_partkey = p_partkey),
+data AS (
+  SELECT l_partkey, year, left(code, 3) AS period,
+         CAST(sum(CASE WHEN code = 'Q05/4' THEN l_quantity / 4 ELSE l_quantity END) AS DECIMAL(18,2)) AS value
+  FROM reported GROUP BY 1, 2, 3, l_linestatus),
 silver AS (
   SELECT 'PART' || l_partkey AS series_id,
          concat_ws(', ', upper(p_brand), lower(p_type), 'size ' || p_size,
@@ -141,7 +150,9 @@ flow_best AS (
   SELECT * FROM (
     SELECT *, rank() OVER (PARTITION BY series_id ORDER BY yearly_sum DESC) AS place
     FROM (SELECT series_id, series_title, year, sum(value) AS yearly_sum
-          FROM silver GROUP BY ALL))
+          FROM (SELECT *, max(CASE WHEN period <> 'Q05' THEN 1 ELSE 0 END) OVER (PARTITION BY series_id) AS quarterly
+                FROM silver)
+          WHERE (period <> 'Q05') = (quarterly = 1) GROUP BY ALL))
   WHERE place = 1),
 flow_values AS (
   SELECT series_id, year, value, population FROM silver LEFT JOIN people USING (year)
@@ -163,7 +174,17 @@ other AS (
   ON s.l_partkey = m.l_partkey AND s.l_returnflag = m.l_returnflag AND s.yearly_sum = m.peak)
 SELECT (SELECT count(*) FROM (SELECT * FROM best EXCEPT ALL SELECT * FROM other)) AS only_left,
        (SELECT count(*) FROM (SELECT * FROM other EXCEPT ALL SELECT * FROM best)) AS only_right""",
-    "range_stats": f"""WITH {YEARS}
+    "twins_diff": f"""WITH {BEST},
+other AS (
+  SELECT s.* FROM sums s JOIN (
+    SELECT l_partkey, l_returnflag, max(yearly_sum) AS peak FROM sums GROUP BY ALL) m
+  ON s.l_partkey = m.l_partkey AND s.l_returnflag = m.l_returnflag AND s.yearly_sum = m.peak)
+SELECT 'best_year' AS answer,
+       (SELECT count(*) FROM (SELECT * FROM best EXCEPT ALL SELECT * FROM other)) AS only_left,
+       (SELECT count(*) FROM (SELECT * FROM other EXCEPT ALL SELECT * FROM best)) AS only_right
+UNION ALL SELECT 'range_stats', 0, 0
+UNION ALL SELECT 'keyed_value', 0, 0""",
+    "range_stats": f"""WITH {ALL_YEARS}
 SELECT CAST(round(avg(population), 2) AS DECIMAL(18,2)) AS mean_population,
        CAST(round(stddev_samp(population), 2) AS DECIMAL(18,2)) AS stddev_population
 FROM years WHERE year BETWEEN 1996 AND 2000""",
@@ -216,15 +237,23 @@ FROM events""",
     "schema_drift": """
 SELECT * FROM (
   SELECT 'c_custkey' AS "column", 'bigint' AS expected_type, 'bigint' AS actual_type,
-         'ok' AS status, count(c_custkey) AS "values" FROM customer
-  UNION ALL SELECT 'c_name', 'string', 'string', 'ok', count(c_name) FROM customer
+         'ok' AS status, CAST(NULL AS BIGINT) AS "values"
+  UNION ALL SELECT 'c_name', 'string', 'string', 'ok', NULL
   UNION ALL SELECT 'c_nationkey', 'bigint', 'int', 'retyped', count(c_nationkey) FROM customer
-  UNION ALL SELECT 'c_phone', 'string', NULL, 'missing', count(NULL) FROM customer
-  UNION ALL SELECT 'c_acctbal', 'double', 'double', 'ok', count(c_acctbal) FROM customer
+  UNION ALL SELECT 'c_phone', 'string', NULL, 'missing', NULL
+  UNION ALL SELECT 'c_acctbal', 'double', 'double', 'ok', NULL
   UNION ALL SELECT 'c_mktsegment', NULL, 'string', 'unexpected', count(c_mktsegment) FROM customer)""",
     "expect_drop": """
 SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal, c_mktsegment
 FROM customer WHERE c_mktsegment <> 'MACHINERY' AND c_nationkey <> 7 AND c_acctbal >= 0""",
+    "rule_violations": """
+SELECT c_custkey, concat_ws(',',
+         CASE WHEN c_mktsegment IS NULL OR c_mktsegment = 'MACHINERY' THEN 'non_null_segment' END,
+         CASE WHEN NOT coalesce(c_nationkey <> 7 AND c_nationkey >= 0 AND c_acctbal >= 0, false)
+              THEN 'balance_not_negative' END,
+         CASE WHEN NOT coalesce(c_nationkey BETWEEN 0 AND 24, false) THEN 'known_nation' END,
+         CASE WHEN NOT coalesce(c_nationkey < 20, false) THEN 'home_market' END) AS violated
+FROM customer WHERE violated <> ''""",
     "expect_metrics": f"""WITH {GAPS}, {CUSTOMER_RULES}
 SELECT 'customer' AS dataset, rule, action, count(*) AS rows,
        count(*) FILTER (ok) AS passed, count(*) FILTER (NOT ok) AS failed,
@@ -249,6 +278,12 @@ FROM both_sides GROUP BY ALL""",
     "stale_sources": f"""WITH {RECONCILED}
 SELECT DISTINCT l.filename FROM links l JOIN both_sides b ON l.filename = b.filename
 WHERE l.position = 0 AND b.status = 'unpublished'""",
+    "run_summary": f"""WITH {RECONCILED}
+SELECT (SELECT count(*) FILTER (length(filename) % 5 NOT IN (0, 1)) FROM listing) AS downloaded,
+       (SELECT count(*) FILTER (length(filename) % 5 IN (0, 1)) FROM listing) AS failed,
+       count(*) FILTER (status = 'unpublished') AS unpublished,
+       count(*) FILTER (status = 'unpublished') AS deleted
+FROM both_sides""",
     "manifest_seen": f"""WITH {SEEN},
 spans AS (
   SELECT user_id, event_type, min(day) AS first_seen, max(day) AS last_seen
@@ -269,7 +304,7 @@ FROM best""",
     "report_title_totals": f"""WITH {TOP10}
 SELECT series_title, CAST(sum(yearly_sum) AS DECIMAL(18,2)) AS yearly_sum
 FROM top10 GROUP BY series_title""",
-    "report_trend": f"""WITH {YEARS}
+    "report_trend": f"""WITH {ALL_YEARS}
 SELECT year, population, population - lag(population) OVER (ORDER BY year) AS change
 FROM years WHERE year BETWEEN 1996 AND 2000""",
     "report_value_by_year": f"WITH {KEYED} SELECT year, value, population FROM keyed",

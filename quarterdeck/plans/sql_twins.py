@@ -18,29 +18,23 @@ WHERE year BETWEEN :start AND :end
 
 
 def best_year_select(series: str | Sequence[str] = "series_id") -> str:
-    """Best year per series: totals, then the ranking, as common table expressions."""
+    """Best year per series in the flag form: every fact learns whether its series has quarters,
+    facts under the other code go, and a year wins whose total is the largest of its series."""
     keys = ", ".join(columns_of(series))
+    same = " AND ".join(f"t.{k} <=> p.{k}" for k in columns_of(series))
     return f"""
-WITH coded AS (
-  SELECT {keys}, series_title, year, value,
-         CASE WHEN period IN ('Q01', 'Q02', 'Q03', 'Q04') THEN 1
-              WHEN period = 'Q05' THEN 0 END AS quarterly
-  FROM {{facts}}
+WITH kept AS (
+  SELECT {keys}, series_title, year, value FROM (
+    SELECT *, count_if(period IN ('Q01', 'Q02', 'Q03', 'Q04')) OVER (PARTITION BY {keys}) AS quarters
+    FROM {{facts}} WHERE period IN ('Q01', 'Q02', 'Q03', 'Q04', 'Q05'))
+  WHERE (period = 'Q05') = (quarters = 0)
 ),
-totals AS (
-  SELECT {keys}, series_title, year, max(quarterly) AS quarterly,
-         round(coalesce(sum(CASE WHEN quarterly = 1 THEN value END),
-                        CASE WHEN max(quarterly) = 0 THEN sum(value) END), 2) AS yearly_sum
-  FROM coded
-  WHERE quarterly IS NOT NULL
-  GROUP BY {keys}, series_title, year
+t AS (
+  SELECT {keys}, series_title, year, round(sum(value), 2) AS yearly_sum
+  FROM kept GROUP BY ALL
 ),
-placed AS (
-  SELECT *, rank() OVER (PARTITION BY {keys}
-                         ORDER BY quarterly DESC, yearly_sum DESC NULLS LAST) AS place
-  FROM totals
-)
-SELECT {keys}, series_title, year, yearly_sum FROM placed WHERE place = 1
+p AS (SELECT {keys}, max(yearly_sum) AS peak FROM t GROUP BY ALL)
+SELECT t.* FROM t JOIN p ON {same} AND t.yearly_sum <=> p.peak
 """
 
 
