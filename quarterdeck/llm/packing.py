@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.tokenizing import Encoder
+from quarterdeck.llm.tokenizing import encoder
 
 VOCABULARY = "byte_bpe_50k.json"
 LENGTH = 1024
@@ -118,11 +118,11 @@ def pack(sizes: list[int], length: int = LENGTH) -> list[tuple[int, int, int, in
 
 def _encoded(vocabulary: str):
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        own = encoder(vocabulary)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for i in range(0, len(texts), 64):
-                ids = encoder.encode([t or "" for t in texts[i : i + 64]])
+                ids = own.encode([t or "" for t in texts[i : i + 64]])
                 # two bytes an id while the vocabulary allows it
                 width = np.dtype("<u2" if all(not len(x) or x.max() < 1 << 16 for x in ids) else "<u4")
                 yield pa.RecordBatch.from_pydict(

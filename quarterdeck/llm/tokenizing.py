@@ -8,17 +8,21 @@ ids of the whole. Most parts are words seen before, so they are looked up instea
 
 from __future__ import annotations
 
+import base64
 import re
-from array import array
-from dataclasses import dataclass, field
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
+import tiktoken
 from tokenizers import Tokenizer
 
-# Parts remembered by a task.
-REMEMBERED = 300_000
+# Parts that a worker remembers in each of two generations; code points encoded in one call.
+REMEMBERED = 500_000
+AT_ONCE = 20_000
+# Vocabularies that are there as ranks too: the same ids, in less time.
+RANKS = {"byte_bpe_50k.json": "byte_bpe_50k.tiktoken"}
 _AFTER_WHITE = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
 
@@ -33,6 +37,15 @@ def load(name: str) -> Tokenizer:
     return Tokenizer.from_file(vocabulary(name))
 
 
+@lru_cache(maxsize=2)
+def _ranked(name: str) -> tiktoken.Encoding | None:
+    if name not in RANKS:
+        return None
+    with open(vocabulary(RANKS[name]), "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    return tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 def parts_of(text: str) -> list[str]:
     """The text in parts whose ids do not depend on one another; joined they are the text."""
     if _AFTER_WHITE.search(text):
@@ -41,59 +54,119 @@ def parts_of(text: str) -> list[str]:
     return [head, *[f" {part}" for part in rest]] if head else [f" {part}" for part in rest]
 
 
-@dataclass
-class Encoder:
-    """Encodes texts with the tokenizer of a file, for one task."""
-
-    name: str
-    ids: dict[str, bytes] = field(default_factory=dict)
-
-    def _learn(self, parts: set[str]) -> None:
-        if len(self.ids) + len(parts) > REMEMBERED:
-            self.ids.clear()
-        new = list(parts)
-        for part, found in zip(new, load(self.name).encode_batch(new, add_special_tokens=False), strict=True):
-            self.ids[part] = array("I", found.ids).tobytes()
+def _joined(parts: list[str]) -> Iterator[list[str]]:
+    """Parts in groups whose concatenation would be cut back into them."""
+    group: list[str] = []
+    size = 0
+    for part in parts:
+        if part[0] != " " or part[-1].isspace() or len(part) > AT_ONCE:
+            yield [part]
+            continue
+        if size + len(part) > AT_ONCE:
+            yield group
+            group, size = [], 0
+        group.append(part)
+        size += len(part)
+    if group:
+        yield group
+
+
+class Memory:
+    """What is known of parts of texts. When a generation is full it becomes the old one, from which
+    parts met again are taken over, so frequent parts stay."""
+
+    def __init__(self, name: str) -> None:
+        self.name = name
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def learned(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
+        raise NotImplementedError
+
+    def known(self, cut: list[list[str]]) -> dict[str, bytes]:
+        """A dictionary that has all of these parts."""
+        if len(self.young) > REMEMBERED:
+            self.old, self.young = self.young, {}
+        new = set().union(*cut).difference(self.young)
+        again = {p: self.old[p] for p in new if p in self.old}
+        self.young |= again
+        self.young.update(self.learned([p for p in new if p not in again]))
+        return self.young
+
+
+class Encoder(Memory):
+    """Ids of texts."""
+
+    def __init__(self, name: str) -> None:
+        super().__init__(name)
+        self.special = [t.content for t in load(name).get_added_tokens_decoder().values()]
+        # a token of a byte-level vocabulary is written with one character for each byte
+        self.bytes_of = np.zeros(load(name).get_vocab_size(), np.int64)
+        for token, i in load(name).get_vocab().items():
+            self.bytes_of[i] = len(token)
+
+    def ids_of(self, text: str) -> list[int]:
+        ranked = _ranked(self.name)
+        if ranked is None or any(t in text for t in self.special):
+            return load(self.name).encode(text, add_special_tokens=False).ids
+        return ranked.encode_ordinary(text)
+
+    def learned(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
+        for group in _joined(parts):
+            ids = np.array(self.ids_of("".join(group)), np.uint32)
+            if len(group) == 1:
+                yield group[0], ids.tobytes()
+                continue
+            ends = np.cumsum([len(p.encode()) for p in group])
+            stops = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends, side="left") + 1
+            data, at = ids.tobytes(), 0
+            for part, stop in zip(group, (4 * stops).tolist(), strict=True):
+                yield part, data[at:stop]
+                at = stop
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, 32 bits each."""
         cut = [parts_of(t) if t else [] for t in texts]
-        known = self.ids
-        unseen = {p for parts in cut for p in parts if p not in known}
-        if unseen:
-            self._learn(unseen)
-            if len(known) < len(unseen) or any(p not in known for parts in cut for p in parts):
-                self._learn({p for parts in cut for p in parts if p not in known})
+        known = self.known(cut)
         return [np.frombuffer(b"".join([known[p] for p in parts]), np.uint32) for parts in cut]
 
 
-@dataclass
-class Spans:
-    """Where the tokens of texts begin, in code points, for one task."""
-
-    name: str
-    places: dict[str, bytes] = field(default_factory=dict)
-
-    def _learn(self, parts: set[str]) -> None:
-        if len(self.places) + len(parts) > REMEMBERED:
-            self.places.clear()
-        new = list(parts)
-        for part, found in zip(new, load(self.name).encode_batch(new, add_special_tokens=False), strict=True):
-            flat = [x for span in found.offsets for x in span]
-            self.places[part] = np.array(flat, np.int32).tobytes()
-
-    def spans(self, text: str) -> np.ndarray:
-        """(first, past the last) code point of every token, in order. A token that holds part of a
-        code point's bytes spans that code point."""
-        if not text:
-            return np.zeros((0, 2), np.int32)
-        parts = parts_of(text)
-        unseen = {p for p in parts if p not in self.places}
-        if unseen:
-            self._learn(unseen)
-            self._learn({p for p in parts if p not in self.places})
-        found = [self.places[p] for p in parts]
-        starts = np.cumsum([0, *map(len, parts[:-1])], dtype=np.int64)
-        many = np.fromiter(map(len, found), np.int64, len(found)) // 8
-        flat = np.frombuffer(b"".join(found), np.int32).reshape(-1, 2)
-        return flat + np.repeat(starts, many)[:, None].astype(np.int32)
+class Spans(Memory):
+    """Where the tokens of texts are, in code points."""
+
+    def learned(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
+        for group in _joined(parts):
+            offsets = load(self.name).encode("".join(group), add_special_tokens=False).offsets
+            found = np.array(offsets, np.int32).reshape(-1, 2)
+            ends = np.cumsum([len(p) for p in group])
+            # a token belongs to the part that it begins in
+            stops = np.searchsorted(found[:, 0], ends, side="left")
+            at = base = 0
+            for part, stop, end in zip(group, stops.tolist(), ends.tolist(), strict=True):
+                yield part, (found[at:stop] - base).astype(np.int32).tobytes()
+                at, base = stop, end
+
+    def spans(self, texts: list[str]) -> list[np.ndarray]:
+        """(first, past the last) code point of every token of each text, in order. A token that holds
+        some of a code point's bytes spans that code point."""
+        cut = [parts_of(t) if t else [] for t in texts]
+        known = self.known(cut)
+        out = []
+        for parts in cut:
+            found = [known[p] for p in parts]
+            lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+            many = np.fromiter(map(len, found), np.int64, len(found)) // 8
+            flat = np.frombuffer(b"".join(found), np.int32).reshape(-1, 2)
+            out.append(flat + np.repeat(np.cumsum(lengths) - lengths, many)[:, None].astype(np.int32))
+        return out
+
+
+@lru_cache(maxsize=2)
+def encoder(name: str) -> Encoder:
+    """The encoder of this worker, which keeps what it knows from task to task."""
+    return Encoder(name)
+
+
+@lru_cache(maxsize=2)
+def spans(name: str) -> Spans:
+    return Spans(name)
