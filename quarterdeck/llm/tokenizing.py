@@ -131,18 +131,21 @@ class Encoder(Memory):
         return [np.frombuffer(b"".join([known[p] for p in parts]), np.uint32) for parts in cut]
 
 
-class Spans(Memory):
+class Spans(Encoder):
     """Where the tokens of texts are, in code points."""
 
     def learned(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
         for group in _joined(parts):
-            offsets = load(self.name).encode("".join(group), add_special_tokens=False).offsets
-            found = np.array(offsets, np.int32).reshape(-1, 2)
+            text = "".join(group)
+            stops = np.cumsum(self.bytes_of[np.array(self.ids_of(text), np.int64)])
+            starts = np.concatenate([[0], stops[:-1]])
+            data = np.frombuffer(text.encode(), np.uint8)
+            point = np.cumsum((data & 0xC0) != 0x80) - 1  # the code point that a byte belongs to
+            found = np.stack([point[starts], point[stops - 1] + 1], axis=1)
             ends = np.cumsum([len(p) for p in group])
-            # a token belongs to the part that it begins in
-            stops = np.searchsorted(found[:, 0], ends, side="left")
+            upto = np.searchsorted(found[:, 0], ends, side="left")
             at = base = 0
-            for part, stop, end in zip(group, stops.tolist(), ends.tolist(), strict=True):
+            for part, stop, end in zip(group, upto.tolist(), ends.tolist(), strict=True):
                 yield part, (found[at:stop] - base).astype(np.int32).tobytes()
                 at, base = stop, end
 
