@@ -45,8 +45,8 @@ def test_rescue_keeps_every_line(spark, tmp_path):
 
 
 RECORDS = [
-    {"Nation ID": "01000US", "Nation": "United States", "Year": 2013, "Population": 5},
-    {"Nation ID": "01000US", "Nation": "United States", "Year": 2014, "Population": 6},
+    {"Nation ID": "07042XX", "Nation": "United States", "Year": 2013, "Population": 5},
+    {"Nation ID": "07042XX", "Nation": "United States", "Year": 2014, "Population": 6},
 ]
 DOCUMENT = {"annotations": {"source": "x"}, "data": RECORDS, "columns": ["a"], "page": {"limit": 0}}
 NAMES = {"Nation ID": "nation_id", "Nation": "nation", "Year": "year", "Population": "population"}
@@ -173,18 +173,18 @@ def test_stream_ingest_of_padded_text(spark, tmp_path):
 FILES = {
     "data": [
         "series_id        \tyear\tperiod\t       value\tfootnote_codes",
-        "PRS30006032      \t2013\tQ01\t         0.5\t",
-        "PRS30006032      \t2013\tQ02\t         0.7\t",
-        "PRS30006032      \t2013\tQ05\t        99.0\t",
-        "PRS30006032      \t2020\tQ01\t        -7.0\tR",
-        "PRS30006032      \t2020\tQ01\t        -7.0\tR",
-        "PRS00000001      \t2014\tQ05\t         3.0\t",
-        "PRS00000001      \t2015\tQ05\t         3.0\t",
+        "FLOW0000042      \t2013\tQ01\t         0.5\t",
+        "FLOW0000042      \t2013\tQ02\t         0.7\t",
+        "FLOW0000042      \t2013\tQ05\t        99.0\t",
+        "FLOW0000042      \t2020\tQ01\t        -7.0\tR",
+        "FLOW0000042      \t2020\tQ01\t        -7.0\tR",
+        "FLOW0000007      \t2014\tQ05\t         3.0\t",
+        "FLOW0000007      \t2015\tQ05\t         3.0\t",
         "\t2015\tQ05\t         8.0\t",
     ],
     "series": [
         "series_id        \tsector_code\tclass_code\tmeasure_code\tduration_code\tseasonal",
-        "PRS30006032      \t3000\t6\t03 \t2\tS",
+        "FLOW0000042      \t3000\t6\t03 \t2\tS",
     ],
     "sector": ["sector_code\tsector_name", "3000 \tManufacturing"],
     "class": ["class_code\tclass_text", "6\tEmployees"],
@@ -202,7 +202,7 @@ def land(root, files, records):
 
 
 def record(year, population, nation="United States"):
-    return {"Nation ID": "01000US", "Nation": nation, "Year": year, "Population": population}
+    return {"Nation ID": "07042XX", "Nation": nation, "Year": year, "Population": population}
 
 
 @pytest.fixture(scope="module")
@@ -212,7 +212,7 @@ def flow(spark, tmp_path_factory):
     records = [record(y, p) for y, p in years.items()] + [record(2013, 1, "Elsewhere")]
     land(root, FILES, records)
     settings = Settings(f"{root}/landing", "t_bronze", "t_silver", "t_gold")
-    run = Flow(spark, settings, Questions(), str(root))
+    run = Flow(spark, settings, Questions(series_id="FLOW0000042"), str(root))
     metrics = run.run()
     return spark, run, metrics
 
@@ -222,7 +222,7 @@ def test_flow_labels(flow):
     silver = spark.read.table("t_silver.facts")
     assert silver.count() == 6
     titles = {r.series_id: r.series_title for r in silver.collect()}
-    assert titles == {"PRS30006032": "Manufacturing, Employees, Hours", "PRS00000001": ""}
+    assert titles == {"FLOW0000042": "Manufacturing, Employees, Hours", "FLOW0000007": ""}
 
 
 def test_flow_answers(flow):
@@ -230,9 +230,9 @@ def test_flow_answers(flow):
     stats = spark.read.table("t_gold.pop_stats").first()
     assert (stats.mean_population, stats.stddev_population) == (20.0, 10.0)
     best = sorted((r.series_id, r.year, r.yearly_sum) for r in spark.read.table("t_gold.best_year").collect())
-    assert best == [("PRS00000001", 2014, 3.0), ("PRS00000001", 2015, 3.0), ("PRS30006032", 2013, 1.2)]
+    assert best == [("FLOW0000007", 2014, 3.0), ("FLOW0000007", 2015, 3.0), ("FLOW0000042", 2013, 1.2)]
     values = sorted(tuple(r) for r in spark.read.table("t_gold.value_pop").collect())
-    assert values == [("PRS30006032", 2013, "Q01", 0.5, 10), ("PRS30006032", 2020, "Q01", -7.0, None)]
+    assert values == [("FLOW0000042", 2013, "Q01", 0.5, 10), ("FLOW0000042", 2020, "Q01", -7.0, None)]
 
 
 def test_flow_metrics(flow):
@@ -264,7 +264,7 @@ def test_flow_over_empty_facts_and_reference(spark, tmp_path):
     settings = Settings(f"{tmp_path}/landing", "e_bronze", "e_silver", "e_gold")
     fields = "`Nation ID`: string, Nation: string, Year: int, Population: bigint"
     schema = f"data array<struct<{fields}>>"
-    metrics = Flow(spark, settings, Questions(), str(tmp_path), schema).run()
+    metrics = Flow(spark, settings, Questions(series_id="FLOW0000042"), str(tmp_path), schema).run()
     assert {r.rule: (r.rows, r.failed) for r in metrics.collect()} == {
         "non_null_series_id": (0, 0),
         "non_null_year": (1, 1),
@@ -280,7 +280,7 @@ def test_flow_stops_on_a_fatal_rule_before_publishing(spark, tmp_path, monkeypat
     strict = (Rule("key_present", "series_id IS NOT NULL", "fail"),)
     monkeypatch.setattr(layers, "FACT_RULES", strict)
     with pytest.raises(RuleViolation, match="data.key_present: 1 of 8 rows"):
-        Flow(spark, settings, Questions(), str(tmp_path)).run()
+        Flow(spark, settings, Questions(series_id="FLOW0000042"), str(tmp_path)).run()
     assert not spark.catalog.tableExists("f_bronze.raw_data")
     assert not spark.catalog.tableExists("f_silver.facts")
 
