@@ -11,10 +11,10 @@ from quarterdeck.workspace import written
 BROADCAST_ROWS = 100_000
 
 
-def small_or_whole(df: DataFrame) -> DataFrame:
-    """A written table, marked for broadcast if it has few rows; otherwise Spark deals out both
-    sides of the join and may split a frequent key."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def small_or_whole(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table, marked for broadcast if it has at most ``rows`` rows; otherwise Spark deals out
+    both sides of the join and may split a frequent key."""
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def components(edges: DataFrame) -> DataFrame:

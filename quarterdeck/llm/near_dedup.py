@@ -30,6 +30,9 @@ TREES, DEPTH = 16, 8
 # Depths at which regions are formed, and classes of a region among which neighbours are sought.
 DEPTHS = (3, 5, 8)
 REGION = 512
+# Digests (16 bytes each) up to which the texts to compare are picked out by a broadcast; beyond, by
+# a shuffle of all texts.
+WANTED_ROWS = 1_000_000
 # Standard errors of the signature's estimate that a candidate may be below the threshold.
 SLACK = 4.5
 # Texts at a time, by characters.
@@ -185,7 +188,7 @@ def link(signed: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFra
     pairs = candidates(classes, percent)
     wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct(), "wanted")
     texts = written(
-        signed.join(small_or_whole(wanted), "digest").groupBy("digest").agg(F.min("text").alias("text")),
+        signed.join(small_or_whole(wanted, WANTED_ROWS), "digest").groupBy("digest").agg(F.min("text").alias("text")),
         "texts",
     )
     named = lambda c: texts.select(F.col("digest").alias(c), F.col("text").alias(f"text_{c}"))
@@ -194,10 +197,12 @@ def link(signed: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFra
 
 
 def grouped(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80
-) -> DataFrame:
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80,
+    with_text: bool = True,
+) -> DataFrame:
     """(``_row``, ``n``, ``component``): every row of ``docs`` as a struct, the size of its shingle set, and
-    the smallest id of its component.
+    the smallest id of its component. Without ``with_text`` the struct lacks the text, which then does
+    not travel to meet the components.
 
     Words are lower-cased (A-Z); a text with fewer than ``k`` words has one shingle, its whole
     sequence; null texts and texts without words have none and are linked with nothing. Sets are
@@ -228,7 +233,8 @@ def grouped(
         ),
         "named",
     )
-    joined = signed.select("_row", "n", "digest").join(named, F.col("digest") == F.col("_digest"), "left")
+    carried = [F.col("_row")[c].alias(c) for c in docs.columns if with_text or c != text]
+    joined = signed.select(F.struct(*carried).alias("_row"), "n", "digest").join(named, F.col("digest") == F.col("_digest"), "left")
     return joined.select("_row", "n", F.coalesce("component", own).alias("component"))
 
 
@@ -236,7 +242,7 @@ def near_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     """``doc_id, n_shingles, component_id, kept`` of every row, by ``grouped``."""
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     group = F.when(F.col("component") != NO_ID, F.col("component"))
-    return grouped(narrow, percent=percent).select(
+    return grouped(narrow, percent=percent, with_text=False).select(
         F.col("_row.doc_id").alias("doc_id"),
         F.col("n").alias("n_shingles"),
         group.alias("component_id"),
