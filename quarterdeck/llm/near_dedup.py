@@ -30,6 +30,8 @@ TREES, DEPTH = 16, 8
 # Depths at which regions are formed, and classes of a region among which neighbours are sought.
 DEPTHS = (3, 5, 8)
 REGION = 512
+# Places before a class, in a tree's order, whose classes count as its neighbours.
+NEIGHBOURS = 4
 # Digests (16 bytes each) up to which the texts to compare are picked out by a broadcast; beyond, by
 # a shuffle of all texts.
 WANTED_ROWS = 1_000_000
@@ -149,7 +151,7 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
         place = place.join(small_or_whole(regions), name, "left")
     place = written(place, "placed")
 
-    each = F.explode(F.array(*[F.col(f"hub_{n}") for n in names])).alias("h")
+    each = F.explode(F.array_distinct(F.array(*[F.col(f"hub_{n}") for n in names]))).alias("h")
     stars = place.select("digest", "sig", each).where(F.col("h").isNotNull() & (F.col("h.hub") != F.col("digest")))
     stars = stars.select(F.col("digest").alias("a"), F.col("sig").alias("sig_a"), F.col("h.hub").alias("b"), F.col("h.hub_sig").alias("sig_b"))
 
@@ -164,11 +166,13 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
         fits = F.coalesce(F.col(f"n_{name}"), F.lit(1)) <= REGION
         region = F.when(fits, F.struct(F.lit(i).alias("depth"), F.col(name).alias("key"), F.lit(0).cast("long").alias("part"))).otherwise(region)
     order = W.partitionBy("region").orderBy(*names[1:], "digest")
-    before = F.lag(F.struct(F.col("digest").alias("b"), F.col("sig").alias("sig_b"))).over(order)
+    own = F.struct(F.col("digest").alias("b"), F.col("sig").alias("sig_b"))
+    before = F.array_compact(F.array(*[F.lag(own, i).over(order) for i in range(1, NEIGHBOURS + 1)]))
     chains = (
         place.select("digest", "sig", *names[1:], region.alias("region"))
-        .withColumn("p", before)
-        .where(F.col("p").isNotNull() & (F.col("p.b") != F.col("digest")))
+        .withColumn("all", before)
+        .select("digest", "sig", F.explode("all").alias("p"))
+        .where(F.col("p.b") != F.col("digest"))
         .select(F.col("digest").alias("a"), F.col("sig").alias("sig_a"), F.col("p.b").alias("b"), F.col("p.sig_b").alias("sig_b"))
     )
     found = stars.unionAll(chains).mapInArrow(_likely(percent / 100), "a binary, b binary")
