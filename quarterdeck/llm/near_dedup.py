@@ -5,7 +5,7 @@
 2. Each tree orders the classes by its own ``DEPTH`` values. Classes that share a prefix of them form
    a region. Candidates are neighbours in that order, which have the longest prefix in common, and,
    as a group of near copies need not be alike among themselves, the hub of each region at several
-   depths: the class that shares most regions with others, which the original of many copies is.
+   depths: the class whose regions of all depths are largest, which the original of many copies is.
    Neighbours are sought in the shallowest region with ``REGION`` classes at most, so the depth adapts
    to how crowded a region is; what is still larger at full depth is dealt into parts of that size.
 3. Whole signatures rule out candidates far below the threshold; the rest are compared on their
@@ -128,29 +128,35 @@ def _confirmed(k: int, percent: int):
     return confirmed
 
 
-def candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of digests, a < b, without repeats: what may be linked among (digest, sig)."""
+def placed(classes: DataFrame) -> DataFrame:
+    """(digest, sig, k*, n_k*, hub_k*): a row for each tree of each of (digest, sig) that shares
+    a region there, with the size and the hub of its region at each depth."""
     names = [f"k{d}" for d in DEPTHS]
     places = written(
         classes.select("digest", "sig").mapInArrow(_prefixes, "digest binary, " + ", ".join(f"{n} long" for n in names)), "places"
     )
-    top = names[0]
-    shared = written(places.groupBy(top).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "regions")
-    crowded = written(places.join(small_or_whole(shared), top), "crowded")  # most classes share no region
-    fame = crowded.groupBy("digest").agg(F.sum("n").alias("fame"))
+    crowded = places
+    for name in names:  # at the first depth only classes that share a region stay; most share none
+        shared = written(crowded.groupBy(name).agg(F.count(F.lit(1)).alias(f"n_{name}")).where(f"n_{name} > 1"), "regions")
+        crowded = written(crowded.join(small_or_whole(shared), name, "inner" if name == names[0] else "left"), "crowded")
+    # over all depths, so that only a class that keeps all values of a group's original ties with it
+    sizes = [F.coalesce(F.col(f"n_{name}"), F.lit(1)) for name in names]
+    fame = crowded.groupBy("digest").agg(F.sum(sum(sizes[1:], sizes[0])).alias("fame"))
     short = classes.select("digest", "sig").join(written(fame, "fame"), "digest")
     # one byte of each value is enough to estimate the likeness
     place = written(
-        crowded.drop("n").join(written(short.mapInArrow(_shortened, "digest binary, sig binary, fame long"), "short"), "digest"), "place"
+        crowded.join(written(short.mapInArrow(_shortened, "digest binary, sig binary, fame long"), "short"), "digest"), "place"
     )
     for name in names:
         hub = F.max_by(F.struct(F.col("digest").alias("hub"), F.col("sig").alias("hub_sig")), F.struct("fame", "digest"))
-        regions = written(
-            place.groupBy(name).agg(F.count(F.lit(1)).alias(f"n_{name}"), hub.alias(f"hub_{name}")).where(f"n_{name} > 1"), "hubs"
-        )
+        regions = written(place.where(f"n_{name} > 1").groupBy(name).agg(hub.alias(f"hub_{name}")), "hubs")
         place = place.join(small_or_whole(regions), name, "left")
-    place = written(place, "placed")
+    return written(place, "placed")
+
 
+def candidates(place: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of digests, a < b, without repeats: neighbours and hubs of ``placed``."""
+    names = [f"k{d}" for d in DEPTHS]
     each = F.explode(F.array_distinct(F.array(*[F.col(f"hub_{n}") for n in names]))).alias("h")
     stars = place.select("digest", "sig", each).where(F.col("h").isNotNull() & (F.col("h.hub") != F.col("digest")))
     stars = stars.select(F.col("digest").alias("a"), F.col("sig").alias("sig_a"), F.col("h.hub").alias("b"), F.col("h.hub_sig").alias("sig_b"))
@@ -189,7 +195,7 @@ def _shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def link(signed: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """(a, b) of digests of the candidates whose full sets, from ``signed`` (digest, text), are linked."""
-    pairs = candidates(classes, percent)
+    pairs = candidates(placed(classes), percent)
     wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct(), "wanted")
     texts = written(
         signed.join(small_or_whole(wanted, WANTED_ROWS), "digest").groupBy("digest").agg(F.min("text").alias("text")),

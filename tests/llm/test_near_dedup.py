@@ -138,3 +138,24 @@ def test_hashes_stand_for_words():
     sig = minhashes([sets[0], joint], 2048)
     real = len(np.intersect1d(sets[0], joint)) / len(np.union1d(sets[0], joint))
     assert abs((sig[0] == sig[1]).mean() - real) < 0.04
+
+
+def changed(rng, text, changes=3):
+    own = text.split()
+    for at in rng.sample(range(len(own)), changes):
+        own[at] = f"x{rng.randrange(10**9)}"
+    return " ".join(own)
+
+
+def alike(a, b):
+    x, y = shingles(a), shingles(b)
+    return len(x & y) / len(x | y)
+
+
+@pytest.mark.parametrize("seed,percent,changes", [(1, 85, 3), (2, 85, 3), (3, 80, 4)])
+def test_star_of_thousands(spark, seed, percent, changes):
+    """Every copy is near the original and, mostly, near no other."""
+    texts = copies(random.Random(seed), 5000, changes=changes)
+    assert all(100 * alike(texts[0], t) >= percent for t in texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    assert {r.component_id for r in nd.near_report(docs, percent=percent).collect()} == {0}
