@@ -3,13 +3,13 @@
 1. Every text becomes its shingle set's digest and ``TREES * DEPTH`` MinHash values. Texts with the
    same set are one class from here on.
 2. Each tree orders the classes by its own ``DEPTH`` values. Classes that share a prefix of them form
-   a region. Candidates are neighbours in that order, which have the longest prefix in common, and,
-   as a group of near copies need not be alike among themselves, the hub of each region at several
-   depths: the class whose regions of all depths are largest, which the original of many copies is.
-   Neighbours are sought in the shallowest region with ``REGION`` classes at most, so the depth adapts
-   to how crowded a region is; what is still larger at full depth is dealt into parts of that size.
+   a region. The first candidates are each class and the hubs of its regions at several depths: the
+   class whose regions of all depths are largest, which the original of many copies is.
 3. Whole signatures rule out candidates far below the threshold; the rest are compared on their
    texts' full shingle sets, and the links that hold make connected components.
+4. A group of near copies need not be alike to one hub. So in every region that still holds several
+   components, all classes of different ones are compared by signature, block against block: first
+   the likeliest of each class are confirmed, then, between the components that are left, all.
 """
 
 from __future__ import annotations
@@ -27,11 +27,11 @@ from quarterdeck.llm.shingles import digest, minhashes, mix, shingle_sets
 from quarterdeck.workspace import written
 
 TREES, DEPTH = 16, 8
-# Depths at which regions are formed, and classes of a region among which neighbours are sought.
+# Depths at which regions are formed, classes of a block of one, and likeliest classes of other
+# components that each class of a block is compared with before all that are left.
 DEPTHS = (3, 5, 8)
 REGION = 512
-# Places before a class, in a tree's order, whose classes count as its neighbours.
-NEIGHBOURS = 4
+LEADERS = 4
 # Digests (16 bytes each) up to which the texts to compare are picked out by a broadcast; beyond, by
 # a shuffle of all texts.
 WANTED_ROWS = 1_000_000
@@ -117,8 +117,10 @@ def _confirmed(k: int, percent: int):
             left, right = batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()
             linked: list[int] = []
             for i, j in _blocks([(x or "") + (y or "") for x, y in zip(left, right, strict=True)]):
-                a, b = shingle_sets(left[i:j], k), shingle_sets(right[i:j], k)
-                for row, (x, y) in enumerate(zip(a, b, strict=True), i):
+                texts = list({*left[i:j], *right[i:j]})  # a hub stands in many pairs
+                sets = dict(zip(texts, shingle_sets(texts, k), strict=True))
+                for row in range(i, j):
+                    x, y = sets[left[row]], sets[right[row]]
                     if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
                         both = len(np.intersect1d(x, y, assume_unique=True))
                         if 100 * both >= percent * (len(x) + len(y) - both):
@@ -155,34 +157,112 @@ def placed(classes: DataFrame) -> DataFrame:
 
 
 def candidates(place: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of digests, a < b, without repeats: neighbours and hubs of ``placed``."""
+    """(a, b) of digests, a < b, without repeats: classes of ``placed`` and the hubs of their regions."""
     names = [f"k{d}" for d in DEPTHS]
     each = F.explode(F.array_distinct(F.array(*[F.col(f"hub_{n}") for n in names]))).alias("h")
     stars = place.select("digest", "sig", each).where(F.col("h").isNotNull() & (F.col("h.hub") != F.col("digest")))
     stars = stars.select(F.col("digest").alias("a"), F.col("sig").alias("sig_a"), F.col("h.hub").alias("b"), F.col("h.hub_sig").alias("sig_b"))
 
-    last = names[-1]
-    size = F.coalesce(F.col(f"n_{last}"), F.lit(1))
-    region = F.struct(
-        F.lit(len(names)).alias("depth"),
-        F.col(last).alias("key"),
-        F.pmod(F.xxhash64("digest"), F.ceil(size / REGION)).alias("part"),
+    found = stars.mapInArrow(_likely(percent / 100), "a binary, b binary")
+    return written(found.distinct(), "candidates")
+
+
+def _rows(groups: np.ndarray) -> list[tuple[int, int]]:
+    ends = [*(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(groups)]
+    return list(zip([0, *ends[:-1]], ends, strict=True))
+
+
+def _apart(threshold: float, most: int | None):
+    many = TREES * DEPTH
+    least = threshold - SLACK * np.sqrt(threshold * (1 - threshold) / many)
+    fewest = (least * (1 - 1 / 256) + 1 / 256) * many
+
+    def best(same: np.ndarray) -> np.ndarray:
+        if most is None or same.shape[1] <= most:
+            return same >= fewest
+        bar = np.partition(same, same.shape[1] - most, axis=1)[:, -most]
+        return same >= np.maximum(bar, fewest)[:, None]
+
+    def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        if not rows.num_rows:
+            return
+        sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(-1, many)
+        digests = rows.column("digest").to_pylist()
+        component, group = (rows.column(c).to_numpy() for c in ("component", "group"))
+        left, right = (rows.column(c).to_numpy().astype(bool) for c in ("is_left", "is_right"))
+        for i, j in _rows(group):
+            x, y = i + np.flatnonzero(left[i:j]), i + np.flatnonzero(right[i:j])
+            if not len(x) or not len(y):
+                continue
+            step = max(1, (1 << 17) // len(y))
+            same = np.concatenate(
+                [(sig[x[at : at + step], None] == sig[None, y]).sum(axis=2, dtype=np.uint8) for at in range(0, len(x), step)]
+            )
+            same = np.where(component[x][:, None] == component[y][None], 0, same)
+            found = set()
+            for u, v in zip(*np.nonzero(best(same) | best(same.T).T), strict=True):
+                a, b = digests[x[u]], digests[y[v]]
+                found.add((min(a, b), max(a, b)))
+            yield pa.RecordBatch.from_pydict(
+                {"a": pa.array([p[0] for p in found], pa.binary()), "b": pa.array([p[1] for p in found], pa.binary())}
+            )
+
+    def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Likely pairs of different components among the rows of a group, which follow one another."""
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            if held.num_rows:
+                groups = held.column("group").to_numpy()
+                whole_until = _rows(groups)[-1][0]
+                yield from pairs(held.slice(0, whole_until))
+                held = held.slice(whole_until)
+        if held is not None:
+            yield from pairs(held)
+
+    return apart
+
+
+def rest(place: DataFrame, of: DataFrame, percent: int, most: int | None) -> DataFrame:
+    """(a, b) of digests, a < b, without repeats: pairs that share a region of the shallowest depth and
+    lie in different components by ``of`` (digest, component). For each class of two blocks the ``most``
+    that are likeliest, or all that may reach the threshold.
+
+    A region's largest component and its other classes are dealt into blocks of ``REGION`` rows
+    on average; every block of other classes meets every block, and no class its own component.
+    """
+    top = f"k{DEPTHS[0]}"
+    at = written(place.select("digest", top).join(of, "digest"), "members")
+    by_component = at.groupBy(top, "component").agg(F.count(F.lit(1)).alias("n"))
+    regions = by_component.groupBy(top).agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n")
     )
-    for i, name in reversed(list(enumerate(names))):
-        fits = F.coalesce(F.col(f"n_{name}"), F.lit(1)) <= REGION
-        region = F.when(fits, F.struct(F.lit(i).alias("depth"), F.col(name).alias("key"), F.lit(0).cast("long").alias("part"))).otherwise(region)
-    order = W.partitionBy("region").orderBy(*names[1:], "digest")
-    own = F.struct(F.col("digest").alias("b"), F.col("sig").alias("sig_b"))
-    before = F.array_compact(F.array(*[F.lag(own, i).over(order) for i in range(1, NEIGHBOURS + 1)]))
-    chains = (
-        place.select("digest", "sig", *names[1:], region.alias("region"))
-        .withColumn("all", before)
-        .select("digest", "sig", F.explode("all").alias("p"))
-        .where(F.col("p.b") != F.col("digest"))
-        .select(F.col("digest").alias("a"), F.col("sig").alias("sig_a"), F.col("p.b").alias("b"), F.col("p.sig_b").alias("sig_b"))
+    parts = lambda n: F.ceil(n / REGION).cast("long")
+    still = written(
+        regions.where("n > n_main").select(top, "main", parts(F.col("n") - F.col("n_main")).alias("others"), parts(F.col("n_main")).alias("mains")),
+        "open",
     )
-    found = stars.unionAll(chains).mapInArrow(_likely(percent / 100), "a binary, b binary")
-    return written(found.distinct(), "candidates")
+    is_main = F.col("component") == F.col("main")
+    dealt = lambda n: F.pmod(F.xxhash64("digest"), F.col(n))
+    own = F.when(is_main, F.col("others") + dealt("mains")).otherwise(dealt("others"))
+    last = F.when(is_main, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
+    sigs = place.select("digest", "sig").groupBy("digest").agg(F.first("sig").alias("sig"))
+    rows = (
+        at.join(small_or_whole(still), top)
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+        .select(
+            "digest",
+            "component",
+            F.xxhash64(top, F.least("own", "other"), F.greatest("own", "other")).alias("group"),
+            (F.col("own") <= F.col("other")).alias("is_left"),
+            (F.col("own") >= F.col("other")).alias("is_right"),
+        )
+        .join(sigs, "digest")
+    )
+    found = rows.repartition("group").sortWithinPartitions("group").mapInArrow(_apart(percent / 100, most), "a binary, b binary")
+    return written(found.distinct(), "rest")
 
 
 def _shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,9 +273,8 @@ def _shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def link(signed: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """(a, b) of digests of the candidates whose full sets, from ``signed`` (digest, text), are linked."""
-    pairs = candidates(placed(classes), percent)
+def link(pairs: DataFrame, signed: DataFrame, k: int, percent: int) -> DataFrame:
+    """The ``pairs`` (a, b) of digests whose full sets, from ``signed`` (digest, text), are linked."""
     wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct(), "wanted")
     texts = written(
         signed.join(small_or_whole(wanted, WANTED_ROWS), "digest").groupBy("digest").agg(F.min("text").alias("text")),
@@ -203,7 +282,20 @@ def link(signed: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFra
     )
     named = lambda c: texts.select(F.col("digest").alias(c), F.col("text").alias(f"text_{c}"))
     compared = pairs.join(named("a"), "a").join(named("b"), "b")
-    return compared.mapInArrow(_confirmed(k, percent), "a binary, b binary")
+    return written(compared.mapInArrow(_confirmed(k, percent), "a binary, b binary"), "linked")
+
+
+def _components(links: DataFrame, ids: DataFrame) -> DataFrame:
+    """(digest, component) of all of ``ids`` (digest, id)."""
+    edges = (
+        links.join(ids.select(F.col("digest").alias("a"), F.col("id").alias("id_a")), "a")
+        .join(ids.select(F.col("digest").alias("b"), F.col("id").alias("id_b")), "b")
+        .select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    )
+    groups = written(components(edges), "components").withColumnRenamed("node", "id")
+    return written(
+        ids.join(small_or_whole(groups), "id", "left").select("digest", F.coalesce("component", "id").alias("component")), "named"
+    )
 
 
 def grouped(
@@ -229,20 +321,21 @@ def grouped(
         signed.where("n > 0").groupBy("digest").agg(F.min(own).alias("id"), F.min("sig").alias("sig")), "classes"
     )
     texts = signed.select("digest", F.col("_row")[text].alias("text"))
-    links = link(texts, classes, k, percent)
     ids = classes.select("digest", "id")
-    edges = (
-        links.join(ids.select(F.col("digest").alias("a"), F.col("id").alias("id_a")), "a")
-        .join(ids.select(F.col("digest").alias("b"), F.col("id").alias("id_b")), "b")
-        .select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-    )
-    groups = written(components(edges), "components").withColumnRenamed("node", "id")
-    named = written(
-        ids.join(small_or_whole(groups), "id", "left").select(
-            F.col("digest").alias("_digest"), F.coalesce("component", "id").alias("component")
-        ),
-        "named",
-    )
+    place = placed(classes)
+    compared = candidates(place, percent)
+    links = link(compared, texts, k, percent)
+    of = _components(links, ids)
+    for most in (LEADERS, None):
+        more = written(rest(place, of, percent, most).join(compared, ["a", "b"], "left_anti"), "more")
+        if more.isEmpty():
+            continue
+        compared = compared.unionAll(more)
+        found = link(more, texts, k, percent)
+        if not found.isEmpty():
+            links = links.unionAll(found)
+            of = _components(links, ids)
+    named = of.withColumnRenamed("digest", "_digest")
     carried = [F.col("_row")[c].alias(c) for c in docs.columns if with_text or c != text]
     joined = signed.select(F.struct(*carried).alias("_row"), "n", "digest").join(named, F.col("digest") == F.col("_digest"), "left")
     return joined.select("_row", "n", F.coalesce("component", own).alias("component"))

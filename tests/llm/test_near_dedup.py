@@ -159,3 +159,13 @@ def test_star_of_thousands(spark, seed, percent, changes):
     assert all(100 * alike(texts[0], t) >= percent for t in texts)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
     assert {r.component_id for r in nd.near_report(docs, percent=percent).collect()} == {0}
+
+
+def test_copies_of_copies(spark):
+    """A child is near its parent only, which neither leads a region nor need stand beside it."""
+    rng = random.Random(8)
+    texts = copies(rng, 1500, changes=3)
+    texts += [changed(rng, t) for t in texts[1:1001]]
+    assert all(alike(texts[i], texts[i + 1500]) >= 0.85 for i in range(1, 1001))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    assert [r.doc_id for r in nd.near_report(docs).collect() if r.component_id] == []
