@@ -7,8 +7,9 @@ its normal form, so one entity has one surrogate wherever it stands and the same
 surrogates again. Digits become digits, letters letters of the same case and script (Latin,
 Cyrillic or Greek), other characters stay, and what makes the kind valid is kept: the first digit of
 a phone number's country code and its ``555``, bytes below 256 in an address, whether a card passes
-the Luhn check. Given names come from a list of the title's gender; surnames are drawn by themselves,
-so a person named again by surname alone keeps it.
+the Luhn check. Given names come from a list of the title's gender, after some rounds joined from two
+or more of them; surnames are entities of their own, with their own round in every name that holds
+them, so a person named again by surname alone keeps it.
 
 Distinctness is checked over the whole corpus: where a surrogate of one entity is the surrogate of
 another or an entity that occurs, all but the first draw again with the next round number until none
@@ -54,6 +55,8 @@ ALPHABETS = (
 ANY = "|".join(PATTERNS.values())
 
 MOST_ROUNDS = 64
+# Rounds from which a given name is joined from one more of its list.
+LONGER = (4, 12, 24)
 
 
 def _luhn_sum(digits: Column, check: bool) -> Column:
@@ -145,8 +148,9 @@ def _poured(digits: Column, value: Column) -> Column:
     return let(F.split(digits, ""), both)
 
 
-def surrogate(key: str, kind: Column, value: Column, round_: Column) -> Column:
-    """The surrogate of a mention: that of its entity, in the mention's own format."""
+def surrogate(key: str, kind: Column, value: Column, round_: Column, surname_round: Column) -> Column:
+    """The surrogate of a mention: that of its entity, in the mention's own format. The surname in a name
+    has its own round."""
 
     def drawn(bits: Column) -> Column:
         plain = _digits(value)
@@ -172,13 +176,18 @@ def surrogate(key: str, kind: Column, value: Column, round_: Column) -> Column:
             .when(kind == "ip", F.concat_ws(".", *[byte(i) for i in range(4)]))
             .when(kind == "card", _poured(card, value))
             .when(kind == "phone", _poured(_numbered(value, bits, 1, "555"), value))
-            .when(kind == "name", _renamed(key, value, bits, round_))
+            .when(kind == "name", _renamed(key, value, bits, round_, surname_round))
+            .when(kind == "surname", _substituted(value, bits))
         )
 
     return let(_hash(key, kind, normal_form(kind, value), round_), drawn)
 
 
-def _renamed(key: str, value: Column, bits: Column, round_: Column) -> Column:
+def _surname(value: Column) -> Column:
+    return F.substring_index(value, " ", -1)
+
+
+def _renamed(key: str, value: Column, bits: Column, round_: Column, surname_round: Column) -> Column:
     title = F.regexp_extract(value, rf"^({_TITLE}) ", 1)
     names = F.split(F.substring(value, F.length(title) + 2, F.length(value)), " ")
     woman = F.regexp_replace(title, r"\.$", "").isin(*WOMEN)
@@ -186,10 +195,11 @@ def _renamed(key: str, value: Column, bits: Column, round_: Column) -> Column:
     given = F.lit(None).cast("string")
     for group, choices in GIVEN.items():
         fits = (woman if group[0] == "f" else ~woman) & (script == group[1:])
-        pick = F.get(F.array(*map(F.lit, choices)), F.pmod(_stream(bits, F.lit(400).cast("long")), F.lit(len(choices))))
-        given = F.when(fits, pick).otherwise(given)
+        pick = lambda i: F.get(F.array(*map(F.lit, choices)), F.pmod(_stream(bits, F.lit(400 + i).cast("long")), F.lit(len(choices))))  # noqa: B023, E731
+        more = [F.when(round_ >= least, F.lower(pick(i))).otherwise("") for i, least in enumerate(LONGER, 1)]
+        given = F.when(fits, F.concat(pick(0), *more)).otherwise(given)
     last = F.element_at(names, -1)
-    surname = let(_hash(key, F.lit("surname"), last, round_), lambda b: _substituted(last, b))
+    surname = let(_hash(key, F.lit("surname"), last, surname_round), lambda b: _substituted(last, b))
     return F.concat_ws(" ", title, F.when(F.size(names) > 1, given), surname)
 
 
@@ -206,23 +216,43 @@ def entities(mentions: DataFrame) -> DataFrame:
 
 
 def redrawn(found: DataFrame, key: str, most_rounds: int = MOST_ROUNDS) -> DataFrame:
-    """(kind, normal, round) of the entities of (kind, value, normal) whose first draw collides, with the
-    round that does not. Raises if some still collide after ``most_rounds``."""
-    mine = found.groupBy("kind", "normal").agg(F.min("value").alias("value"))
-    state = written(mine.withColumn("round", F.lit(0)), "surrogates")
-    real = state.select("kind", F.col("normal").alias("drawn"), F.lit(True).alias("real"))
+    """(kind, normal, round) of the entities of (kind, value, normal), and of the surnames in them, whose
+    first draw collides, with the round that does not. Raises if some still collide after ``most_rounds``."""
+    last = _surname(F.col("value"))
+    names = found.where("kind = 'name'")
+    surnames = names.select(F.lit("surname").alias("kind"), last.alias("value"), last.alias("normal")).distinct()
+    rest = found.where("kind <> 'name'").select("kind", "value", "normal").unionByName(surnames)
+    settled = written(_settled(rest.withColumn("surname_round", F.lit(0)), key, most_rounds), "settled")
+    # a name of one word is its surname, and differs as that does
+    whole_names = names.where(F.instr("normal", " ") > 0).select("kind", "value", "normal")
+    return settled.unionByName(_settled(with_surname_rounds(whole_names, settled), key, most_rounds))
+
+
+def with_surname_rounds(found: DataFrame, settled: DataFrame) -> DataFrame:
+    """(kind, value, normal) with the round of the surname that a name holds, by ``redrawn``."""
+    rounds = settled.where("kind = 'surname'").select(F.col("normal").alias("surname"), F.col("round").alias("surname_round"))
+    last = F.when(F.col("kind") == "name", _surname(F.col("value")))
+    joined = found.withColumn("surname", last).join(small_or_whole(rounds), "surname", "left").drop("surname")
+    return joined.withColumn("surname_round", F.coalesce("surname_round", F.lit(0)))
+
+
+def _settled(found: DataFrame, key: str, most_rounds: int) -> DataFrame:
+    """(kind, normal, round) of those of (kind, value, normal, surname_round) that draw again. All values
+    of an entity are checked, and draw again together."""
+    state = written(found.withColumn("round", F.lit(0)), "surrogates")
+    real = state.select("kind", F.col("normal").alias("drawn"), F.lit(True).alias("real")).distinct()
     for _ in range(most_rounds):
-        made = surrogate(key, F.col("kind"), F.col("value"), F.col("round"))
-        own = written(
-            state.withColumn("made", made).withColumn("drawn", normal_form(F.col("kind"), F.col("made"))), "drawn"
-        )
+        made = surrogate(key, F.col("kind"), F.col("value"), F.col("round"), F.col("surname_round"))
+        own = written(state.withColumn("drawn", normal_form(F.col("kind"), made)), "drawn")
         order = W.partitionBy("kind", "drawn").orderBy("round", "normal")
-        placed = own.withColumn("place", F.row_number().over(order)).join(real, ["kind", "drawn"], "left")
-        bad = (F.col("place") > 1) | F.col("real").isNotNull()
-        after = written(placed.withColumn("bad", bad).drop("real", "place", "made", "drawn"), "surrogates")
-        if not after.where("bad").count():
-            return after.where("round > 0").select("kind", "normal", "round")
-        state = after.select("kind", "normal", "value", (F.col("round") + F.col("bad").cast("int")).alias("round"))
+        placed = own.withColumn("place", F.dense_rank().over(order)).join(real, ["kind", "drawn"], "left")
+        bad = ((F.col("place") > 1) | F.col("real").isNotNull()).cast("int")
+        after = written(
+            placed.withColumn("bad", F.max(bad).over(W.partitionBy("kind", "normal"))).drop("real", "place", "drawn"), "surrogates"
+        )
+        if not after.where("bad > 0").count():
+            return after.where("round > 0").select("kind", "normal", "round").distinct()
+        state = after.withColumn("round", F.col("round") + F.col("bad")).drop("bad")
     raise ValueError(f"surrogates still collide after {most_rounds} rounds: too few of their kind")
 
 
@@ -254,8 +284,10 @@ def replace(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     found = written(entities(mentions), "entities")
     again = written(redrawn(found, key), "redrawn")
     made = written(
-        found.join(small_or_whole(again), ["kind", "normal"], "left").select(
-            "value", "kind", surrogate(key, F.col("kind"), F.col("value"), F.coalesce("round", F.lit(0))).alias("surrogate")
+        with_surname_rounds(found, again).join(small_or_whole(again), ["kind", "normal"], "left").select(
+            "value",
+            "kind",
+            surrogate(key, F.col("kind"), F.col("value"), F.coalesce("round", F.lit(0)), F.col("surname_round")).alias("surrogate"),
         ),
         "made",
     )

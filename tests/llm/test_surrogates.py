@@ -104,3 +104,20 @@ def test_edge_rows(spark):
     assert sg.surrogate_report(docs.limit(0), "k").count() == 0
     first, second = (sg.surrogate_report(docs.where("doc_id = 3"), k).first().text for k in ("k", "other"))
     assert first != second
+
+
+def test_thousands_of_short_titled_names(spark):
+    """Different surnames stay different, one surname is one in every name, and so are whole names."""
+    letters = "abcdefghij"
+    surnames = [f"{a.upper()}{b}{c}" for a in letters for b in letters for c in letters]
+    given = [f"{a.upper()}{b}" for a in "kl" for b in letters]
+    names = [f"{t} {s}" for s in surnames for t in ("Mr", "Mrs")] + [f"{t} Kim {s}" for s in surnames for t in ("Mr", "Mrs")]
+    names += [f"Mrs {g} {s}" for s in surnames[:60] for g in given]  # more of a surname than given names of the list
+    made = {f.value: f.surrogate for _, _, found in run(spark, list(enumerate(names))) for f in found}
+    assert set(made) == set(names) and len(set(made.values())) == len(names)
+    of = defaultdict(set)
+    for old, new in made.items():
+        of[old.split()[-1]].add(new.split()[-1])
+    assert all(len(v) == 1 for v in of.values())
+    new = {x for v in of.values() for x in v}
+    assert len(new) == len(surnames) and not new & set(surnames)
