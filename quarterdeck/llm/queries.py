@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterdeck.llm import conversations, line_dedup, mixing, near_dedup, packing, quality, surrogates, token_counts, toxicity, vectors
+from quarterdeck.llm import conversations, line_dedup, mixing, near_dedup, packing, passages, quality, surrogates, token_counts, toxicity, vectors
 from quarterdeck.llm.fingerprint import fingerprints
 
 
@@ -57,6 +57,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeats_report(_table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_report(_table(spark, sf_dir, "conversations"))
 
@@ -72,6 +76,7 @@ QUERIES = {
     "op8_hnsw": op8_hnsw,
     "op9_packing": op9_packing,
     "op10_token_counts": op10_token_counts,
+    "op12_suffix_dedup": op12_suffix_dedup,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
