@@ -195,13 +195,24 @@ def pack_documents(
 
     A document is the ids of its whole text (null: empty) and an id 0 at the end. Each id is in one
     piece. Sequences hold ``length`` tokens, or a smaller power of two once or a few times a group.
-    Rows are dealt out evenly whatever their ids, so null and repeated ids are packed like others;
-    other columns are ignored; no rows give no rows.
+    Rows are dealt out and ordered by a hash of id, tokens and, among equal rows, their number, so every
+    run over the same rows gives the same pieces, a task that runs again too, and null and repeated ids
+    spread like others. Other columns are ignored; no rows give no rows.
     """
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
     partitions = max(1, -(-narrow.count() // GROUP_ROWS))
-    dealt = narrow.mapInArrow(_encoded(vocabulary), f"doc_id {kind}, width int, ids binary").repartition(partitions)
+    encoded = narrow.mapInArrow(_encoded(vocabulary), f"doc_id {kind}, width int, ids binary")
+    numbered = (
+        encoded.groupBy("doc_id", "width", "ids")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("doc_id", "width", "ids", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("n"))
+    )
+    dealt = (
+        numbered.withColumn("deal", F.xxhash64("doc_id", "ids", "n"))
+        .repartition(partitions, "deal")
+        .sortWithinPartitions("deal", "doc_id", "ids", "n")
+    )
     schema = (
         f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     )

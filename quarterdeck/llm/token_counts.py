@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.tokenizing import spans
+from quarterdeck.llm.tokenizing import encoder
 
 VOCABULARY = "byte_bpe_50k.json"
 RULES = ("first", "most", "split")
@@ -71,14 +71,14 @@ def attribute(tokens: np.ndarray, sections: np.ndarray, rule: str) -> tuple[np.n
 
 def _count(vocabulary: str, rule: str, own_sections: bool):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = spans(vocabulary)
+        own = encoder(vocabulary)
         for batch in batches:
             rows: list[int] = []
             parts: list[np.ndarray] = []
             texts = batch.column("text").to_pylist()
             given = batch.column("sections").to_pylist() if own_sections else [None] * len(texts)
             texts = [t or "" for t in texts]
-            encoded = (x for i in range(0, len(texts), 64) for x in own.spans(texts[i : i + 64]))
+            encoded = (own.spans([t])[0] for t in texts)
             for i, (text, at, tokens) in enumerate(zip(texts, given, encoded, strict=True)):
                 if own_sections:
                     valid = sorted((s["start"], s["stop"]) for s in at or [] if s and None not in (s["start"], s["stop"]))

@@ -1,30 +1,22 @@
-"""Token ids of whole texts by a given public tokenizer file, with what repeats remembered.
-
-A byte-level tokenizer cuts a text into pre-tokens before it merges bytes, and a pre-token holds a
-space only where it begins (or is white space alone). A text may therefore be cut before every
-space that follows something other than white space, and the parts encoded one by one give the
-ids of the whole. Most parts are words seen before, so they are looked up instead.
-"""
+"""Token ids and spans of whole texts by given public tokenizer files; every text is encoded once, whole."""
 
 from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import tiktoken
+from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-# Parts that a worker remembers in each of two generations; code points encoded in one call.
-REMEMBERED = 500_000
-AT_ONCE = 20_000
 # Vocabularies that are there as ranks too: the same ids, in less time.
 RANKS = {"byte_bpe_50k.json": "byte_bpe_50k.tiktoken"}
-_AFTER_WHITE = re.compile(r"\s ")
-_CUT = re.compile(r"(?<=\S)(?= )")
+# White space in a row that the ranks' expressions bear; they fail at twice as much.
+WHITE = 500_000
+_WHITE = re.compile(rf"\s{{{WHITE}}}")
 
 
 def vocabulary(name: str) -> str:
@@ -32,9 +24,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-@lru_cache(maxsize=2)
-def load(name: str) -> Tokenizer:
-    return Tokenizer.from_file(vocabulary(name))
+@lru_cache(maxsize=4)
+def load(name: str, plain: bool = False) -> Tokenizer:
+    """A tokenizer; ``plain`` takes the strings of special tokens in a text as ordinary text."""
+    own = Tokenizer.from_file(vocabulary(name))
+    own.encode_special_tokens = plain
+    return own
 
 
 @lru_cache(maxsize=2)
@@ -46,130 +41,69 @@ def _ranked(name: str) -> tiktoken.Encoding | None:
     return tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def parts_of(text: str) -> list[str]:
-    """The text in parts whose ids do not depend on one another; joined they are the text."""
-    if _AFTER_WHITE.search(text):
-        return _CUT.split(text)
-    head, *rest = text.split(" ")
-    return [head, *[f" {part}" for part in rest]] if head else [f" {part}" for part in rest]
-
-
-def _joined(parts: list[str]) -> Iterator[list[str]]:
-    """Parts in groups whose concatenation would be cut back into them."""
-    group: list[str] = []
-    size = 0
-    for part in parts:
-        if part[0] != " " or part[-1].isspace() or len(part) > AT_ONCE:
-            yield [part]
-            continue
-        if size + len(part) > AT_ONCE:
-            yield group
-            group, size = [], 0
-        group.append(part)
-        size += len(part)
-    if group:
-        yield group
-
-
-class Memory:
-    """What is known of parts of texts. When a generation is full it becomes the old one, from which
-    parts met again are taken over, so frequent parts stay."""
-
-    def __init__(self, name: str) -> None:
-        self.name = name
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def learned(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
-        raise NotImplementedError
-
-    def known(self, cut: list[list[str]]) -> dict[str, bytes]:
-        """A dictionary that has all of these parts."""
-        if len(self.young) > REMEMBERED:
-            self.old, self.young = self.young, {}
-        new = set().union(*cut).difference(self.young)
-        again = {p: self.old[p] for p in new if p in self.old}
-        self.young |= again
-        self.young.update(self.learned([p for p in new if p not in again]))
-        return self.young
-
-
-class Encoder(Memory):
-    """Ids of texts."""
-
-    def __init__(self, name: str) -> None:
-        super().__init__(name)
-        self.special = [t.content for t in load(name).get_added_tokens_decoder().values()]
+class Encoder:
+    """Ids of texts by a byte-level vocabulary. ``plain`` as in `load`."""
+
+    def __init__(self, name: str, plain: bool = False) -> None:
+        self.name, self.plain = name, plain
+        own = load(name, plain)
+        self.special = [] if plain else [t.content for t in own.get_added_tokens_decoder().values()]
         # a token of a byte-level vocabulary is written with one character for each byte
-        self.bytes_of = np.zeros(load(name).get_vocab_size(), np.int64)
-        for token, i in load(name).get_vocab().items():
+        self.bytes_of = np.zeros(own.get_vocab_size(), np.int64)
+        for token, i in own.get_vocab().items():
             self.bytes_of[i] = len(token)
 
     def ids_of(self, text: str) -> list[int]:
         ranked = _ranked(self.name)
-        if ranked is None or any(t in text for t in self.special):
-            return load(self.name).encode(text, add_special_tokens=False).ids
-        return ranked.encode_ordinary(text)
-
-    def learned(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
-        for group in _joined(parts):
-            ids = np.array(self.ids_of("".join(group)), np.uint32)
-            if len(group) == 1:
-                yield group[0], ids.tobytes()
-                continue
-            ends = np.cumsum([len(p.encode()) for p in group])
-            stops = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends, side="left") + 1
-            data, at = ids.tobytes(), 0
-            for part, stop in zip(group, (4 * stops).tolist(), strict=True):
-                yield part, data[at:stop]
-                at = stop
+        long = len(text) > WHITE and _WHITE.search(text)
+        if ranked is not None and not long and not any(t in text for t in self.special):
+            return ranked.encode_ordinary(text)
+        return load(self.name, self.plain).encode(text, add_special_tokens=False).ids
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, 32 bits each."""
-        cut = [parts_of(t) if t else [] for t in texts]
-        known = self.known(cut)
-        return [np.frombuffer(b"".join([known[p] for p in parts]), np.uint32) for parts in cut]
-
-
-class Spans(Encoder):
-    """Where the tokens of texts are, in code points."""
-
-    def learned(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
-        for group in _joined(parts):
-            text = "".join(group)
-            stops = np.cumsum(self.bytes_of[np.array(self.ids_of(text), np.int64)])
-            starts = np.concatenate([[0], stops[:-1]])
-            data = np.frombuffer(text.encode(), np.uint8)
-            point = np.cumsum((data & 0xC0) != 0x80) - 1  # the code point that a byte belongs to
-            found = np.stack([point[starts], point[stops - 1] + 1], axis=1)
-            ends = np.cumsum([len(p) for p in group])
-            upto = np.searchsorted(found[:, 0], ends, side="left")
-            at = base = 0
-            for part, stop, end in zip(group, upto.tolist(), ends.tolist(), strict=True):
-                yield part, (found[at:stop] - base).astype(np.int32).tobytes()
-                at, base = stop, end
+        return [np.array(self.ids_of(t), np.uint32) for t in texts]
 
     def spans(self, texts: list[str]) -> list[np.ndarray]:
         """(first, past the last) code point of every token of each text, in order. A token that holds
         some of a code point's bytes spans that code point."""
-        cut = [parts_of(t) if t else [] for t in texts]
-        known = self.known(cut)
         out = []
-        for parts in cut:
-            found = [known[p] for p in parts]
-            lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-            many = np.fromiter(map(len, found), np.int64, len(found)) // 8
-            flat = np.frombuffer(b"".join(found), np.int32).reshape(-1, 2)
-            out.append(flat + np.repeat(np.cumsum(lengths) - lengths, many)[:, None].astype(np.int32))
+        for text in texts:
+            stops = np.cumsum(self.bytes_of[np.array(self.ids_of(text), np.int64)])
+            starts = np.concatenate([[0], stops[:-1]])[: len(stops)].astype(np.int64)
+            if not text.isascii():
+                data = np.frombuffer(text.encode(), np.uint8)
+                point = np.cumsum((data & 0xC0) != 0x80) - 1  # the code point that a byte belongs to
+                starts, stops = point[starts], point[stops - 1] + 1
+            out.append(np.stack([starts, stops], axis=1))
         return out
 
 
-@lru_cache(maxsize=2)
-def encoder(name: str) -> Encoder:
-    """The encoder of this worker, which keeps what it knows from task to task."""
-    return Encoder(name)
+@lru_cache(maxsize=4)
+def encoder(name: str, plain: bool = False) -> Encoder:
+    """The encoder of this worker."""
+    return Encoder(name, plain)
+
+
+@lru_cache(maxsize=4)
+def token_bytes(name: str) -> list[bytes]:
+    """The bytes of every token of a byte-level vocabulary."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+    own = load(name)
+    out = [b""] * own.get_vocab_size()
+    for token, i in own.get_vocab().items():
+        out[i] = bytes(of[c] for c in token) if all(c in of for c in token) else token.encode()
+    return out
 
 
 @lru_cache(maxsize=2)
-def spans(name: str) -> Spans:
-    return Spans(name)
+def pieces(name: str) -> tuple[SentencePieceProcessor, list[bytes]]:
+    """A sentence-piece model and the bytes of its pieces: U+2581 is a space, byte pieces are one byte."""
+    own = SentencePieceProcessor(model_file=vocabulary(name))
+    out = []
+    for i in range(own.get_piece_size()):
+        piece = own.id_to_piece(i)
+        out.append(bytes([int(piece[3:5], 16)]) if own.is_byte(i) else piece.replace("▁", " ").encode())
+    return own, out

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quarterdeck.llm import packing as pk
-from quarterdeck.llm.tokenizing import encoder, load, parts_of
+from quarterdeck.llm.tokenizing import encoder, load, token_bytes
 
 
 def covers(pieces, sizes, length):
@@ -55,12 +55,17 @@ def test_tree_is_first_fit(sizes):
 
 @given(st.text(alphabet="ab \n\t\r\x0b\x1c\x85  é漢😀'st1_.<|endofx>", max_size=60))
 @settings(max_examples=400, deadline=None, derandomize=True)
-def test_parts_encode_to_the_ids_of_the_whole(text):
-    whole = load(pk.VOCABULARY).encode(text, add_special_tokens=False).ids if text else []
-    assert "".join(parts_of(text)) == text
-    own = encoder(pk.VOCABULARY)
-    own.young, own.old = {}, {}
-    assert own.encode([text])[0].tolist() == whole
+def test_ranks_give_the_ids_of_the_tokenizer(text):
+    for plain in (False, True):
+        ids = load(pk.VOCABULARY, plain).encode(text, add_special_tokens=False).ids
+        assert encoder(pk.VOCABULARY, plain).encode([text])[0].tolist() == ids
+    assert b"".join(token_bytes(pk.VOCABULARY)[i] for i in ids).decode() == text
+
+
+def test_white_space_beyond_the_ranks_expressions():
+    text = "a" + " " * 2_000_000 + "b" + "\n" * 1_000_000
+    ids = encoder(pk.VOCABULARY).encode([text])[0]
+    assert b"".join(token_bytes(pk.VOCABULARY)[i] for i in ids.tolist()).decode() == text
 
 
 def check(docs):
@@ -105,6 +110,13 @@ def test_edge_rows(spark, parts):
     assert pk.pack_documents(docs.limit(0)).count() == 0
 
 
+def test_the_same_pieces_however_rows_arrive(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    docs = docs.unionAll(docs.where("doc_id < 20")).unionAll(docs.where("doc_id < 5").selectExpr("7L", "'same'"))
+    told = [sorted(map(tuple, pk.pack_documents(docs.repartition(n), with_ids=False).collect())) for n in (3, 7)]
+    assert told[0] == told[1]
+
+
 def test_several_groups(spark, monkeypatch):
     monkeypatch.setattr(pk, "GROUP_ROWS", 50)
     rows = check(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text", "doc_id"))

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quarterdeck.llm import token_counts as tc
-from quarterdeck.llm.tokenizing import load, spans
+from quarterdeck.llm.tokenizing import encoder, load
 
 
 def brute(text, sections, rule):
@@ -44,9 +44,7 @@ def brute(text, sections, rule):
 def test_attribution_matches_brute_force(text, cuts, rule):
     cuts = sorted(cuts)
     sections = list(zip(cuts[::2], cuts[1::2]))
-    own = spans(tc.VOCABULARY)
-    own.young, own.old = {}, {}
-    tokens = own.spans([text])[0]
+    tokens = encoder(tc.VOCABULARY).spans([text])[0]
     counts, crossing, outside = tc.attribute(tokens, np.array(sections, np.int64).reshape(-1, 2), rule)
     want = brute(text, sections, rule)
     assert np.allclose(counts, want[0]) and crossing.tolist() == want[1] and np.isclose(outside, want[2])
