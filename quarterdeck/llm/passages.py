@@ -1,15 +1,17 @@
 """Removal of repeated passages by distributed prefix doubling over text positions.
 
-A position's rank at width w is a name of its first w bytes. Ranks double: the pair (rank at p, rank at
-p + w) is the rank at a larger width, and Spark sorts pairs together with their positions, so that equal
-ones meet, the earliest first. A position whose rank is unique drops out.
-
-1. Width 32, on sampled positions only. Of the 32-byte strings in a window of ``length`` bytes the one
-   of least rank is its *anchor*; windows with equal bytes have equal anchors, so a window repeats only
-   if its anchor's rank does. Neighbouring windows share an anchor and form a *run*.
-2. Runs of an anchor that is alone drop out. Runs equal to an earlier run in all their bytes are
-   repeated, all windows of them. What is left are the first runs of anchors whose runs differ.
-3. Width ``length``, on every window of those: pairs of two ranks at width 64 that overlap.
+A position's rank at a width is a name of its first bytes. The pair (rank at p, rank at p + offset) is
+the rank at a larger width, and Spark sorts ranks together with their positions, so that equal ones
+meet, the earliest first. What is unique drops out, the rest is ranked again at a larger offset.
+
+1. Width 32, on sampled positions. Of the 32-byte strings in a window of ``length`` bytes the one of
+   least rank is its *anchor*; windows with equal bytes have equal anchors, so a window repeats only
+   if its anchor's rank does. Neighbouring windows share an anchor and form a *run*. Runs of an anchor
+   that is alone drop out. Runs equal to an earlier one in all their bytes are repeated, all windows
+   of them. First runs of anchors whose runs differ stay open.
+2. Width ``length`` - 7: open runs in steps of eight windows by distance from the anchor, ranked by the
+   bytes common to the eight (a pair of ranks at width 64); the same three cases again.
+3. Width ``length``: every window of the open steps, a pair of ranks at width 64.
 
 A task drops what it has seen itself before anything is shuffled, so a passage in a third of all
 documents reaches the sort about once for each block of texts.
@@ -34,7 +36,11 @@ BLOCK, SIFTED = 1 << 18, 1 << 19
 NO_ID = -(1 << 63)
 _PLACE = (1 << 20) - 1
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
-RANKED = "first long, second long, doc long, tie long, x int, y int, span boolean"
+# Windows of a step in the second round.
+STEP = 8
+# ``at`` holds the first place in its upper half and, shifted by one, the length in its lower one; its
+# lowest bit tells spans that need no judgement.
+RANKED = "first long, second long, doc long, tie long, at long"
 JUDGED = "doc long, tie long, x int, y int, open boolean"
 
 
@@ -96,21 +102,32 @@ def _windows_of(of: list[tuple[int, int, int]], length: int) -> tuple[np.ndarray
     return np.repeat(start, many) + inside, np.repeat(row, many), np.repeat(offset, many) + inside
 
 
-def runs(data: np.ndarray, of: list[tuple[int, int, int]], length: int) -> np.ndarray:
-    """(anchor's name, run's name, row, first window, last window) of each run of a block; a column each."""
+def runs(data: np.ndarray, of: list[tuple[int, int, int]], length: int, step: int) -> np.ndarray:
+    """(rank, name, row, first window, last window) of the windows of a block, in runs of one anchor and at
+    most ``step`` windows; a column each. The rank is that of the bytes which all windows of a full step
+    have in common, the name that of all bytes and of where they are about the anchor."""
     short, long = ranks(data)
     at, row, place = _windows_of(of, length)
-    anchor = anchors(short, length - ANCHOR + 1)[at]
     begins = np.ones(len(at), bool)
-    begins[1:] = (np.diff(at) != 1) | (np.diff(anchor) != 0)
+    if step == 1:
+        anchor, core = at, at
+    else:
+        anchor = anchors(short, length - ANCHOR + 1)[at]
+        core = anchor - (anchor - at) // step * step
+        begins[1:] = (np.diff(at) != 1) | (np.diff(anchor) != 0) | (np.diff(core) != 0)
     first = np.flatnonzero(begins)
     last = np.append(first[1:], len(at)) - 1
-    x, y, a = at[first], at[last], anchor[first]
+    x, y, a, c = at[first], at[last], anchor[first], core[first]
+    width = length - step + 1
+    if width == ANCHOR:
+        rank = short[a]
+    else:
+        rank = _pair(_pair(long[c], long[c + width - HALF]), (a - c).astype(np.uint64))
     name = np.zeros(len(x), np.uint64)
     over = length - HALF
     for part in (long[x], long[x + over], long[y], long[y + over], (y - x).astype(np.uint64), (a - x).astype(np.uint64)):
         name = _pair(name, part)
-    return np.stack([short[a].view(np.int64), name.view(np.int64), row[first], place[first], place[last]])
+    return np.stack([rank.view(np.int64), name.view(np.int64), row[first], place[first], place[last]])
 
 
 def _merged(order: np.ndarray, doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -160,17 +177,18 @@ class Sieve:
         d, start, stop = doc[again], x[again], y[again] + self.length
         d, start, stop = _merged(np.lexsort((start, d)), d, start, stop)
         self.parts, self.keys, self.held = [], [], 0
-        spread = _pair(ids[d, 1].view(np.uint64), start.astype(np.uint64)).view(np.int64)
-        both = lambda a, b: pa.array(np.concatenate([a, b]))
-        return pa.RecordBatch.from_arrays(
-            [
-                both(first[new], spread), both(second[new], np.zeros(len(d), np.int64)),
-                both(ids[doc[new], 0], ids[d, 0]), both(ids[doc[new], 1], ids[d, 1]),
-                both(x[new], start).cast(pa.int32()), both(y[new], stop).cast(pa.int32()),
-                both(np.zeros(new.sum(), bool), np.ones(len(d), bool)),
-            ],
-            ["first", "second", "doc", "tie", "x", "y", "span"],
-        )
+        spread = _pair(ids[d, 0].view(np.uint64), start.astype(np.uint64)).view(np.int64)
+        both = [
+            np.concatenate(pair)
+            for pair in (
+                (first[new], spread), (second[new], np.zeros(len(d), np.int64)), (doc[new], d),
+                (x[new] << 32 | (y[new] - x[new]) << 1, start << 32 | (stop - start) << 1 | 1),
+            )
+        ]
+        order = np.lexsort((both[3], both[2]))  # rows of a document next to one another take less room
+        first, second, doc, at = (c[order] for c in both)
+        columns = (first, second, ids[doc, 0], ids[doc, 1], at)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["first", "second", "doc", "tie", "at"])
 
 
 def _ranked(length: int):
@@ -184,7 +202,7 @@ def _ranked(length: int):
             own: list[np.ndarray] = []
             pieces = ((i, 0, texts[i].as_buffer().to_pybytes()) for i in range(len(texts)))
             for data, of in _blocks(pieces, length):
-                own.append(runs(data, of, length))
+                own.append(runs(data, of, length, length - ANCHOR + 1))
                 if sum(r.shape[1] for r in own) >= SIFTED:
                     sieve.add(keys, np.concatenate(own, axis=1))
                     yield sieve.flush()
@@ -198,15 +216,14 @@ def _ranked(length: int):
     return ranked
 
 
-def _opened(length: int):
-    """All windows of the runs that are open in whole texts, at full width."""
+def _opened(length: int, step: int, open_runs: str):
+    """The windows of the runs that are open in whole texts, in smaller steps."""
 
     def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sieve = Sieve(length)
-        over = length - HALF
         for batch in batches:
             keys = list(zip(batch.column("doc").to_pylist(), batch.column("tie").to_pylist(), strict=True))
-            texts, opens = batch.column("text"), batch.column("open")
+            texts, opens = batch.column("text"), batch.column(open_runs)
 
             def pieces(texts=texts, opens=opens):
                 for i in range(len(texts)):
@@ -220,10 +237,7 @@ def _opened(length: int):
                         yield i, a, text[a : b - 1 + length].to_pybytes()
 
             for data, of in _blocks(pieces(), length):
-                _, long = ranks(data)
-                at, row, place = _windows_of(of, length)
-                names = (long[at].view(np.int64), long[at + over].view(np.int64))
-                sieve.add(keys, np.stack([*names, row, place, place]))
+                sieve.add(keys, runs(data, of, length, step))
                 if sieve.held >= SIFTED:
                     yield sieve.flush()
         yield sieve.flush()
@@ -239,9 +253,11 @@ def _judged(length: int):
         waiting = None  # the only run so far of the anchor that is being read
         started = None  # place of the first record of the pair that is being read
         for batch in batches:
-            first, second, doc, tie, x, y, span = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(7))
+            first, second, doc, tie, at = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            x, span = at >> 32, (at & 1).astype(bool)
+            y = x + ((at & 0xFFFFFFFF) >> 1)
             out = [np.stack([doc[span], tie[span], x[span], y[span], np.zeros(span.sum(), np.int64)])]
-            table = np.stack([c[~span].astype(np.int64) for c in (first, second, doc, tie, x, y)])
+            table = np.stack([c[~span] for c in (first, second, doc, tie, x, y)])
             if table.shape[1]:
                 same = np.zeros(table.shape[1], bool)
                 same[1:] = table[0, 1:] == table[0, :-1]
@@ -284,19 +300,16 @@ def _judged(length: int):
     return judged
 
 
-def _sorted(ranked: DataFrame) -> DataFrame:
-    return ranked.repartition("first").sortWithinPartitions("first", "second", "doc", "tie", "x")
-
-
-def _kept(length: int, kind: str):
+def _kept(length: int):
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, copies, ids = batch.column("text"), batch.column("n").to_pylist(), batch.column("doc_id")
+            names = [n for n in batch.schema.names if n.startswith("spans")]
             rows: list[tuple] = []
             taken: list[int] = []
             for i in range(len(texts)):
                 data = texts[i].as_buffer()
-                spans = [(s["x"], s["y"]) for name in ("spans", "more") for s in batch.column(name)[i].as_py() or ()]
+                spans = [(s["x"], s["y"]) for name in names for s in batch.column(name)[i].as_py() or ()]
                 x, y = np.array(sorted(spans), np.int64).reshape(-1, 2).T
                 _, start, stop = _merged(np.arange(len(x)), np.zeros(len(x), np.int64), x, y)
                 start, stop = start.tolist(), stop.tolist()
@@ -343,27 +356,32 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     if not HALF <= length <= 2 * HALF:
         raise ValueError(f"length has to be {HALF} to {2 * HALF}")
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    keyed = narrow.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
-        F.xxhash64("text", F.col("doc_id").isNull()).alias("tie"),
-        "doc_id",
-        F.col("text").cast("binary").alias("text"),
-    )
-    marks = written(_sorted(keyed.select("doc", "tie", "text").mapInArrow(_ranked(length), RANKED)).mapInArrow(_judged(length), JUDGED), "runs")
-    # one exchange of texts and one of marks serve both branches below
-    span = F.struct("x", "y")
-    per_text = marks.groupBy("doc", "tie").agg(
-        F.collect_list(F.when(F.col("open"), span)).alias("open"), F.collect_list(F.when(~F.col("open"), span)).alias("spans")
-    )
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc")
+    shared = not narrow.groupBy(doc).count().where("count > 1").isEmpty()
+    tie = F.xxhash64("text", F.col("doc_id").isNull()) if shared else F.lit(0).cast("long")
+    keyed = narrow.select(doc, tie.alias("tie"), "doc_id", F.col("text").cast("binary").alias("text"))
+
+    def judged(ranked: DataFrame) -> DataFrame:
+        return ranked.repartition("first").sortWithinPartitions("first", "second", "doc", "tie", "at").mapInArrow(_judged(length), JUDGED)
+
+    def by_text(marks: DataFrame, of: int) -> DataFrame:
+        span = F.struct("x", "y")
+        lists = (F.collect_list(F.when(which, span)).alias(f"{name}{of}") for which, name in ((F.col("open"), "open"), (~F.col("open"), "spans")))
+        return marks.groupBy("doc", "tie").agg(*lists)
+
+    marks = written(judged(keyed.select("doc", "tie", "text").mapInArrow(_ranked(length), RANKED)), "runs")
+    # the rounds and the end read texts and marks by the same exchanges; all columns go to each, or they would differ
     texts = keyed.groupBy("doc", "tie").agg(
         F.max("doc_id").alias("doc_id"), F.max("text").alias("text"), F.count(F.lit(1)).alias("n")
     )
-    marked = texts.join(per_text, ["doc", "tie"], "left")
-    late = _sorted(marked.mapInArrow(_opened(length), RANKED)).mapInArrow(_judged(length), JUDGED).where("NOT open")
-    more = late.groupBy("doc", "tie").agg(F.collect_list(span).alias("more"))
+    known = texts.join(by_text(marks, 0), ["doc", "tie"], "left")
+    steps = [min(STEP, length - HALF + 1), 1][-1 if length == HALF else 0 :]  # ranks of 64 bytes at least
+    for of, step in enumerate(steps):
+        late = judged(known.mapInArrow(_opened(length, step, f"open{of}"), RANKED))
+        known = known.join(by_text(late, of + 1), ["doc", "tie"], "left")
     kind = keyed.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes long, removed array<struct<start: long, stop: long>>, kept binary"
-    return marked.join(more, ["doc", "tie"], "left").mapInArrow(_kept(length, kind), schema)
+    return known.mapInArrow(_kept(length), schema)
 
 
 def repeats_report(docs: DataFrame) -> DataFrame:
