@@ -4,7 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterdeck.llm import conversations, line_dedup, mixing, near_dedup, packing, passages, quality, surrogates, token_counts, toxicity, vectors
+from quarterdeck.llm import (
+    alignment,
+    conversations,
+    line_dedup,
+    mixing,
+    near_dedup,
+    packing,
+    passages,
+    quality,
+    surrogates,
+    token_counts,
+    toxicity,
+    vectors,
+)
 from quarterdeck.llm.fingerprint import fingerprints
 
 
@@ -57,6 +70,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"))
+
+
 def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeats_report(_table(spark, sf_dir, "documents"))
 
@@ -76,6 +93,7 @@ QUERIES = {
     "op8_hnsw": op8_hnsw,
     "op9_packing": op9_packing,
     "op10_token_counts": op10_token_counts,
+    "op11_alignment": op11_alignment,
     "op12_suffix_dedup": op12_suffix_dedup,
     "op13_conversation_repair": op13_conversation_repair,
 }
