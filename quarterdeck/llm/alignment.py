@@ -14,8 +14,8 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,37 +26,50 @@ from quarterdeck.llm.tokenizing import encoder, pieces, token_bytes
 from quarterdeck.workspace import written
 
 BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
-# Bytes of text at which a block is closed; links of one document that are held at a time.
-BLOCK = 1 << 23
+# Code points of text at which a block is closed, and that are aligned at a time.
+BLOCK, AT_ONCE = 1 << 23, 1 << 18
+# Ends beside the middle of an interval that are looked up one by one.
+NEAR = 32
 SHIFT = 20  # a pair of ids is one number: the first id, then 20 bits for the second
 
 
-def groups(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """(past the last token of a, past the last of b) of each group, in order. ``a`` and ``b`` are the byte
-    offsets at which tokens end, ascending, with equal last ones."""
-    out = []
-    todo = [(0, len(a), 0, len(b))] if a else []
-    while todo:
-        i, m, j, n = todo.pop()
-        # tokens i..m of a and j..n of b hold the same bytes, so a[m-1] == b[n-1]; inner ends are i..m-2
-        low = high = (i + m - 1) // 2
-        cut = None
-        while low >= i or high < m - 1:
-            for k in (high, low) if high != low else (high,):
-                if i <= k < m - 1:
-                    at = bisect_left(b, a[k], j, n - 1)
-                    if at < n - 1 and b[at] == a[k]:
-                        cut = (k + 1, at + 1)
-                        break
-            if cut:
+def groups(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Past the last token of ``a``, and of ``b``, of each group, in order. ``a`` and ``b`` are the byte offsets
+    at which tokens end, ascending, with equal last ones.
+
+    All intervals of one depth are halved in step. The middle end of each is looked up among the
+    other's; those that are no cut go on to the ends beside it, in both directions, until none is left.
+    """
+    low, high = np.zeros(min(len(a), 1), np.int64), np.full(min(len(a), 1), len(a), np.int64)
+    done = []
+    while len(low):
+        # tokens low..high-1; a cut is an inner end, so it is one of low..high-2
+        middle = (low + high - 1) // 2
+        cut = np.full(len(low), -1)
+        todo = np.flatnonzero(high - low > 1)
+        step = 0
+        while len(todo):
+            for side in (step, -step) if step else (0,):
+                at = middle[todo] + side
+                inside = np.flatnonzero((at >= low[todo]) & (at < high[todo] - 1) & (cut[todo] < 0))
+                end = a[at[inside]]
+                hit = inside[b[np.searchsorted(b, end)] == end]
+                cut[todo[hit]] = at[hit]
+            step = step + 1 if step < NEAR else 2 * step
+            if step > NEAR:  # far from the middle: all inner ends at once
+                for t in todo[cut[todo] < 0].tolist():
+                    ends = a[low[t] : high[t] - 1]
+                    found = np.flatnonzero(b[np.searchsorted(b, ends)] == ends) + low[t]
+                    if len(found):
+                        cut[t] = found[np.abs(found - middle[t]).argmin()]
                 break
-            low, high = low - 1, high + 1
-        if cut:
-            todo.append((cut[0], m, cut[1], n))
-            todo.append((i, cut[0], j, cut[1]))
-        else:
-            out.append((m, n))
-    return out
+            todo = todo[(cut[todo] < 0) & ((middle[todo] + step < high[todo] - 1) | (middle[todo] - step >= low[todo]))]
+        whole = cut < 0
+        done.append(high[whole])
+        low, high, cut = low[~whole], high[~whole], cut[~whole] + 1
+        low, high = np.stack([low, cut], 1).ravel(), np.stack([cut, high], 1).ravel()
+    last = np.sort(np.concatenate([np.zeros(0, np.int64), *done]))
+    return last, np.searchsorted(b, a[last - 1]) + 1
 
 
 def links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,9 +93,9 @@ class Aligner:
         self.b, self.b_bytes = pieces(sentence_pieces)
         self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
-        most = max(len(self.a_bytes), len(self.b_bytes))
-        # a token's text in a group's, by id and what follows it
-        self.written = [[f"{i}{sign}" for i in range(most)] for sign in ",|;"]
+        self.most = max(len(self.a_bytes), len(self.b_bytes))
+        # a token's text in a group's, by what follows it and its id
+        self.written = [f"{i}{sign}" for sign in ",|;" for i in range(self.most)]
 
     def tokens(self, text: str | None) -> tuple[list[int], list[int]]:
         """Ids by both; none where their bytes are not a space and the text."""
@@ -91,30 +104,41 @@ class Aligner:
         whole = " " + text
         a, b = self.a.ids_of(whole), self.b.encode(text)
         data = whole.encode()
-        if b"".join(map(self.a_bytes.__getitem__, a)) != data or b"".join(map(self.b_bytes.__getitem__, b)) != data:
+        if b"".join(map(self.b_bytes.__getitem__, b)) != data or b"".join(map(self.a_bytes.__getitem__, a)) != data:
             return [], []
         return a, b
 
-    def spelled(self, a: list[int], b: list[int], found: list[tuple[int, int]]) -> str:
-        """The groups' ids: ``a1,a2|b1;a3|b2,b3``."""
-        comma, bar, end = self.written
-        parts: list[str] = []
-        i = j = 0
-        for m, n in found:
-            parts += [comma[x] for x in a[i : m - 1]]
-            parts.append(bar[a[m - 1]])
-            parts += [comma[x] for x in b[j : n - 1]]
-            parts.append(end[b[n - 1]])
-            i, j = m, n
-        return "".join(parts)[:-1]
-
-    def align(self, text: str | None) -> tuple[list[int], list[int], list[tuple[int, int]], np.ndarray]:
-        """Ids by both, groups, and the pair of every link."""
-        a, b = self.tokens(text)
-        own_a, own_b = np.array(a, np.int64), np.array(b, np.int64)
-        end_a, end_b = np.cumsum(self.a_size[own_a]), np.cumsum(self.b_size[own_b])
+    def spelled(self, a: np.ndarray, b: np.ndarray, m: np.ndarray, n: np.ndarray) -> tuple[list[str], np.ndarray]:
+        """The texts of all tokens in the order of the groups' ids, ``a1,a2|b1;a3|b2,b3;``, and where each
+        group ends."""
+        of_a = np.repeat(np.arange(len(m)), np.diff(m, prepend=0))
+        of_b = np.repeat(np.arange(len(n)), np.diff(n, prepend=0))
+        codes = np.empty(len(a) + len(b), np.int64)
+        sign = np.zeros(len(a), np.int64)
+        sign[m - 1] = 1
+        codes[np.arange(len(a)) + (n - np.diff(n, prepend=0))[of_a]] = sign * self.most + a
+        sign = np.zeros(len(b), np.int64)
+        sign[n - 1] = 2
+        codes[np.arange(len(b)) + m[of_b]] = sign * self.most + b
+        return list(map(self.written.__getitem__, codes.tolist())), m + n
+
+    def align(self, texts: list[str | None]) -> Iterator[tuple[list[int], np.ndarray, str]]:
+        """For each text: numbers of tokens of both, groups and links; the pair of every link; the groups'
+        ids. Texts are aligned one after another as one, since their ends are cuts."""
+        ids = [self.tokens(t) for t in texts]
+        a, b = (np.fromiter(chain.from_iterable(both[k] for both in ids), np.int64) for k in (0, 1))
+        end_a, end_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        m, n = groups(end_a, end_b)
         at_a, at_b = links(end_a, end_b)
-        return a, b, groups(end_a.tolist(), end_b.tolist()), own_a[at_a] << SHIFT | own_b[at_b]
+        pairs = a[at_a] << SHIFT | b[at_b]
+        parts, ends = self.spelled(a, b, m, n)
+        upto = np.cumsum([len(x) for x, _ in ids])
+        group, link = np.searchsorted(m, upto, side="right"), np.searchsorted(at_a, upto)
+        part = np.concatenate([[0], ends])[group]
+        g = l = p = 0
+        for (x, y), group_end, link_end, part_end in zip(ids, group.tolist(), link.tolist(), part.tolist(), strict=True):
+            yield [len(x), len(y), group_end - g, link_end - l], pairs[l:link_end], "".join(parts[p:part_end])[:-1]
+            g, l, p = group_end, link_end, part_end
 
 
 ALIGNED = "block string, doc_ids array<{}>, counts array<long>, shas array<string>, pairs binary, docs binary, ends binary, of binary, times binary"
@@ -154,16 +178,22 @@ def _aligned(byte_level: str, sentence_pieces: str, kind: pa.DataType):
 
         for batch in batches:
             texts, names = batch.column("text"), batch.column("doc_id")
-            for i in range(len(texts)):
-                text = texts[i].as_py()
-                a, b, found, pairs = own.align(text)
-                distinct, many = np.unique(pairs, return_counts=True)
-                ids.append(names.slice(i, 1))
-                counts += [len(a), len(b), len(found), len(pairs)]
-                shas.append(hashlib.sha256(own.spelled(a, b, found).encode()).hexdigest() if a else "")
-                keys.append(distinct)
-                times.append(many)
-                held += len(text or "") + 64
+            i = 0
+            while i < len(texts):
+                some: list[str | None] = []
+                size = 0
+                while i + len(some) < len(texts) and size < AT_ONCE:
+                    some.append(texts[i + len(some)].as_py())
+                    size += len(some[-1] or "") + 64
+                ids.append(names.slice(i, len(some)))
+                i += len(some)
+                for numbers, pairs, spelled in own.align(some):
+                    distinct, many = np.unique(pairs, return_counts=True)
+                    counts += numbers
+                    shas.append(hashlib.sha256(spelled.encode()).hexdigest() if numbers[0] else "")
+                    keys.append(distinct)
+                    times.append(many)
+                held += size
                 if held >= BLOCK:
                     yield block()
                     held = 0

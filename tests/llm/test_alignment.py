@@ -82,10 +82,19 @@ ends = st.sets(st.integers(1, 40), max_size=25).map(lambda s: sorted(s | {41}))
 @given(ends, ends)
 @settings(max_examples=300, deadline=None, derandomize=True)
 def test_cuts_and_links(a, b):
-    assert al.groups(a, b) == cut_at(a, b)
+    assert list(zip(*(x.tolist() for x in al.groups(np.array(a), np.array(b))), strict=True)) == cut_at(a, b)
     assert list(zip(*(x.tolist() for x in al.links(np.array(a), np.array(b))), strict=True)) == overlapping(a, b)
 
 
+def test_cuts_far_from_the_middle():
+    """Long intervals without a cut, or with one at an end only."""
+    even, odd = np.arange(2, 2000, 2), np.arange(1, 2000, 2)
+    for extra in ([], [2], [1996], [2, 1996]):
+        a, b = np.append(even, 2001), np.append(np.union1d(odd[1:-1], extra).astype(int), 2001)
+        assert list(zip(*(x.tolist() for x in al.groups(a, b)), strict=True)) == cut_at(a.tolist(), b.tolist())
+    assert [len(x) for x in al.groups(np.zeros(0, np.int64), np.zeros(0, np.int64))] == [0, 0]
+
+
 ODD = [
     (1, None), (2, ""), (3, " "), (None, "Hello world"), (None, "again and again"), (4, "  two  spaces\tand\nlines "),
     (5, "<|endoftext|> <s> </s> <0x41> <unk>"), (6, "漢字 é 😀   ▁ x"), (7, "漢字 é 😀 ½ ﬁ"), (8, "a" * 3000),
