@@ -391,3 +391,29 @@ def repeats_report(docs: DataFrame) -> DataFrame:
         "doc_id", "n_bytes", size.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+ORACLE = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (
+  SELECT doc_id, p, md5(h[2 * p + 1 : 2 * p + 200]) AS k
+  FROM (SELECT doc_id, h, unnest(range(length(h) // 2 - 99)) AS p FROM d)),
+f AS (
+  SELECT doc_id, p FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS place FROM w)
+  WHERE place > 1),
+s AS (
+  SELECT doc_id, min(p) AS a, max(p) + 100 AS b
+  FROM (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run
+        FROM (SELECT *, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 0 ELSE 1 END AS fresh FROM f))
+  GROUP BY doc_id, run),
+t AS (
+  SELECT doc_id, list(a ORDER BY a) AS starts, list(b ORDER BY a) AS stops, sum(b - a) AS gone, count(*) AS n
+  FROM s GROUP BY doc_id),
+k AS (
+  SELECT d.doc_id, length(h) // 2 AS n_bytes, coalesce(gone, 0) AS gone, coalesce(n, 0) AS n,
+         CASE WHEN n IS NULL THEN h ELSE array_to_string(list_transform(range(1, len(starts) + 2), lambda i:
+           h[2 * coalesce(stops[i - 1], 0) + 1 : 2 * coalesce(starts[i], length(h) // 2)]), '') END AS kept
+  FROM d LEFT JOIN t ON d.doc_id = t.doc_id)
+SELECT doc_id, n_bytes, CAST(gone AS BIGINT) AS n_removed, CAST(n AS BIGINT) AS n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM k"""

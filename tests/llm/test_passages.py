@@ -8,6 +8,7 @@ import random
 import numpy as np
 import pytest
 
+from oracle import connect, oracle_rows, spark_rows
 from quarterdeck.llm import passages
 from quarterdeck.llm.passages import repeats_report, without_repeats
 
@@ -120,6 +121,13 @@ def test_whole_table(spark):
     assert told(repeats_report(df)) == want
 
 
+def test_whole_table_against_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    columns, want = oracle_rows(connect(sf), passages.ORACLE)
+    got = repeats_report(spark.read.parquet(f"{sf}/documents.parquet"))
+    assert sorted(columns) == sorted(got.columns) and spark_rows(got) == want
+
+
 def test_length_is_checked(spark):
     with pytest.raises(ValueError):
         without_repeats(spark.createDataFrame([], SCHEMA), length=50)
