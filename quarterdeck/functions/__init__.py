@@ -5,6 +5,7 @@ from quarterdeck.functions.columns import (
     columns_of,
     display_integer,
     display_number,
+    interleaved,
     last_segment,
     quoted,
     rename_columns,
@@ -18,6 +19,7 @@ __all__ = [
     "columns_of",
     "display_integer",
     "display_number",
+    "interleaved",
     "last_segment",
     "quoted",
     "rename_columns",

@@ -65,3 +65,17 @@ def display_number(column: str | Column, places: int = 2) -> Column:
 def display_integer(column: str | Column) -> Column:
     """Plain digits without separators, for years."""
     return F.round(column, 0).cast("bigint").cast("string")
+
+
+def interleaved(ranks: Sequence[Column], bits: int) -> Column:
+    """One number out of several of ``bits`` bits, their bits taken in turn from the lowest up. Sorted by
+    it, rows that are near in every one of the numbers stay near."""
+    if bits * len(ranks) > 62:
+        raise ValueError(f"{len(ranks)} numbers of {bits} bits do not fit into one")
+    out = F.lit(0).cast("long")
+    for bit in range(bits):
+        for i, rank in enumerate(ranks):
+            place = bit * len(ranks) + i
+            own = F.shiftright(rank.cast("long"), bit).bitwiseAND(F.lit(1).cast("long"))
+            out = out.bitwiseOR(F.shiftleft(own, place))
+    return out
