@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -159,6 +160,41 @@ def manifest(
     )
 
 
+def merge_manifest(
+    stored: DataFrame, listing: DataFrame, day: date, runs: DataFrame, names: str | Sequence[str] = "filename"
+) -> DataFrame:
+    """The manifest after one more day's listing, out of the stored one (as `manifest` gives it) and
+    that listing alone: earlier sightings are not read again.
+
+    Days may come in any order, and a name that was retired may reappear. ``runs`` has the days that
+    were merged so far in a date column ``day``; a name last seen on ``day`` counts as retired from the
+    first of them after it. Names meet in one aggregation, repeats collapse before the shuffle.
+    """
+    keys = columns_of(names)
+    today = F.lit(day)
+    after = runs.where(F.col("day") > today).agg(F.min("day")).scalar()
+    seen = listing.select(
+        *keys, today.alias("first_seen"), today.alias("last_seen"), F.lit(None).cast("date").alias("retired_on"), F.lit(True).alias("__today")
+    )
+    both = stored.select(*keys, "first_seen", "last_seen", "retired_on", F.lit(False).alias("__today")).unionAll(seen)
+    old_last = F.max(F.when(~F.col("__today"), F.col("last_seen")))
+    merged = both.groupBy(*keys).agg(
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
+        F.max("retired_on").alias("__retired"),
+        old_last.alias("__old_last"),
+        F.bool_or("__today").alias("__seen"),
+    )
+    new_last = F.col("__old_last").isNull() | (F.col("__old_last") < today)
+    missing_now = (F.col("last_seen") < today) & ~F.col("__seen")
+    retired = (
+        F.when(F.col("__seen") & new_last, after)
+        .when(missing_now, F.least("__retired", today))  # least passes over a null
+        .otherwise(F.col("__retired"))
+    )
+    return merged.select(*keys, "first_seen", "last_seen", retired.alias("retired_on"))
+
+
 def latest_snapshot(df: DataFrame, snapshot: str = "ingest_date") -> DataFrame:
     """The rows of the newest snapshot. The maximum is a scalar subquery: on a layout
     partitioned by ``snapshot`` it prunes the partitions before any of them is read."""

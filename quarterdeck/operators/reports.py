@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarterdeck.functions import columns_of, display_integer, display_number
+from quarterdeck.functions import columns_of, display_integer, display_number, quoted
 from quarterdeck.operators.gaps import with_previous
 
 
@@ -48,9 +48,11 @@ def title_totals(
 
 
 def highest(df: DataFrame, measure: str = "yearly_sum") -> DataFrame:
-    """The rows that reach the largest measure of all, ties included. Only the maximum is
-    gathered, as a scalar subquery; the rows are compared with it where they are."""
-    return df.where(F.col(measure) == df.agg(F.max(measure)).scalar())
+    """The rows that reach the largest measure of all, ties included; null measures reach nothing. One
+    pass: every task keeps its own leaders before they meet."""
+    best = Window.orderBy(F.desc(quoted(measure)))
+    known = df.where(F.col(quoted(measure)).isNotNull())
+    return known.withColumn("__place", F.rank().over(best)).where(F.col("__place") == 1).drop("__place")
 
 
 def trend(

@@ -1,5 +1,5 @@
 """Incremental ingestion of landed files."""
 
-from quarterdeck.streaming.ingest import ingest_available
+from quarterdeck.streaming.ingest import ingest_available, upsert_available
 
-__all__ = ["ingest_available"]
+__all__ = ["ingest_available", "upsert_available"]
