@@ -16,6 +16,7 @@ The tables play these roles:
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,9 +27,10 @@ from quarterdeck import sources
 from quarterdeck.functions import series_title
 from quarterdeck.plans import sql_twins
 from quarterdeck.plans.layers import DELIMITED_FILES, DOCUMENT_FILE, Flow, Questions
-from quarterdeck.sinks import ensure_schema, publish_query
-from quarterdeck.streaming import ingest_available
-from quarterdeck.workspace import CONF_PREFIX, Settings, scratch_path
+from quarterdeck.refresh import BestYears, NewestRows
+from quarterdeck.sinks import clustered, ensure_schema, publish, publish_query
+from quarterdeck.streaming import ingest_available, upsert_available
+from quarterdeck.workspace import CONF_PREFIX, Settings, scratch_path, written
 
 SERIES = ("l_partkey", "l_returnflag")
 TITLE_CODE = "l_linestatus"
@@ -48,7 +50,7 @@ def _day(name: str) -> Column:
     return F.col(name).cast("string").alias(name)
 
 
-def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def facts(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     annual = (F.col("l_returnflag") == ANNUAL_ONLY) | (F.col("l_linenumber") % ANNUAL_EVERY == 0)
     return table(spark, sf_dir, "lineitem").select(
         *SERIES,
@@ -58,6 +60,7 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.elt(F.quarter("l_shipdate"), *(F.lit(q) for q in ops.QUARTERS)))
         .alias("period"),
         F.col("l_quantity").alias("value"),
+        *more,
     )
 
 
@@ -133,28 +136,54 @@ def twins_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     selects = {
         "best_year": (
             sql_twins.best_year_select(SERIES),
+            {},
             {"facts": _titled(facts(spark, sf_dir))},
             ops.best_year(_titled(facts(spark, sf_dir)), series=SERIES),
         ),
         "range_stats": (
-            sql_twins.RANGE_STATS.replace(":start", "1996").replace(":end", "2000"),
+            sql_twins.RANGE_STATS,
+            {"start": 1996, "end": 2000},
             {"reference": reference},
             ops.range_stats(reference, 1996, 2000),
         ),
         "keyed_value": (
-            sql_twins.keyed_value_select(["l_partkey"]).replace(":l_partkey", "25").replace(":period", "'Q05'"),
+            sql_twins.keyed_value_select(["l_partkey"]),
+            {"l_partkey": 25, "period": ops.ANNUAL},
             {"facts": totals, "reference": reference},
             ops.keyed_value_with_reference(totals, reference, {"l_partkey": 25}, ops.ANNUAL),
         ),
     }
     out = None
-    for name, (select, inputs, answer) in selects.items():
-        published = publish_query(spark, f"{schema}.{name}", select, inputs, f"{name} by a SELECT")
+    for name, (select, args, inputs, answer) in selects.items():
+        published = publish_query(spark, f"{schema}.{name}", select, inputs, f"{name} by a SELECT", args=args)
         line = ops.two_way_difference(answer, published).select(F.lit(name).alias("answer"), "only_left", "only_right")
         out = line if out is None else out.unionAll(line)
     return out
 
 
+def best_year_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same answer out of three batches. In the first, some values are too large, in the second some
+    years too late; the third takes those facts back and brings the right ones, and comes twice."""
+    lines = facts(spark, sf_dir, "l_orderkey", "l_linenumber").withColumn("value", _money("value"))
+    fourth = F.col("l_orderkey") % 4
+    inflated = (fourth == 1) & (F.col("l_linenumber") == 1)
+    late = (fourth == 0) & (F.col("l_linenumber") == 2)
+    told = lines.withColumns(
+        {
+            "value": F.when(inflated, F.col("value") + 7).otherwise(F.col("value")).cast("decimal(18,2)"),
+            "year": F.when(late, F.col("year") + 1).otherwise(F.col("year")),
+        }
+    )
+    wrong = inflated | late
+    corrections = told.where(wrong).withColumn("weight", F.lit(-1)).unionByName(lines.where(wrong).withColumn("weight", F.lit(1)))
+    kept = BestYears(spark, scratch_path(spark, "best-years"), SERIES, TITLE_CODE, buckets=16)
+    kept.refresh(told.where(fourth != 0), 1)
+    kept.refresh(told.where(fourth == 0), 2)
+    for _ in range(2):
+        kept.refresh(corrections, 3, "weight")
+    return _answer(kept.current())
+
+
 def range_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = ops.range_stats(yearly_orders(spark, sf_dir), 1996, 2000)
     return stats.select(*(_money(c) for c in stats.columns))
@@ -295,6 +324,25 @@ def lookup_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def guarded_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and quantities per supplier name. Half of the lines stand under one code; the lookup has every
+    code twice, padded in another way, and a row with a smaller name beside each."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_orderkey") % 2 == 0, F.lit("S1")).otherwise(F.concat(F.lit(" S"), "l_suppkey")).alias("code"), "l_quantity"
+    )
+    supplier = table(spark, sf_dir, "supplier")
+    code = F.concat(F.lit("S"), "s_suppkey")
+    spellings = F.array(
+        F.struct(F.concat(code, F.lit("  ")).alias("code"), F.col("s_name").alias("label")),
+        F.struct(F.concat(F.lit(" "), code).alias("code"), F.col("s_name").alias("label")),
+        F.struct(code.alias("code"), F.lit("").alias("label")),
+    )
+    labelled = ops.salted_lookup(lines, ops.Lookup(supplier.select(F.inline(spellings)), "code", "label"))
+    return labelled.groupBy("label").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(_money("l_quantity")).cast("decimal(18,2)").alias("quantity")
+    )
+
+
 # --- sources -------------------------------------------------------------------------
 
 
@@ -368,6 +416,25 @@ def rescue_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def header_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers landed in files of three layouts: other orders, a column more, one less, and balances
+    below zero that say overdrawn."""
+    root = scratch_path(spark, "layouts")
+    customer = table(spark, sf_dir, "customer")
+    balance = F.when(F.col("c_acctbal") < 0, F.lit("overdrawn")).otherwise(_money("c_acctbal").cast("string"))
+    told = customer.withColumn("c_acctbal", balance)
+    layouts = (
+        ("c_custkey", "c_name", "c_acctbal"),
+        ("c_acctbal", "c_mktsegment", "c_custkey", "c_name"),
+        ("c_name", "c_custkey"),
+    )
+    for i, names in enumerate(layouts):
+        sources.write_delimited(told.where(F.col("c_custkey") % len(layouts) == i).select(*names), f"{root}/{i}")
+    schema = T.StructType.fromDDL("c_custkey bigint, c_name string, c_acctbal decimal(18,2)")
+    read = sources.read_by_header(spark, f"{root}/*", schema)
+    return read.withColumn(sources.RESCUED, F.to_json(sources.RESCUED)).withColumnRenamed(sources.RESCUED, "rescued")
+
+
 def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     expected = T.StructType.fromDDL(
         "c_custkey bigint, c_name string, c_nationkey bigint, c_phone string, c_acctbal double"
@@ -445,11 +512,45 @@ def landing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stale_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Required: the first link of every page. All three sides are flags of the same links."""
+    """Required: the first link of every page. The links are found once and written, a row per name."""
     known = _sides(spark, sf_dir).groupBy("filename").agg(
         *(F.bool_or(c).alias(c) for c in ("listed", "held", "first"))
     )
-    return known.where("first AND held AND NOT listed").select("filename")
+    known = written(known, "sides")
+    gone = ops.unpublished(known.where("listed"), known.where("held"))
+    return ops.stale_sources(known.where("first"), gone)
+
+
+def landing_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the guards of a landing run say: of a listing without links and of the whole one, of failed
+    items (named in a table), and what that table says of itself."""
+    sides = written(_sides(spark, sf_dir), "sides")
+    run = scratch_path(spark, "guards")
+    schema = f"guards_{run.rsplit('-', 1)[-1]}"
+    ensure_schema(spark, schema, run)
+    told: list[tuple[str, str]] = []
+    for name, listing in (("no listing", sides.where("listed AND filename IS NULL")), ("listing", sides.where("listed"))):
+        try:
+            ops.require_listing(listing)
+            told.append((name, "passed"))
+        except ops.EmptyListing:
+            told.append((name, "stopped"))
+    outcomes = sides.where("listed").groupBy("filename").agg((F.length(F.first("filename")) % 5 == 0).alias("failed"))
+
+    def publish_failures(failures: DataFrame) -> str:
+        publish(failures, f"{schema}.failures", "Files that failed", {"quality": "landing"})
+        return f"{schema}.failures"
+
+    try:
+        ops.raise_on_failures(outcomes, publish=publish_failures)
+    except ops.FailedItems as e:
+        told.append(("failures", str(e).replace(schema, "guards")))
+    about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {schema}.failures").collect()}
+    tags = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {schema}.failures").collect()}
+    told += [("comment", about["Comment"]), ("quality", tags["quality"])]
+    rows = spark.createDataFrame(told, "guard string, outcome string")
+    named = spark.read.table(f"{schema}.failures").select(F.lit("failed").alias("guard"), F.col("filename").alias("outcome"))
+    return rows.unionAll(named)
 
 
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -474,6 +575,46 @@ def manifest_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seen.withColumns({c: _day(c) for c in ("first_seen", "last_seen", "retired_on")})
 
 
+def manifest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same manifest, kept over runs: the first, the middle and the last day are merged into the
+    manifest of all others, one by one and not in their order."""
+    seen = _sightings(spark, sf_dir)
+    names = ("user_id", "event_type")
+    days = sorted(r.seen_on for r in seen.select("seen_on").distinct().collect())  # a date for each day
+    late = list(dict.fromkeys([days[len(days) // 2], days[-1], days[0]])) if days else []
+    done = [d for d in days if d not in late]
+    kept = written(ops.manifest(seen.where(~F.col("seen_on").isin(late)), names), "manifest")
+    for day in late:
+        runs = spark.createDataFrame([(d,) for d in done], "day date")
+        kept = written(ops.merge_manifest(kept, seen.where(F.col("seen_on") == F.lit(day)), day, runs, names), "manifest")
+        done.append(day)
+    return kept.withColumns({c: _day(c) for c in ("first_seen", "last_seen", "retired_on")})
+
+
+def snapshot_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events land in a folder for each week; read as they were known on a day between two of them."""
+    path = scratch_path(spark, "snapshots")
+    events = table(spark, sf_dir, "events").select(
+        "event_id", "event_type", _money("value"), F.to_date(F.date_trunc("week", "ts")).alias("ingest_date")
+    )
+    events.write.partitionBy("ingest_date").parquet(path)
+    known = sources.read_as_of(spark, path, date(2024, 1, 20), events.drop("ingest_date").schema)
+    return known.withColumn("ingest_date", _day("ingest_date"))
+
+
+def runs_out_of_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every day's events as a run: rows and broken rules against the least and most of the days before.
+    The last day is logged again, as a repeated run is."""
+    path = scratch_path(spark, "ledger")
+    events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    checks = {"no_error": "event_type <> 'error'", "value_below_150": "value < 150"}
+    numbers = ops.run_numbers(events, "day", checks, "events", "value")
+    ops.append_runs(numbers, path)
+    ops.append_runs(numbers.where(F.col("run") == numbers.agg(F.max("run")).scalar()), path)
+    judged = ops.out_of_bounds(spark.read.schema(numbers.schema).parquet(path))
+    return judged.withColumn("run", _day("run"))
+
+
 def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
         "event_id", "user_id", "event_type", _money("value"), F.to_date("ts").alias("ingest_date")
@@ -517,6 +658,16 @@ def result_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.result_profile(winners(spark, sf_dir), SERIES)
 
 
+def planted_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers against a copy that lacks some, has others twice and some with another balance."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", _money("c_acctbal"))
+    key = F.col("c_custkey")
+    changed = F.when(key % 89 == 0, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")).cast("decimal(18,2)")
+    copy = customer.where(key % 97 != 0).withColumn("c_acctbal", changed)
+    copy = copy.unionAll(copy.where(key % 83 == 0))
+    return ops.differing_rows(customer, copy, "c_custkey")
+
+
 # --- flows ---------------------------------------------------------------------------
 
 
@@ -535,6 +686,20 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest event of every user and type, brought in by two runs of a stream over files that land
+    between them. After that the first batch is delivered again."""
+    root = scratch_path(spark, "upsert")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts", _money("value"))
+    kept = NewestRows(spark, f"{root}/newest", events.schema, ("user_id", "event_type"), ("ts", "event_id"), buckets=16)
+    for half in range(2):
+        own = events.where(F.col("event_id") % 2 == half)
+        own.repartition(3).write.mode("append").parquet(f"{root}/landed")
+        rows = upsert_available(spark, f"{root}/landed", kept, f"{root}/checkpoint", files_per_batch=2)
+    assert not kept.apply(events, 0)
+    return rows.drop("ts")
+
+
 def _land_files(spark: SparkSession, sf_dir: str, root: str) -> None:
     """The raw shape of the flow out of the given tables. Facts: quantity per part, year and
     quarter, once per line status, so that the natural key repeats. Parts of the first type report
@@ -650,15 +815,38 @@ def medallion_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def layout_skipping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines laid out by part and year, sorted and along a curve, 16 files each: whether a filter on either
+    skips a quarter of the files at least, and the rows it finds."""
+    root = scratch_path(spark, "layout")
+    lines = table(spark, sf_dir, "lineitem").select("l_partkey", F.year("l_shipdate").alias("year"), "l_quantity")
+    keys = ("l_partkey", "year")
+    for layout in ("sorted", "curve"):
+        clustered(lines, keys, curve=layout == "curve", files=16).write.parquet(f"{root}/{layout}")
+    out = None
+    for column, value in (("l_partkey", 25), ("year", 1995)):
+        read = {layout: spark.read.schema(lines.schema).parquet(f"{root}/{layout}") for layout in ("sorted", "curve")}
+        line = read["curve"].where(F.col(column) == value).agg(F.count(F.lit(1)).alias("rows"))
+        for layout, df in read.items():
+            touched = sources.files_touched(sources.file_ranges(df, keys), column, value)
+            told = touched.first()  # two numbers
+            line = line.withColumn(f"{layout}_skips", F.lit(4 * told.touched <= 3 * told.files))
+        line = line.select(F.lit(column).alias("filter"), "rows", "sorted_skips", "curve_skips")
+        out = line if out is None else out.unionAll(line)
+    return out
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
         best_year,
         best_year_sql,
         best_year_single,
+        best_year_incremental,
         period_rule_audit,
         equivalence_diff,
         twins_diff,
+        planted_differences,
         range_stats,
         reference_years,
         keyed_value_with_reference,
@@ -668,21 +856,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         typed_clean,
         labelled_facts,
         lookup_resolution,
+        guarded_lookup,
         delimited_roundtrip,
         json_records,
         rescue_malformed,
+        header_rescue,
         schema_drift,
         expect_drop,
         rule_violations,
         expect_metrics,
         volume_freshness,
+        runs_out_of_bounds,
         listing_links,
         landing_reconcile,
         landing_summary,
         stale_sources,
+        landing_guards,
         run_summary,
         manifest_seen,
+        manifest_runs,
         latest_snapshot,
+        snapshot_as_of,
         report_top10,
         report_best_table,
         report_title_totals,
@@ -691,6 +885,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         highest_series,
         result_profile,
         stream_ingest,
+        stream_upsert,
+        layout_skipping,
         medallion_flow,
     )
 }

@@ -178,12 +178,34 @@ SELECT (SELECT count(*) FROM (SELECT * FROM best EXCEPT ALL SELECT * FROM other)
 other AS (
   SELECT s.* FROM sums s JOIN (
     SELECT l_partkey, l_returnflag, max(yearly_sum) AS peak FROM sums GROUP BY ALL) m
-  ON s.l_partkey = m.l_partkey AND s.l_returnflag = m.l_returnflag AND s.yearly_sum = m.peak)
+  ON s.l_partkey = m.l_partkey AND s.l_returnflag = m.l_returnflag AND s.yearly_sum = m.peak),
+{YEARS},
+stats AS (
+  SELECT round(avg(population), 2) AS m, round(stddev_samp(population), 2) AS d
+  FROM years WHERE year BETWEEN 1996 AND 2000),
+stats_again AS (
+  SELECT round(s / n, 2) AS m, round(sqrt((q - s * s / n) / (n - 1)), 2) AS d
+  FROM (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(sum(population) AS DOUBLE) AS s,
+               CAST(sum(population * population) AS DOUBLE) AS q
+        FROM years WHERE year BETWEEN 1996 AND 2000)),
+wanted AS (
+  SELECT l_partkey, year, period, CAST(sum(value) AS DECIMAL(18,2)) AS value
+  FROM facts WHERE l_partkey = 25 AND period = 'Q05' GROUP BY ALL),
+keyed AS (
+  SELECT wanted.*, population FROM wanted LEFT JOIN years ON wanted.year = years.year),
+keyed_again AS (
+  SELECT w.*, (SELECT count(*) FROM orders WHERE year(o_orderdate) = w.year AND w.year <> 1998
+               HAVING count(*) > 0) AS population
+  FROM wanted w)
 SELECT 'best_year' AS answer,
        (SELECT count(*) FROM (SELECT * FROM best EXCEPT ALL SELECT * FROM other)) AS only_left,
        (SELECT count(*) FROM (SELECT * FROM other EXCEPT ALL SELECT * FROM best)) AS only_right
-UNION ALL SELECT 'range_stats', 0, 0
-UNION ALL SELECT 'keyed_value', 0, 0""",
+UNION ALL
+SELECT 'range_stats', (SELECT count(*) FROM (SELECT * FROM stats EXCEPT ALL SELECT * FROM stats_again)),
+       (SELECT count(*) FROM (SELECT * FROM stats_again EXCEPT ALL SELECT * FROM stats))
+UNION ALL
+SELECT 'keyed_value', (SELECT count(*) FROM (SELECT * FROM keyed EXCEPT ALL SELECT * FROM keyed_again)),
+       (SELECT count(*) FROM (SELECT * FROM keyed_again EXCEPT ALL SELECT * FROM keyed))""",
     "range_stats": f"""WITH {ALL_YEARS}
 SELECT CAST(round(avg(population), 2) AS DECIMAL(18,2)) AS mean_population,
        CAST(round(stddev_samp(population), 2) AS DECIMAL(18,2)) AS stddev_population
@@ -329,4 +351,69 @@ UNION ALL SELECT 'value_pop.value', series_id, NULL, year, CAST(value AS DECIMAL
 FROM flow_values
 UNION ALL SELECT 'value_pop.population', series_id, NULL, year, CAST(population AS DECIMAL(18,2))
 FROM flow_values""",
+    "best_year_incremental": f"WITH {BEST} SELECT * FROM best",
+    "guarded_lookup": """
+SELECT s_name AS label, count(*) AS lines, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS quantity
+FROM lineitem LEFT JOIN supplier ON s_suppkey = CASE WHEN l_orderkey % 2 = 0 THEN 1 ELSE l_suppkey END
+GROUP BY ALL""",
+    "header_rescue": """
+SELECT c_custkey, c_name,
+       CASE WHEN c_custkey % 3 <> 2 AND c_acctbal >= 0 THEN CAST(c_acctbal AS DECIMAL(18,2)) END AS c_acctbal,
+       CASE WHEN c_custkey % 3 = 0 AND c_acctbal < 0 THEN '{"c_acctbal":"overdrawn"}'
+            WHEN c_custkey % 3 = 1 THEN
+              '{' || CASE WHEN c_acctbal < 0 THEN '"c_acctbal":"overdrawn",' ELSE '' END
+              || '"c_mktsegment":"' || c_mktsegment || '"}' END AS rescued
+FROM customer""",
+    "landing_guards": f"""WITH {RECONCILED},
+bad AS (SELECT filename FROM listing WHERE length(filename) % 5 = 0)
+SELECT 'no listing' AS guard, 'stopped' AS outcome
+UNION ALL SELECT 'listing', 'passed' FROM listing HAVING count(*) > 0
+UNION ALL SELECT 'failures', count(*) || ' item(s) failed; all are listed in guards.failures' FROM bad
+UNION ALL SELECT 'comment', 'Files that failed'
+UNION ALL SELECT 'quality', 'landing'
+UNION ALL SELECT 'failed', filename FROM bad""",
+    "snapshot_as_of": """
+SELECT event_id, event_type, CAST(value AS DECIMAL(18,2)) AS value,
+       CAST(CAST(date_trunc('week', ts) AS DATE) AS VARCHAR) AS ingest_date
+FROM events
+WHERE date_trunc('week', ts) = (SELECT max(date_trunc('week', ts)) FROM events
+                                WHERE date_trunc('week', ts) <= DATE '2024-01-20')""",
+    "runs_out_of_bounds": """
+WITH lines AS (
+  SELECT CAST(ts AS DATE) AS run, 'rows' AS "check", count(*) AS number FROM events GROUP BY 1
+  UNION ALL
+  SELECT CAST(ts AS DATE), 'no_error', count(*) FILTER (event_type = 'error') FROM events GROUP BY 1
+  UNION ALL
+  SELECT CAST(ts AS DATE), 'value_below_150', count(*) FILTER (value >= 150) FROM events GROUP BY 1),
+bounds AS (
+  SELECT *, count(*) OVER earlier AS runs_before, min(number) OVER earlier AS least, max(number) OVER earlier AS most
+  FROM lines
+  WINDOW earlier AS (PARTITION BY "check" ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT 'events' AS dataset, "check", CAST(run AS VARCHAR) AS run, number, runs_before,
+       CASE WHEN runs_before >= 5 THEN CAST(least AS DOUBLE) END AS lower,
+       CASE WHEN runs_before >= 5 THEN CAST(most AS DOUBLE) END AS upper,
+       runs_before >= 5 AND (number < least OR number > most) AS outside
+FROM bounds""",
+    "planted_differences": """
+WITH a AS (SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal FROM customer),
+kept AS (
+  SELECT c_custkey, c_name, c_nationkey,
+         CAST(CASE WHEN c_custkey % 89 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS DECIMAL(18,2)) AS c_acctbal
+  FROM a WHERE c_custkey % 97 <> 0),
+b AS (SELECT * FROM kept UNION ALL SELECT * FROM kept WHERE c_custkey % 83 = 0),
+sides AS (
+  SELECT *, 1 AS n FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
+  UNION ALL SELECT *, -1 FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a))
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, CAST(sum(n) AS BIGINT) AS surplus FROM sides GROUP BY ALL""",
+    "layout_skipping": """
+SELECT 'l_partkey' AS filter, count(*) AS rows, true AS sorted_skips, true AS curve_skips
+FROM lineitem WHERE l_partkey = 25
+UNION ALL
+SELECT 'year', count(*), false, true FROM lineitem WHERE year(l_shipdate) = 1995""",
+    "stream_upsert": """
+SELECT event_id, user_id, event_type, CAST(value AS DECIMAL(18,2)) AS value
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS place
+      FROM events)
+WHERE place = 1""",
 }
+ORACLES["manifest_runs"] = ORACLES["manifest_seen"]

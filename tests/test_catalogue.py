@@ -73,7 +73,9 @@ def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-LAZY = sorted(set(QUERIES) - {"medallion_flow", "stream_ingest", "json_records", "twins_diff"})
+# Queries that write before they return; the plans of the others are the whole of them.
+EAGER = {"medallion_flow", "stream_ingest", "json_records", "twins_diff", "best_year_incremental", "stream_upsert", "layout_skipping", "landing_guards"}
+LAZY = sorted(set(QUERIES) - EAGER)
 
 
 def _adding(original):

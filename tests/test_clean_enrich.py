@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from quarterdeck.functions import (
@@ -16,11 +17,15 @@ from quarterdeck.operators import (
     broadcast_if_small,
     clean_facts,
     dedupe_by_key,
+    frequent_codes,
     label_facts,
+    left_lookup,
     lookup_resolution,
     reference_years,
+    salted_lookup,
     two_way_difference,
     typed_clean,
+    unique_codes,
 )
 
 
@@ -147,12 +152,42 @@ def test_a_lookup_may_carry_the_code_of_the_next(spark):
     assert got.first().series_title == "America, Chile"
 
 
-def test_a_repeated_lookup_code_fans_out(spark):
-    facts = spark.createDataFrame([("S1", "A")], "series_id string, x string")
-    series = spark.createDataFrame([("S1", "A")], "series_id string, code string")
-    twice = spark.createDataFrame([("A", "one"), ("A", "two")], "code string, label string")
+def test_codes_that_differ_in_padding_do_not_multiply_facts(spark):
+    facts = spark.createDataFrame([("S1", "x"), (" S1 ", "y"), ("S2", "z")], "series_id string, f string")
+    series = spark.createDataFrame([("S1", "A"), ("S1 ", "A "), ("S2", "B")], "series_id string, code string")
+    twice = spark.createDataFrame([("A", "one"), ("A ", "two"), (" A", "one")], "code string, label string")
     got = label_facts(facts, series, [Lookup(twice, "code", "label")])
-    assert sorted(r.label for r in got.collect()) == ["one", "two"]
+    assert sorted((r.f, r.label) for r in got.collect()) == [("x", "two"), ("y", "two"), ("z", None)]
+    assert sorted((r.code, r.label) for r in left_lookup(series, Lookup(twice, "code", "label")).collect()) == [("A", "two")] * 2 + [("B", None)]
+
+
+def test_codes_that_disagree_can_stop_the_job(spark):
+    facts = spark.createDataFrame([("A",)], "code string")
+    agree = spark.createDataFrame([("A", "one"), (" A", "one"), ("B", None), ("B ", None)], "code string, label string")
+    assert left_lookup(facts, Lookup(agree, "code", "label", "raise")).count() == 1
+    differ = agree.unionAll(spark.createDataFrame([("A  ", "two")], agree.schema))
+    with pytest.raises(Exception, match="disagree for code A"):
+        left_lookup(facts, Lookup(differ, "code", "label", "raise")).collect()
+    with pytest.raises(ValueError):
+        unique_codes(agree, "code", "any")
+
+
+def test_salting_frequent_codes(spark):
+    facts = spark.range(30_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN ' hot' WHEN id % 3 = 1 THEN NULL ELSE concat('c', id % 5000) END AS code", "id"
+    )
+    assert frequent_codes(facts, "code", 0.1) == [" hot"]
+    table = spark.createDataFrame([("hot", "H"), ("hot ", "H"), (" hot", "G")] + [(f"c{i}", f"l{i}") for i in range(4000)], "code string, label string")
+    lookup = Lookup(table, "code", "label")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        salted = salted_lookup(facts, lookup, salts=16, share=0.1)
+        assert salted.columns == ["code", "id", "label"]
+        assert salted.exceptAll(left_lookup(facts, lookup)).isEmpty() and salted.count() == facts.count()
+        assert salted.where("label = 'H'").count() == 10_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
 def test_broadcast_only_when_measured_small(spark):

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+import threading
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarterdeck import sources
+from quarterdeck import sinks, sources
 from quarterdeck.operators import (
     Rule,
     RuleViolation,
@@ -18,7 +20,9 @@ from quarterdeck.operators import (
 )
 from quarterdeck.plans import layers, sql_twins
 from quarterdeck.plans.layers import DELIMITED_FILES, DOCUMENT_FILE, Flow, Questions
-from quarterdeck.sinks import clustered, ensure_schema, publish, publish_query
+from quarterdeck.sinks import clustered, current_version, ensure_schema, publish, publish_query, versions
+from quarterdeck.functions import interleaved
+from quarterdeck.sources import file_headers, file_ranges, files_touched, read_by_header, read_with_rescue
 from quarterdeck.streaming import ingest_available
 from quarterdeck.workspace import Settings, named_parameter, scratch_path
 
@@ -128,7 +132,7 @@ def test_buckets_save_the_shuffle_of_a_grouping(spark, tmp_path):
     totals = period_totals(table, title=None)
     assert "Exchange" not in totals._jdf.queryExecution().executedPlan().toString()
     assert totals.count() == 200
-    assert len(list((tmp_path / "buck" / "t").glob("*.parquet"))) == 4
+    assert len(list((tmp_path / "buck").glob("t__v*/*.parquet"))) == 4
 
 
 def test_sorting_after_dedupe_is_free(spark):
@@ -292,7 +296,142 @@ def test_a_failing_rewrite_keeps_the_old_rows(spark):
     with pytest.raises(Exception, match="broken"):
         publish(bad, "rewrites.t", "second")
     assert spark.read.table("rewrites.t").count() == 3
-    assert [t.name for t in spark.catalog.listTables("rewrites")] == ["t"]
+    assert [t.name for t in spark.catalog.listTables("rewrites") if "__v" not in t.name] == ["t"]
+    assert len(versions(spark, "rewrites.t")) == 1
     again = publish(spark.read.table("rewrites.t").selectExpr("n + 1 AS n"), "rewrites.t", "third")
     assert sorted(r.n for r in again.collect()) == [1, 2, 3]
     assert "third" in str(spark.sql("DESCRIBE TABLE EXTENDED rewrites.t").collect())
+
+
+def test_a_crash_between_writing_and_switching_keeps_the_old_rows(spark, monkeypatch):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS crashes")
+    publish(spark.range(3).toDF("n"), "crashes.t", "first", {"quality": "gold"})
+    shown = current_version(spark, "crashes.t")
+
+    def dies(*_):
+        raise SystemExit
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "switch", dies)
+        with pytest.raises(SystemExit):
+            publish(spark.range(9).toDF("n"), "crashes.t", "second")
+    assert spark.read.table("crashes.t").count() == 3 and current_version(spark, "crashes.t") == shown
+    assert len(versions(spark, "crashes.t")) == 2  # what the dead run left
+    publish(spark.range(5).toDF("n"), "crashes.t", "third", {"quality": "silver"})
+    assert spark.read.table("crashes.t").count() == 5
+    assert versions(spark, "crashes.t") == [shown, current_version(spark, "crashes.t")]
+    told = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES crashes.t").collect()}
+    assert told["quality"] == "silver" and "third" in str(spark.sql("DESCRIBE TABLE EXTENDED crashes.t").collect())
+
+
+def test_readers_never_miss_the_table_while_it_is_replaced(spark):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS loops")
+    publish(spark.range(10).selectExpr("0 AS round", "id"), "loops.t")
+    done, seen, failed = threading.Event(), [], []
+
+    def read():
+        while not done.is_set():
+            try:
+                row = spark.sql("SELECT min(round) AS a, max(round) AS b, count(*) AS n FROM loops.t").first()
+                seen.append((row.a, row.b, row.n))
+            except Exception as e:  # noqa: BLE001
+                failed.append(e)
+
+    readers = [threading.Thread(target=read) for _ in range(3)]
+    for r in readers:
+        r.start()
+    for i in range(1, 6):
+        publish(spark.range(10 + i).selectExpr(f"{i} AS round", "id"), "loops.t")
+    done.set()
+    for r in readers:
+        r.join()
+    assert not failed and seen and all(a == b and n == 10 + a for a, b, n in seen)
+    assert len(versions(spark, "loops.t")) == 2
+
+
+def test_a_plain_table_becomes_a_version(spark):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS plain")
+    spark.range(4).write.saveAsTable("plain.t")
+    assert current_version(spark, "plain.t") is None
+    publish(spark.read.table("plain.t").selectExpr("id + 1 AS id"), "plain.t")
+    assert sorted(r.id for r in spark.read.table("plain.t").collect()) == [1, 2, 3, 4]
+    assert len(versions(spark, "plain.t")) == 2
+
+
+def lay(tmp_path, **files):
+    for name, lines in files.items():
+        (tmp_path / f"{name}.tsv").write_text("\n".join(lines) + "\n")
+    return str(tmp_path)
+
+
+def by_header(spark, path, ddl):
+    df = read_by_header(spark, path, T.StructType.fromDDL(ddl))
+    assert df.schema["_rescued"].dataType == T.VariantType()
+    rows = df.selectExpr("* EXCEPT (_rescued)", "to_json(_rescued) AS kept").collect()
+    return sorted(((*tuple(r)[:-1], json.loads(r.kept) if r.kept else None) for r in rows), key=repr)
+
+
+def test_columns_are_found_by_each_files_header(spark, tmp_path):
+    path = lay(
+        tmp_path,
+        a=["id  \t v", "1\t10", "2 \tx", "", "3\t"],
+        b=["v\tid\tnote", "40\t4\thello", "50\t5\t", "60\t6\tn\textra\t\tmore"],
+        c=["other\tid", "o\t7", "8"],
+        d=["id\tid\tv", "9\tagain\t90"],
+        e=["id\tv"],
+    )
+    assert by_header(spark, path, "id long, v int") == sorted(
+        [
+            (1, 10, None), (2, None, {"v": "x"}), (3, None, None),
+            (4, 40, {"note": "hello"}), (5, 50, None), (6, 60, {"note": "n", "#4": "extra", "#6": "more"}),
+            (7, None, {"other": "o"}), (None, None, {"other": "8", "#fields": "1"}),
+            (9, 90, {"id#2": "again"}),
+        ],
+        key=repr,
+    )
+
+
+def test_files_cut_into_blocks_have_one_header(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    path = lay(tmp_path / "in", a=["v\tid", *(f"{i}\t{i + 1}" for i in range(20_000))], b=["id\tv", *(f"{i + 1}\t{i}" for i in range(20_000))])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        df = read_by_header(spark, path, T.StructType.fromDDL("id long, v long"))
+        assert df.rdd.getNumPartitions() > 2
+        assert df.where("id = v + 1 AND _rescued IS NULL").count() == df.count() == 40_000
+        assert file_headers(spark, path).count() == 2
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_rescue_finds_fields_by_name(spark, tmp_path):
+    path = lay(tmp_path, a=["v\tid\tmore", "30\t3\tm", "x\t4\tm"])
+    df = read_with_rescue(spark, path, T.StructType.fromDDL("id long, v int, absent string"))
+    assert sorted(map(tuple, df.collect())) == [(3, 30, None, None), (4, None, None, "x\t4\tm")]
+    with pytest.raises(ValueError, match="has none of the columns"):
+        read_with_rescue(spark, path, T.StructType.fromDDL("nothing int"))
+
+
+def test_bits_take_turns(spark):
+    df = spark.createDataFrame([(0b11, 0b00), (0b00, 0b11), (0b10, 0b01), (5, 3)], "a int, b int")
+    got = [r[0] for r in df.select(interleaved([F.col("a"), F.col("b")], 3)).collect()]
+    assert got == [0b0101, 0b1010, 0b0110, 0b011011]
+    with pytest.raises(ValueError):
+        interleaved([F.col("a")] * 5, 16)
+
+
+def test_a_curve_is_narrow_in_every_key(spark, tmp_path):
+    df = spark.range(20_000).selectExpr(
+        "id % 100 AS a", "date_add(date'2020-01-01', cast(hash(id) % 300 AS int)) AS d", "concat('s', id % 37) AS s", "if(id % 50 = 0, null, id) AS x"
+    )
+    for name, options in {"curve": {"curve_by": ("a", "d")}, "plain": {"cluster_by": ("a", "d")}}.items():
+        clustered(df, ("a", "d"), curve=name == "curve", files=16).write.parquet(str(tmp_path / name))
+        ranges = file_ranges(spark.read.parquet(str(tmp_path / name)), ("a", "d"))
+        touched = {c: files_touched(ranges, c, v).first() for c, v in (("a", 50), ("d", date(2020, 1, 1)))}
+        assert touched["a"].files == 16 and touched["a"].touched < 9
+        assert (touched["d"].touched < 9) == (name == "curve")
+        ensure_schema(spark, "curves", str(tmp_path / "curves"))
+        assert publish(df, f"curves.{name}", **options).exceptAll(df).isEmpty()
+    assert clustered(df, ("s", "x"), curve=True).count() == 20_000
+    assert clustered(df.limit(0), ("a", "x"), curve=True).count() == 0
