@@ -1,15 +1,17 @@
 """Near duplicates by an LSH forest of MinHash signatures, confirmed on whole shingle sets.
 
-1. Every text becomes its shingle set's digest and ``TREES * DEPTH`` MinHash values. Texts with the
-   same set are one class from here on.
-2. Each tree orders the classes by its own ``DEPTH`` values. Classes that share a prefix of them form
-   a region. The first candidates are each class and the hubs of its regions at several depths: the
-   class whose regions of all depths are largest, which the original of many copies is.
-3. Whole signatures rule out candidates far below the threshold; the rest are compared on their
-   texts' full shingle sets, and the links that hold make connected components.
-4. A group of near copies need not be alike to one hub. So in every region that still holds several
-   components, all classes of different ones are compared by signature, block against block: first
-   the likeliest of each class are confirmed, then, between the components that are left, all.
+1. Every text becomes its shingle set's digest, ``TREES * DEPTH`` MinHash values and a finer sketch.
+   Texts with the same set are one class from here on.
+2. Each tree sorts the classes by its own ``DEPTH`` values. A class's first candidates are its neighbours
+   in that order, which have the longest prefixes in common with it. Classes that share no prefix of
+   three values with another are in no region of the tree and drop out of it; a crowded region is
+   dealt out by deeper prefixes, as deep as it takes.
+3. Signatures rule out candidates far below the threshold; the rest are compared on their texts' full
+   shingle sets, and the links that hold make connected components.
+4. Neighbours join a group whose members are alike; a group of near copies need not be, such as copies
+   that are near one original only. So in every region that still holds several components, the
+   classes of different ones are compared by sketch, block against block: first the likeliest of each
+   class are confirmed, then, between the components that are left, all that may be linked.
 """
 
 from __future__ import annotations
@@ -27,18 +29,24 @@ from quarterdeck.llm.shingles import digest, minhashes, mix, shingle_sets
 from quarterdeck.workspace import written
 
 TREES, DEPTH = 16, 8
-# Depths at which regions are formed, classes of a block of one, and likeliest classes of other
-# components that each class of a block is compared with before all that are left.
-DEPTHS = (3, 5, 8)
+# Depth of a region's prefix; of the prefixes that crowded regions are dealt out by, where they hold more
+# classes than CROWD.
+REGION_DEPTH, DEEPER, CROWD = 3, (5, 8), 1 << 16
+# Places before a class in a tree's order whose classes are its candidates.
+NEIGHBOURS = 4
+# Classes of a block of a region, and likeliest classes of other components that each class of a block
+# is compared with before all that are left.
 REGION = 512
 LEADERS = 4
+# Bins of the sketch by which blocks are compared.
+BINS = 512
 # Digests (16 bytes each) up to which the texts to compare are picked out by a broadcast; beyond, by
 # a shuffle of all texts.
 WANTED_ROWS = 1_000_000
 # Standard errors of the signature's estimate that a candidate may be below the threshold.
 SLACK = 4.5
-# Texts at a time, by characters.
-BLOCK = 1 << 21
+# Texts at a time, by characters; texts that one text is compared with in one chunk, on average.
+BLOCK, CHUNK = 1 << 19, 64
 NO_ID = -(1 << 63)
 
 
@@ -67,104 +75,139 @@ def _signed(k: int, text: str):
                         "n": pa.array([len(s) for s in sets], pa.int64()),
                         "digest": pa.array([digest(s) if len(s) else None for s in sets], pa.binary()),
                         "sig": pa.array([next(rows).tobytes() if len(s) else None for s in sets], pa.binary()),
+                        "sketch": pa.array([sketch(s) if len(s) else None for s in sets], pa.binary()),
                     }
                 )
 
     return signed
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each tree of each class: the prefixes of its place in the tree, at each depth."""
+def sketch(hashes: np.ndarray) -> bytes:
+    """A byte for each of ``BINS`` ranges of hashes: a hash of the least of a sorted set there, 0 for none.
+    The share of equal bytes among those that either set fills estimates the sets' likeness."""
+    spread = np.sort(mix(hashes))
+    bounds = np.arange(BINS, dtype=np.uint64) << np.uint64(64 - BINS.bit_length() + 1)
+    first = np.searchsorted(spread, bounds)
+    stop = np.append(first[1:], len(spread))
+    least = spread[np.minimum(first, len(spread) - 1)]
+    return np.where(first < stop, least % np.uint64(255) + np.uint64(1), 0).astype(np.uint8).tobytes()
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each tree of each class: its region there, its path through the tree as bytes that sort
+    like the values, and a byte of each of its values, enough to estimate a likeness."""
     for batch in batches:
         n = batch.num_rows
         sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(n, TREES, DEPTH)
         key = np.broadcast_to(mix(np.arange(1, TREES + 1, dtype=np.uint64)), (n, TREES))
-        keys = {}
-        for d in range(DEPTH):
+        for d in range(REGION_DEPTH):
             key = mix(key ^ (sig[:, :, d].astype(np.uint64) + np.uint64(d << 40)))
-            if d + 1 in DEPTHS:
-                keys[f"k{d + 1}"] = pa.array(key.ravel().view(np.int64))
-        classes = batch.column("digest").take(pa.array(np.repeat(np.arange(n), TREES)))
-        yield pa.RecordBatch.from_pydict({"digest": classes, **keys})
+        path = np.frombuffer(sig.astype(">u4").tobytes(), f"S{4 * DEPTH}")
+        whole = path.tobytes()
+        of = pa.array(np.repeat(np.arange(n), TREES))
+        yield pa.RecordBatch.from_pydict(
+            {
+                "digest": batch.column("digest").take(of),
+                "region": pa.array(key.ravel().view(np.int64)),
+                "path": pa.array([whole[i : i + 4 * DEPTH] for i in range(0, len(whole), 4 * DEPTH)], pa.binary()),
+            }
+        )
 
 
-def _likely(threshold: float):
+def _shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(-1, TREES * DEPTH).astype(np.uint8)
+        yield pa.RecordBatch.from_pydict(
+            {"digest": batch.column("digest"), "sig": pa.array([s.tobytes() for s in sig], pa.binary())}
+        )
+
+
+def _beside(threshold: float):
     many = TREES * DEPTH
     least = threshold - SLACK * np.sqrt(threshold * (1 - threshold) / many)
 
-    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The candidates whose signatures may reach the threshold, smaller digest first."""
+    def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs of neighbours in a sorted region whose signatures may reach the threshold, smaller digest
+        first. Only the last places are held from batch to batch."""
+        held = None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, many) for c in ("sig_a", "sig_b")
-            )
-            alike = ((a == b).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
-            kept = np.flatnonzero(alike >= least).tolist()
-            x, y = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            pairs = {(min(x[i], y[i]), max(x[i], y[i])) for i in kept}
+            rows = pa.Table.from_batches([batch.select(["part", "digest", "sig"])])
+            new = 0 if held is None else held.num_rows
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            held = rows.slice(max(0, rows.num_rows - NEIGHBOURS))
+            part, digests = rows.column("part").to_numpy(), rows.column("digest").to_pylist()
+            sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(-1, many)
+            pairs = set()
+            for back in range(1, NEIGHBOURS + 1):
+                same = np.flatnonzero(part[back:] == part[:-back]) + back
+                same = same[same >= new]
+                alike = ((sig[same] == sig[same - back]).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
+                for i in same[alike >= least].tolist():
+                    x, y = digests[i], digests[i - back]
+                    pairs.add((min(x, y), max(x, y)))
             yield pa.RecordBatch.from_pydict(
                 {"a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())}
             )
 
-    return likely
+    return beside
 
 
 def _confirmed(k: int, percent: int):
     def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of chunks, one text (without ``b``) and then those it is compared with, the pairs that are linked."""
+        chunk, one = None, None
         for batch in batches:
-            left, right = batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()
-            linked: list[int] = []
-            for i, j in _blocks([(x or "") + (y or "") for x, y in zip(left, right, strict=True)]):
-                texts = list({*left[i:j], *right[i:j]})  # a hub stands in many pairs
-                sets = dict(zip(texts, shingle_sets(texts, k), strict=True))
-                for row in range(i, j):
-                    x, y = sets[left[row]], sets[right[row]]
-                    if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
-                        both = len(np.intersect1d(x, y, assume_unique=True))
-                        if 100 * both >= percent * (len(x) + len(y) - both):
-                            linked.append(row)
-            yield batch.select(["a", "b"]).take(pa.array(linked, pa.int64()))
+            chunks, a, b = (batch.column(c).to_pylist() for c in ("chunk", "a", "b"))
+            texts = batch.column("text")
+            found: list[int] = []
+            start = 0
+            while start < len(texts):
+                some: list[str] = []
+                size = 0
+                while start + len(some) < len(texts) and (not some or size < BLOCK):
+                    some.append(texts[start + len(some)].as_py())
+                    size += len(some[-1])
+                for i, own in enumerate(shingle_sets(some, k), start):
+                    if b[i] is None:
+                        chunk, one = chunks[i], own
+                    elif chunk == chunks[i] and 100 * min(len(one), len(own)) >= percent * max(len(one), len(own)):
+                        both = len(np.intersect1d(one, own, assume_unique=True))
+                        if 100 * both >= percent * (len(one) + len(own) - both):
+                            found.append(i)
+                start += len(some)
+            yield pa.RecordBatch.from_pydict(
+                {"a": pa.array([a[i] for i in found], pa.binary()), "b": pa.array([b[i] for i in found], pa.binary())}
+            )
 
     return confirmed
 
 
 def placed(classes: DataFrame) -> DataFrame:
-    """(digest, sig, k*, n_k*, hub_k*): a row for each tree of each of (digest, sig) that shares
-    a region there, with the size and the hub of its region at each depth."""
-    names = [f"k{d}" for d in DEPTHS]
+    """(digest, region, path, part, sig): a row for each tree of each class that shares a region there.
+    ``part`` is the region, or where that is crowded its part by the shallowest deeper prefix that
+    is not, or by the deepest."""
     places = written(
-        classes.select("digest", "sig").mapInArrow(_prefixes, "digest binary, " + ", ".join(f"{n} long" for n in names)), "places"
-    )
-    crowded = places
-    for name in names:  # at the first depth only classes that share a region stay; most share none
-        shared = written(crowded.groupBy(name).agg(F.count(F.lit(1)).alias(f"n_{name}")).where(f"n_{name} > 1"), "regions")
-        crowded = written(crowded.join(small_or_whole(shared), name, "inner" if name == names[0] else "left"), "crowded")
-    # over all depths, so that only a class that keeps all values of a group's original ties with it
-    sizes = [F.coalesce(F.col(f"n_{name}"), F.lit(1)) for name in names]
-    fame = crowded.groupBy("digest").agg(F.sum(sum(sizes[1:], sizes[0])).alias("fame"))
-    short = classes.select("digest", "sig").join(written(fame, "fame"), "digest")
-    # one byte of each value is enough to estimate the likeness
-    place = written(
-        crowded.join(written(short.mapInArrow(_shortened, "digest binary, sig binary, fame long"), "short"), "digest"), "place"
+        classes.select("digest", "sig").mapInArrow(_places, "digest binary, region long, path binary"), "places"
     )
-    for name in names:
-        hub = F.max_by(F.struct(F.col("digest").alias("hub"), F.col("sig").alias("hub_sig")), F.struct("fame", "digest"))
-        regions = written(place.where(f"n_{name} > 1").groupBy(name).agg(hub.alias(f"hub_{name}")), "hubs")
-        place = place.join(small_or_whole(regions), name, "left")
-    return written(place, "placed")
+    count = F.count(F.lit(1)).alias("n")
+    shared = written(places.groupBy("region").agg(count).where("n > 1"), "regions")
+    rows = written(places.join(small_or_whole(shared), "region").withColumn("part", F.col("region")), "crowded")
+    for depth in DEEPER:
+        full = rows.where(F.col("n") > CROWD)
+        if full.isEmpty():
+            break
+        parts = full.drop("n").withColumn("part", F.xxhash64("region", F.substring("path", 1, 4 * depth)))
+        sizes = written(parts.groupBy("part").agg(count), "parts")
+        rows = written(rows.where(F.col("n") <= CROWD).unionByName(parts.join(small_or_whole(sizes), "part")), "dealt")
+    short = classes.select("digest", "sig").join(rows.select("digest").distinct(), "digest", "left_semi")
+    short = written(short.mapInArrow(_shortened, "digest binary, sig binary"), "short")
+    return written(rows.drop("n").join(short, "digest"), "placed")
 
 
 def candidates(place: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of digests, a < b, without repeats: classes of ``placed`` and the hubs of their regions."""
-    names = [f"k{d}" for d in DEPTHS]
-    each = F.explode(F.array_distinct(F.array(*[F.col(f"hub_{n}") for n in names]))).alias("h")
-    stars = place.select("digest", "sig", each).where(F.col("h").isNotNull() & (F.col("h.hub") != F.col("digest")))
-    stars = stars.select(F.col("digest").alias("a"), F.col("sig").alias("sig_a"), F.col("h.hub").alias("b"), F.col("h.hub_sig").alias("sig_b"))
-
-    found = stars.mapInArrow(_likely(percent / 100), "a binary, b binary")
-    return written(found.distinct(), "candidates")
+    """(a, b) of digests, a < b, without repeats: neighbours in the trees' orders."""
+    order = place.select("part", "path", "digest", "sig").repartition("part").sortWithinPartitions("part", "path", "digest")
+    return written(order.mapInArrow(_beside(percent / 100), "a binary, b binary").distinct(), "candidates")
 
 
 def _rows(groups: np.ndarray) -> list[tuple[int, int]]:
@@ -173,20 +216,27 @@ def _rows(groups: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _apart(threshold: float, most: int | None):
-    many = TREES * DEPTH
-    least = threshold - SLACK * np.sqrt(threshold * (1 - threshold) / many)
-    fewest = (least * (1 - 1 / 256) + 1 / 256) * many
+    def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Estimates for all of ``a`` with all of ``b``; -1 where the threshold is out of reach."""
+        step = max(1, (1 << 15) // len(b))
+        same = np.concatenate(
+            [((a[at : at + step, None] == b[None]) & (b != 0)[None]).sum(axis=2, dtype=np.int32) for at in range(0, len(a), step)]
+        )
+        filled = BINS - (a == 0).astype(np.float32) @ (b == 0).astype(np.float32).T
+        alike = (same / np.maximum(filled, 1) - 1 / 255) / (1 - 1 / 255)
+        least = threshold - SLACK * np.sqrt(threshold * (1 - threshold) / np.maximum(filled, 1))
+        return np.where(alike >= least, alike, -1)
 
-    def best(same: np.ndarray) -> np.ndarray:
-        if most is None or same.shape[1] <= most:
-            return same >= fewest
-        bar = np.partition(same, same.shape[1] - most, axis=1)[:, -most]
-        return same >= np.maximum(bar, fewest)[:, None]
+    def best(alike: np.ndarray) -> np.ndarray:
+        if most is None or alike.shape[1] <= most:
+            return alike >= 0
+        bar = np.partition(alike, alike.shape[1] - most, axis=1)[:, -most]
+        return (alike >= bar[:, None]) & (alike >= 0)
 
     def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         if not rows.num_rows:
             return
-        sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(-1, many)
+        sig = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(-1, BINS)
         digests = rows.column("digest").to_pylist()
         component, group = (rows.column(c).to_numpy() for c in ("component", "group"))
         left, right = (rows.column(c).to_numpy().astype(bool) for c in ("is_left", "is_right"))
@@ -194,13 +244,10 @@ def _apart(threshold: float, most: int | None):
             x, y = i + np.flatnonzero(left[i:j]), i + np.flatnonzero(right[i:j])
             if not len(x) or not len(y):
                 continue
-            step = max(1, (1 << 17) // len(y))
-            same = np.concatenate(
-                [(sig[x[at : at + step], None] == sig[None, y]).sum(axis=2, dtype=np.uint8) for at in range(0, len(x), step)]
-            )
-            same = np.where(component[x][:, None] == component[y][None], 0, same)
+            alike = likeness(sig[x], sig[y])
+            alike = np.where(component[x][:, None] == component[y][None], -1, alike)
             found = set()
-            for u, v in zip(*np.nonzero(best(same) | best(same.T).T), strict=True):
+            for u, v in zip(*np.nonzero(best(alike) | best(alike.T).T), strict=True):
                 a, b = digests[x[u]], digests[y[v]]
                 found.add((min(a, b), max(a, b)))
             yield pa.RecordBatch.from_pydict(
@@ -224,15 +271,15 @@ def _apart(threshold: float, most: int | None):
     return apart
 
 
-def rest(place: DataFrame, of: DataFrame, percent: int, most: int | None) -> DataFrame:
-    """(a, b) of digests, a < b, without repeats: pairs that share a region of the shallowest depth and
-    lie in different components by ``of`` (digest, component). For each class of two blocks the ``most``
-    that are likeliest, or all that may reach the threshold.
+def rest(place: DataFrame, sketches: DataFrame, of: DataFrame, percent: int, most: int | None) -> DataFrame:
+    """(a, b) of digests, a < b, without repeats: pairs that share a region and lie in different
+    components by ``of`` (digest, component). For each class of two blocks the ``most`` that are likeliest
+    by ``sketches`` (digest, sketch), or all that may reach the threshold.
 
     A region's largest component and its other classes are dealt into blocks of ``REGION`` rows
     on average; every block of other classes meets every block, and no class its own component.
     """
-    top = f"k{DEPTHS[0]}"
+    top = "region"
     at = written(place.select("digest", top).join(of, "digest"), "members")
     by_component = at.groupBy(top, "component").agg(F.count(F.lit(1)).alias("n"))
     regions = by_component.groupBy(top).agg(
@@ -247,7 +294,6 @@ def rest(place: DataFrame, of: DataFrame, percent: int, most: int | None) -> Dat
     dealt = lambda n: F.pmod(F.xxhash64("digest"), F.col(n))
     own = F.when(is_main, F.col("others") + dealt("mains")).otherwise(dealt("others"))
     last = F.when(is_main, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
-    sigs = place.select("digest", "sig").groupBy("digest").agg(F.first("sig").alias("sig"))
     rows = (
         at.join(small_or_whole(still), top)
         .withColumn("own", own)
@@ -259,20 +305,12 @@ def rest(place: DataFrame, of: DataFrame, percent: int, most: int | None) -> Dat
             (F.col("own") <= F.col("other")).alias("is_left"),
             (F.col("own") >= F.col("other")).alias("is_right"),
         )
-        .join(sigs, "digest")
+        .join(sketches, "digest")
     )
     found = rows.repartition("group").sortWithinPartitions("group").mapInArrow(_apart(percent / 100, most), "a binary, b binary")
     return written(found.distinct(), "rest")
 
 
-def _shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(-1, TREES * DEPTH).astype(np.uint8)
-        yield pa.RecordBatch.from_pydict(
-            {"digest": batch.column("digest"), "sig": pa.array([s.tobytes() for s in sig], pa.binary()), "fame": batch.column("fame")}
-        )
-
-
 def link(pairs: DataFrame, signed: DataFrame, k: int, percent: int) -> DataFrame:
     """The ``pairs`` (a, b) of digests whose full sets, from ``signed`` (digest, text), are linked."""
     wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct(), "wanted")
@@ -280,9 +318,16 @@ def link(pairs: DataFrame, signed: DataFrame, k: int, percent: int) -> DataFrame
         signed.join(small_or_whole(wanted, WANTED_ROWS), "digest").groupBy("digest").agg(F.min("text").alias("text")),
         "texts",
     )
-    named = lambda c: texts.select(F.col("digest").alias(c), F.col("text").alias(f"text_{c}"))
-    compared = pairs.join(named("a"), "a").join(named("b"), "b")
-    return written(compared.mapInArrow(_confirmed(k, percent), "a binary, b binary"), "linked")
+    # a text that is in many pairs goes to each chunk of them once, not with every pair
+    many = written(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")), "compared-with")
+    part = F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / CHUNK))
+    chunked = written(
+        pairs.join(small_or_whole(many), "a").select(F.xxhash64("a", part).alias("chunk"), "a", "b"), "chunks"
+    )
+    ones = chunked.select("chunk", "a").distinct().select("chunk", "a", F.lit(None).cast("binary").alias("b"), F.col("a").alias("digest"))
+    rows = ones.unionAll(chunked.select("chunk", "a", "b", F.col("b").alias("digest"))).join(texts, "digest").drop("digest")
+    order = rows.repartition("chunk").sortWithinPartitions("chunk", "a", F.asc_nulls_first("b"))
+    return written(order.mapInArrow(_confirmed(k, percent), "a binary, b binary"), "linked")
 
 
 def _components(links: DataFrame, ids: DataFrame) -> DataFrame:
@@ -314,11 +359,12 @@ def grouped(
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     row = packed.schema["_row"].dataType.simpleString()
     signed = written(
-        packed.mapInArrow(_signed(k, text), f"_row {row}, n long, digest binary, sig binary"), "signed"
+        packed.mapInArrow(_signed(k, text), f"_row {row}, n long, digest binary, sig binary, sketch binary"), "signed"
     )
     own = F.coalesce(F.col("_row")[doc_id].cast("long"), F.lit(NO_ID))
     classes = written(
-        signed.where("n > 0").groupBy("digest").agg(F.min(own).alias("id"), F.min("sig").alias("sig")), "classes"
+        signed.where("n > 0").groupBy("digest").agg(F.min(own).alias("id"), F.min("sig").alias("sig"), F.min("sketch").alias("sketch")),
+        "classes",
     )
     texts = signed.select("digest", F.col("_row")[text].alias("text"))
     ids = classes.select("digest", "id")
@@ -327,7 +373,7 @@ def grouped(
     links = link(compared, texts, k, percent)
     of = _components(links, ids)
     for most in (LEADERS, None):
-        more = written(rest(place, of, percent, most).join(compared, ["a", "b"], "left_anti"), "more")
+        more = written(rest(place, classes.select("digest", "sketch"), of, percent, most).join(compared, ["a", "b"], "left_anti"), "more")
         if more.isEmpty():
             continue
         compared = compared.unionAll(more)

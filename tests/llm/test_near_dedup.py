@@ -169,3 +169,36 @@ def test_copies_of_copies(spark):
     assert all(alike(texts[i], texts[i + 1500]) >= 0.85 for i in range(1, 1001))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
     assert [r.doc_id for r in nd.near_report(docs).collect() if r.component_id] == []
+
+
+def test_alike_but_unlinked_texts_are_told_apart_by_sketch(spark):
+    """Copies at about 0.73 to one another, without their original: few of all pairs reach the texts."""
+    texts = copies(random.Random(11), 600, changes=3)[1:]
+    assert 0.7 < alike(texts[0], texts[1]) < 0.77
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = docs.selectExpr("struct(doc_id, text) AS _row").mapInArrow(nd._signed(5, "text"), "_row struct<doc_id:long,text:string>, n long, digest binary, sig binary, sketch binary")
+    classes = nd.written(rows.selectExpr("digest", "_row.doc_id AS id", "sig", "sketch"), "classes")
+    place = nd.placed(classes)
+    own = classes.selectExpr("digest", "id AS component")
+    many = nd.rest(place, classes.select("digest", "sketch"), own, 85, None).count()
+    assert many < 0.02 * 600 * 599 / 2
+    assert nd.candidates(place, 85).count() <= nd.TREES * nd.NEIGHBOURS * 600
+
+
+def test_crowded_regions_are_dealt_out_by_deeper_prefixes(spark, monkeypatch):
+    monkeypatch.setattr(nd, "CROWD", 20)
+    rng = random.Random(12)
+    rows = list(enumerate(copies(rng, 200, changes=1) + copies(rng, 3)))
+    assert report(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
+def test_sketches_estimate_likeness():
+    rng = np.random.default_rng(4)
+    for size in (20, 400, 20_000):
+        x = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
+        y = np.unique(np.concatenate([x[: int(0.9 * size)], rng.integers(0, 2**63, size // 10, dtype=np.uint64)]))
+        a, b = (np.frombuffer(nd.sketch(s), np.uint8) for s in (x, y))
+        filled = ((a != 0) | (b != 0)).sum()
+        real = len(np.intersect1d(x, y)) / len(np.union1d(x, y))
+        assert abs(((a == b) & (a != 0)).sum() / filled - real) < 4 * np.sqrt(real * (1 - real) / filled) + 0.01
+        assert nd.sketch(x) == nd.sketch(x.copy())
