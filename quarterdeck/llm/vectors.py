@@ -31,8 +31,35 @@ QUERY_BLOCK = 32_768
 SEARCHED = 512
 
 
+def _frame(nodes: np.ndarray) -> tuple[float, np.ndarray, float]:
+    """What makes the vectors of a shard small numbers about zero: a first divisor, a centre and a second
+    divisor. Distances within the shard then neither overflow nor drown in an offset that all share."""
+    most = float(np.abs(nodes).max())
+    centre = (nodes / most).mean(0)
+    return most, centre, float(np.abs(nodes / most - centre).max()) or 1.0
+
+
+def _framed(vectors: np.ndarray, frame: tuple[float, np.ndarray, float]) -> np.ndarray:
+    """Vectors in a shard's frame, in double precision; what lies beyond all measure is held at 1e150."""
+    most, centre, spread = frame
+    with np.errstate(over="ignore"):
+        return np.clip((vectors.astype(np.float64) / most - centre) / spread, -1e150, 1e150)
+
+
+def _measure(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Euclidean distances of rows to rows, from their differences. Only differences whose squares would
+    leave the range of a double are scaled first."""
+    with np.errstate(over="ignore", under="ignore"):
+        d = a.astype(np.float64) - b.astype(np.float64)
+        out = np.sqrt((d**2).sum(1))
+        most = np.abs(d).max(1, initial=0)
+        odd = np.isfinite(most) & ((most > 1e150) | ((most < 1e-150) & (most > 0)))
+        out[odd] = most[odd] * np.sqrt(((d[odd] / most[odd, None]) ** 2).sum(1))
+    return out
+
+
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Squared distances of all rows of ``a`` to all of ``b``; only to choose links."""
+    """Squared distances of all rows of ``a`` to all of ``b``, as far as they tell candidates apart."""
     d = (a**2).sum(1)[:, None] + (b**2).sum(1)[None, :] - 2 * (a @ b.T)
     return np.maximum(d, 0)
 
@@ -50,9 +77,9 @@ def _links(x: np.ndarray, degree: int, candidates: int) -> np.ndarray:
         d = _distances(x[rows], x)
         d[np.arange(len(rows)), rows] = np.inf
         near = np.argpartition(d, c - 1, axis=1)[:, :c]
-        order = np.argsort(np.take_along_axis(d, near, 1), axis=1, kind="stable")
-        near = np.take_along_axis(near, order, 1)
-        dist = np.take_along_axis(d, near, 1)
+        dist = ((x[near] - x[rows][:, None, :]) ** 2).sum(2)
+        order = np.argsort(dist, axis=1, kind="stable")
+        near, dist = np.take_along_axis(near, order, 1), np.take_along_axis(dist, order, 1)
         v = x[near]
         square = (v**2).sum(2)
         between = square[:, :, None] + square[:, None, :] - 2 * np.matmul(v, v.transpose(0, 2, 1))
@@ -89,11 +116,13 @@ def build(ids: np.ndarray, vectors: np.ndarray) -> dict:
     layers = [np.arange(len(nodes))]
     while len(layers[-1]) > DEGREE:
         layers.append(np.sort(shuffled[: max(1, len(layers[-1]) // DEGREE)]))
-    x = nodes.astype(np.float32)
+    frame = _frame(nodes)
+    x = _framed(nodes, frame)
     return {
         "ids": ids,
         "heads": np.append(heads, len(ids)),
         "vectors": nodes,
+        "frame": frame,
         "layers": layers,
         "links": [_links(x[layer], DEGREE, CANDIDATES) for layer in layers],
     }
@@ -143,8 +172,9 @@ def _beam(x: np.ndarray, links: np.ndarray, queries: np.ndarray, entry: np.ndarr
 
 def search(graph: dict, queries: np.ndarray, own: np.ndarray, k: int, ef: int = BEAM) -> tuple[np.ndarray, ...]:
     """(query number, id, distance) of the ``k`` nearest rows found for each query, but for the rows
-    that have the query's own id. Distances are in double precision on the original vectors."""
-    x, wanted = graph["vectors"].astype(np.float32), queries.astype(np.float32)
+    that have the query's own id. The beam too measures in double precision, from differences; the
+    distances returned are those of the original vectors."""
+    x, wanted = (_framed(v, graph["frame"]) for v in (graph["vectors"], queries))
     entry = np.zeros((len(queries), 1), np.int64)
     layers, links = graph["layers"], graph["links"]
     for above in range(len(layers) - 1, 0, -1):
@@ -164,9 +194,7 @@ def search(graph: dict, queries: np.ndarray, own: np.ndarray, k: int, ef: int =
     number, ids = np.concatenate(number), np.concatenate(ids)
     keep = ids != own[number[:, 0]]
     number, ids = number[keep], ids[keep]
-    exact = np.sqrt(
-        ((graph["vectors"][number[:, 1]].astype(np.float64) - queries[number[:, 0]].astype(np.float64)) ** 2).sum(1)
-    )
+    exact = _measure(graph["vectors"][number[:, 1]], queries[number[:, 0]])
     return _nearest(number[:, 0], ids, exact, k)
 
 

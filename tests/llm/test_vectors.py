@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from quarterdeck.llm import vectors as v
@@ -73,6 +74,30 @@ def test_edge_rows(spark):
     assert v.neighbours(one).count() == 0
 
 
+def scaled(offset, scale):
+    rng = np.random.default_rng(8)
+    return [(i, ((rng.normal(size=16) + offset) * scale).tolist()) for i in range(2500)]
+
+
+@pytest.mark.parametrize(("offset", "scale"), [(5000.0, 1.0), (1e4, 1.0), (1e6, 1.0), (0.0, 1e20), (0.0, 1e39), (0.0, 1e-30), (1e4, 1e30), (0.0, 1e-200), (0.0, 1e200)])
+def test_offsets_and_scales_lose_nothing(spark, monkeypatch, offset, scale):
+    monkeypatch.setattr(v, "SHARD_ROWS", 1000)
+    rows = scaled(offset, scale)
+    got = found(v.neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>")))
+    unit = {i: np.array(e) / scale for i, e in rows}
+    want = {q: sorted((float(np.sqrt(((x - unit[q]) ** 2).sum())), i) for i, x in unit.items() if i != q)[:10] for q in range(0, 2500, 100)}
+    assert {q: len(g) for q, g in got.items()} == dict.fromkeys(want, 10)
+    assert recall(got, {q: [(i, d) for d, i in w] for q, w in want.items()}) >= 0.95
+    assert all(math.isclose(d, float(np.sqrt(((unit[i] - unit[q]) ** 2).sum())) * scale, rel_tol=1e-9) for q, g in got.items() for i, d in g)
+
+
+def test_far_clusters_keep_their_neighbours(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, (rng.normal(size=8) + (i % 3) * 1e6).tolist()) for i in range(1800)]
+    got = found(v.neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>")))
+    assert recall(got, brute(rows)) >= 0.95
+
+
 def test_queries_in_blocks_change_nothing(spark, monkeypatch):
     df = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
     want = found(v.neighbours(df, every=10))
