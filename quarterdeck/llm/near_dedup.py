@@ -216,16 +216,21 @@ def _rows(groups: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _apart(threshold: float, most: int | None):
-    def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Estimates for all of ``a`` with all of ``b``; -1 where the threshold is out of reach."""
+    def likeness(a: np.ndarray, b: np.ndarray, m: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Estimates for all of ``a`` with all of ``b``, whose sets have ``m`` and ``n`` members; -1 where the
+        threshold is out of reach. The bins that either set fills are a sample of the union without
+        repeats: the more of it they hold, the less the estimate can err."""
         step = max(1, (1 << 15) // len(b))
         same = np.concatenate(
             [((a[at : at + step, None] == b[None]) & (b != 0)[None]).sum(axis=2, dtype=np.int32) for at in range(0, len(a), step)]
         )
-        filled = BINS - (a == 0).astype(np.float32) @ (b == 0).astype(np.float32).T
-        alike = (same / np.maximum(filled, 1) - 1 / 255) / (1 - 1 / 255)
-        least = threshold - SLACK * np.sqrt(threshold * (1 - threshold) / np.maximum(filled, 1))
-        return np.where(alike >= least, alike, -1)
+        filled = np.maximum(BINS - (a == 0).astype(np.float32) @ (b == 0).astype(np.float32).T, 1)
+        alike = (same / filled - 1 / 255) / (1 - 1 / 255)
+        union = (m[:, None] + n[None]) / (1 + threshold)  # at most, for linked sets
+        unseen = np.clip((union - filled) / np.maximum(union - 1, 1), 0, 1)
+        error = np.sqrt((threshold * (1 - threshold) * unseen + (1 - threshold) / 255) / filled)
+        close = np.minimum(m[:, None], n[None]) >= threshold * np.maximum(m[:, None], n[None])
+        return np.where(close & (alike >= threshold - SLACK * error), alike, -1)
 
     def best(alike: np.ndarray) -> np.ndarray:
         if most is None or alike.shape[1] <= most:
@@ -238,13 +243,13 @@ def _apart(threshold: float, most: int | None):
             return
         sig = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(-1, BINS)
         digests = rows.column("digest").to_pylist()
-        component, group = (rows.column(c).to_numpy() for c in ("component", "group"))
+        component, group, size = (rows.column(c).to_numpy() for c in ("component", "group", "size"))
         left, right = (rows.column(c).to_numpy().astype(bool) for c in ("is_left", "is_right"))
         for i, j in _rows(group):
             x, y = i + np.flatnonzero(left[i:j]), i + np.flatnonzero(right[i:j])
             if not len(x) or not len(y):
                 continue
-            alike = likeness(sig[x], sig[y])
+            alike = likeness(sig[x], sig[y], size[x], size[y])
             alike = np.where(component[x][:, None] == component[y][None], -1, alike)
             found = set()
             for u, v in zip(*np.nonzero(best(alike) | best(alike.T).T), strict=True):
@@ -274,7 +279,7 @@ def _apart(threshold: float, most: int | None):
 def rest(place: DataFrame, sketches: DataFrame, of: DataFrame, percent: int, most: int | None) -> DataFrame:
     """(a, b) of digests, a < b, without repeats: pairs that share a region and lie in different
     components by ``of`` (digest, component). For each class of two blocks the ``most`` that are likeliest
-    by ``sketches`` (digest, sketch), or all that may reach the threshold.
+    by ``sketches`` (digest, sketch, size), or all that may reach the threshold.
 
     A region's largest component and its other classes are dealt into blocks of ``REGION`` rows
     on average; every block of other classes meets every block, and no class its own component.
@@ -363,7 +368,7 @@ def grouped(
     )
     own = F.coalesce(F.col("_row")[doc_id].cast("long"), F.lit(NO_ID))
     classes = written(
-        signed.where("n > 0").groupBy("digest").agg(F.min(own).alias("id"), F.min("sig").alias("sig"), F.min("sketch").alias("sketch")),
+        signed.where("n > 0").groupBy("digest").agg(F.min(own).alias("id"), F.min("sig").alias("sig"), F.min("sketch").alias("sketch"), F.min("n").alias("size")),
         "classes",
     )
     texts = signed.select("digest", F.col("_row")[text].alias("text"))
@@ -373,7 +378,7 @@ def grouped(
     links = link(compared, texts, k, percent)
     of = _components(links, ids)
     for most in (LEADERS, None):
-        more = written(rest(place, classes.select("digest", "sketch"), of, percent, most).join(compared, ["a", "b"], "left_anti"), "more")
+        more = written(rest(place, classes.select("digest", "sketch", "size"), of, percent, most).join(compared, ["a", "b"], "left_anti"), "more")
         if more.isEmpty():
             continue
         compared = compared.unionAll(more)
