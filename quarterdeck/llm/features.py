@@ -55,7 +55,8 @@ def labelled(
 ) -> DataFrame:
     """(doc_id, text, label, part): about ``rows`` labelled documents outside the held-out fold, all
     of them if there are fewer, chosen by a hash of the id. ``part`` is a hash in 0..999. Labels
-    other than 0 and 1 and null ids are left out; of several labels of one id the largest counts."""
+    other than 0 and 1 and null ids are left out; of several labels of one id the largest counts,
+    of several texts of one id the smallest, so an id is one row however many rows have it."""
     own = (
         labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull() & ~held_out(doc_id, folds, fold))
         .groupBy(F.col(doc_id).alias("doc_id"))
@@ -65,6 +66,7 @@ def labelled(
     drawn = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) < int(min(1.0, rows / max(n, 1)) * (1 << 30))
     few = F.broadcast(own.where(drawn))  # about ``rows`` short rows
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return texts.join(few, "doc_id").withColumn(
+    once = texts.join(few, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    return once.withColumn(
         "part", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(1000)).cast("int")
     )

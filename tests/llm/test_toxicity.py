@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarterdeck.llm import toxicity as tox
+from quarterdeck.llm.features import labelled
 from quarterdeck.llm.boosting import fit_boosted, fit_isotonic
 
 
@@ -67,3 +68,14 @@ def test_trees_and_isotonic_learn_an_interaction():
     assert ((raw > 0) == y[2000:]).mean() > 0.95
     xs, ys = fit_isotonic(raw, y[2000:])
     assert (np.diff(xs) >= 0).all() and (np.diff(ys) >= 0).all() and ys[0] < 0.1 and ys[-1] > 0.9
+
+
+def test_the_sample_is_bounded_by_rows(spark):
+    """A third of all rows with one labelled id."""
+    docs = spark.range(30_000).selectExpr("if(id % 3 = 0, 1, id) AS doc_id", "concat('text ', id) AS text", "id AS label")
+    labels = spark.range(30_000).selectExpr("id AS doc_id", "int(id % 2) AS toxic").unionAll(spark.range(9).selectExpr("1L", "1"))
+    got = labelled(docs, labels, "toxic", 4, 2, 500)
+    assert 300 < got.count() < 700
+    every = labelled(docs, labels, "toxic", 4, 2, 10**9)
+    assert every.where("doc_id = 1").select("text", "label").collect() == [("text 0", 1)]
+    assert every.count() == every.select("doc_id").distinct().count()
