@@ -12,10 +12,12 @@ from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarterdeck.operators import (
     Lookup,
     Rule,
+    append_runs,
     best_year,
     clean_facts,
     coverage_gaps,
@@ -24,6 +26,7 @@ from quarterdeck.operators import (
     label_facts,
     observed,
     observed_metrics,
+    out_of_bounds,
     range_stats,
     reference_years,
     rule_metrics,
@@ -63,6 +66,8 @@ LABELS = {
     "duration": ("duration_code", "duration_text"),
 }
 
+HISTORY_SCHEMA = "dataset string, rows long, check string, number long, run long"
+
 FACT_RULES = (Rule("non_null_series_id", "series_id IS NOT NULL", "drop"),)
 RECORD_RULES = (Rule("non_null_year", "year IS NOT NULL", "drop"),)
 COVERAGE_RULES = (Rule("no_year_gap", "year_gap IS NULL OR year_gap = 1", "warn"),)
@@ -89,11 +94,14 @@ class Flow:
         questions: Questions = Questions(),
         locations: str | None = None,
         document_schema: str | None = None,
+        history: str | None = None,
     ) -> None:
         """``locations`` is the folder to create the schemas in, the warehouse by default.
-        ``document_schema`` saves the pass that infers the fields of the documents."""
+        ``document_schema`` saves the pass that infers the fields of the documents. ``history`` is the
+        path of a ledger to which every run adds its rule outcomes, see `unusual`."""
         self.spark, self.settings, self.questions = spark, settings, questions
         self.document_schema = document_schema
+        self.history = history
         self.metrics: list[tuple] = []
         for schema in (settings.bronze, settings.silver, settings.gold):
             ensure_schema(spark, schema, f"{locations}/{schema}" if locations else None)
@@ -210,10 +218,23 @@ class Flow:
     def gold(self) -> None:
         self._together(self._stats, self._best_year, self._value_pop)
 
-    def run(self) -> DataFrame:
-        """Build all layers; returns the rule metrics of the run, also kept as a table."""
+    def run(self, number: int | None = None) -> DataFrame:
+        """Build all layers; returns the rule metrics of the run, also kept as a table. With a ``history`` they
+        are added to it under the run's ``number``; the same number again replaces its lines."""
+        self.metrics.clear()
         self.bronze()
         self.silver()
         self.gold()
         log = self.spark.createDataFrame(self.metrics, METRICS_SCHEMA)
+        if self.history and number is not None:
+            seen = F.lit(number).cast("long").alias("run")
+            rows = log.select("dataset", seen, "rows", F.lit("rows").alias("check"), F.col("rows").alias("number")).distinct()
+            broken = log.select("dataset", seen, "rows", F.col("rule").alias("check"), F.col("failed").alias("number"))
+            append_runs(rows.unionAll(broken), self.history)
         return self._write("silver", "rule_metrics", log, "Rule outcomes of the last run")
+
+    def unusual(self, slack: float = 0.1, least: int = 5) -> DataFrame:
+        """The outcomes of runs in the history that lie outside those of the runs before them by more than
+        the share ``slack``; a run with fewer than ``least`` runs before it is not judged."""
+        ledger = self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history)
+        return out_of_bounds(ledger, slack=slack, least=least).where("outside")

@@ -252,7 +252,6 @@ def test_flow_metrics(flow):
 def test_flow_rerun_converges(flow):
     spark, run, _ = flow
     before = spark.read.table("t_gold.best_year").collect()
-    run.metrics.clear()
     run.run()
     assert sorted(before) == sorted(spark.read.table("t_gold.best_year").collect())
 
@@ -435,3 +434,17 @@ def test_a_curve_is_narrow_in_every_key(spark, tmp_path):
         assert publish(df, f"curves.{name}", **options).exceptAll(df).isEmpty()
     assert clustered(df, ("s", "x"), curve=True).count() == 20_000
     assert clustered(df.limit(0), ("a", "x"), curve=True).count() == 0
+
+
+def test_flow_keeps_a_history_of_its_rules(spark, tmp_path):
+    settings = Settings(f"{tmp_path}/landing", "h_bronze", "h_silver", "h_gold")
+    land(tmp_path, FILES, [record(2013, 1)])
+    run = Flow(spark, settings, Questions(series_id="FLOW0000042"), str(tmp_path), history=str(tmp_path / "history"))
+    for number in (1, 2, 2):
+        run.run(number)
+    assert run.unusual(least=1).count() == 0
+    (tmp_path / "landing/population" / DOCUMENT_FILE).write_text(json.dumps({"data": [record(y, 1) for y in range(2000, 2009)] + [record(None, 1)]}))
+    run.run(3)
+    told = {(r.dataset, r.check): (r.run, r.number, r.upper) for r in run.unusual(least=2).collect()}
+    assert told["raw_population", "rows"] == (3, 10, 1.1) and told["raw_population", "non_null_year"] == (3, 1, 0.0)
+    assert set(told) == {("raw_population", "rows"), ("raw_population", "non_null_year"), ("population_coverage", "rows")}
