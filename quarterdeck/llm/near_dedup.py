@@ -32,8 +32,9 @@ TREES, DEPTH = 16, 8
 # Depth of a region's prefix; of the prefixes that crowded regions are dealt out by, where they hold more
 # classes than CROWD.
 REGION_DEPTH, DEEPER, CROWD = 3, (5, 8), 1 << 16
-# Places before a class in a tree's order whose classes are its candidates.
-NEIGHBOURS = 4
+# Places before a class in a tree's order whose classes are its candidates; as every class has one after
+# it too, this is a neighbour on either side, in each tree.
+NEIGHBOURS = 1
 # Classes of a block of a region, and likeliest classes of other components that each class of a block
 # is compared with before all that are left.
 REGION = 512
@@ -191,14 +192,14 @@ def placed(classes: DataFrame) -> DataFrame:
     )
     count = F.count(F.lit(1)).alias("n")
     shared = written(places.groupBy("region").agg(count).where("n > 1"), "regions")
-    rows = written(places.join(small_or_whole(shared), "region").withColumn("part", F.col("region")), "crowded")
+    rows = written(places.join(shared, "region").withColumn("part", F.col("region")), "crowded")
     for depth in DEEPER:
         full = rows.where(F.col("n") > CROWD)
         if full.isEmpty():
             break
         parts = full.drop("n").withColumn("part", F.xxhash64("region", F.substring("path", 1, 4 * depth)))
         sizes = written(parts.groupBy("part").agg(count), "parts")
-        rows = written(rows.where(F.col("n") <= CROWD).unionByName(parts.join(small_or_whole(sizes), "part")), "dealt")
+        rows = written(rows.where(F.col("n") <= CROWD).unionByName(parts.join(sizes, "part")), "dealt")
     short = classes.select("digest", "sig").join(rows.select("digest").distinct(), "digest", "left_semi")
     short = written(short.mapInArrow(_shortened, "digest binary, sig binary"), "short")
     return written(rows.drop("n").join(short, "digest"), "placed")
@@ -300,7 +301,7 @@ def rest(place: DataFrame, sketches: DataFrame, of: DataFrame, percent: int, mos
     own = F.when(is_main, F.col("others") + dealt("mains")).otherwise(dealt("others"))
     last = F.when(is_main, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
     rows = (
-        at.join(small_or_whole(still), top)
+        at.join(still, top)
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
         .select(
@@ -327,7 +328,7 @@ def link(pairs: DataFrame, signed: DataFrame, k: int, percent: int) -> DataFrame
     many = written(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")), "compared-with")
     part = F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / CHUNK))
     chunked = written(
-        pairs.join(small_or_whole(many), "a").select(F.xxhash64("a", part).alias("chunk"), "a", "b"), "chunks"
+        pairs.join(many, "a").select(F.xxhash64("a", part).alias("chunk"), "a", "b"), "chunks"
     )
     ones = chunked.select("chunk", "a").distinct().select("chunk", "a", F.lit(None).cast("binary").alias("b"), F.col("a").alias("digest"))
     rows = ones.unionAll(chunked.select("chunk", "a", "b", F.col("b").alias("digest"))).join(texts, "digest").drop("digest")
@@ -344,7 +345,7 @@ def _components(links: DataFrame, ids: DataFrame) -> DataFrame:
     )
     groups = written(components(edges), "components").withColumnRenamed("node", "id")
     return written(
-        ids.join(small_or_whole(groups), "id", "left").select("digest", F.coalesce("component", "id").alias("component")), "named"
+        ids.join(groups, "id", "left").select("digest", F.coalesce("component", "id").alias("component")), "named"
     )
 
 
