@@ -77,9 +77,14 @@ def _with(docs: DataFrame, plan: DataFrame, source: str) -> DataFrame:
     return docs.join(line, F.col(source).eqNullSafe(F.col("_plan.source")), "left")
 
 
-def _pareto_key(doc_id: Column, seed: str) -> Column:
-    named = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")))
-    drawn = F.conv(F.substring(F.md5(named.cast("binary")), 1, 12), 16, 10).cast("double")
+def _name(doc_id: str, text: str) -> Column:
+    """What a document draws by: its id and a hash of its text, so that rows which share an id part."""
+    own = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+    return F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"), own)
+
+
+def _pareto_key(name: Column, seed: str) -> Column:
+    drawn = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), name).cast("binary")), 1, 12), 16, 10).cast("double")
     u = (drawn + 0.5) / float(1 << 48)
     p = F.col("_plan.fraction")
     return (u / (1 - u)) / (p / (1 - p))
@@ -95,9 +100,9 @@ def plan_mix(
     cap: int = 3,
     seed: str = "mix",
 ) -> DataFrame:
-    """One row per source of ``sized`` (doc_id, source, size): ``source, source_size, target,
+    """One row per source of ``sized`` (name, source, size): ``source, source_size, target,
     whole`` copies, ``fraction``, and what tells who gets another copy: ``bins, last_bin,
-    last`` (key, doc_id, size)."""
+    last`` (key, name, size)."""
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     shares = (
@@ -112,9 +117,9 @@ def plan_mix(
     drawn = (
         _with(sized, shares, "source")
         .where(F.col("_plan.fraction") > 0)
-        .withColumn("key", _pareto_key(F.col("doc_id"), seed))
+        .withColumn("key", _pareto_key(F.col("name"), seed))
         .withColumn("bin", _bin(F.col("key"), bins))
-        .select("source", "bin", "key", "doc_id", "size", F.col("_plan.lacking").alias("lacking"))
+        .select("source", "bin", "key", "name", "size", F.col("_plan.lacking").alias("lacking"))
     )
     filled = drawn.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.max("lacking").alias("lacking"))
     upto = F.sum("words").over(W.partitionBy("source").orderBy("bin"))
@@ -132,7 +137,7 @@ def plan_mix(
         edge, F.col("source").eqNullSafe(F.col("_edge.source")) & (F.col("bin") == F.col("_edge.last_bin"))
     )
     # rows alike in all of these stand or fall together
-    order = ("key", "doc_id", "size")
+    order = ("key", "name", "size")
     alike = F.sum("size").over(W.partitionBy("source", *order))
     reached = F.sum("size").over(W.partitionBy("source").orderBy(*order)) + F.col("_edge.before")
     last = (
@@ -156,14 +161,13 @@ def plan_mix(
 
 
 def with_copies(
-    docs: DataFrame, plan: DataFrame, size: Column, doc_id: str = "doc_id", source: str = "source",
-    seed: str = "mix",
-) -> DataFrame:
+    docs: DataFrame, plan: DataFrame, size: Column, name: Column, source: str = "source", seed: str = "mix"
+) -> DataFrame:
     """``docs`` with a column ``_plan`` (the line of the source) and ``_copies``: how many times
-    the mix takes the document. ``doc_id``, ``source`` and ``size`` have to be those planned with."""
-    key = _pareto_key(F.col(doc_id), seed)
+    the mix takes the document. ``name``, ``source`` and ``size`` have to be those planned with."""
+    key = _pareto_key(name, seed)
     where = F.floor(key / (1 + key) * F.col("_plan.bins")).cast("long")
-    own = F.struct(key.alias("key"), F.col(doc_id).alias("doc_id"), size.alias("size"))
+    own = F.struct(key.alias("key"), name.alias("name"), size.alias("size"))
     extra = F.when(F.col("_plan.fraction") <= 0, False).when(F.col("_plan.last_bin").isNull(), True).otherwise(
         (where < F.col("_plan.last_bin"))
         | ((where == F.col("_plan.last_bin")) & F.coalesce(own <= F.col("_plan.last"), F.lit(False)))
@@ -174,11 +178,12 @@ def with_copies(
 
 
 def _sized(docs: DataFrame, doc_id: str, source: str, text: str) -> DataFrame:
-    """(doc_id, source, size), written once: sizes are counted over the whole texts."""
+    """(doc_id, source, name, size), written once: sizes are counted over the whole texts."""
     return written(
         docs.select(
             F.col(doc_id).alias("doc_id"),
             F.col(source).alias("source"),
+            _name(doc_id, text).alias("name"),
             word_count(F.col(text)).alias("size"),
         ),
         "sized",
@@ -193,11 +198,11 @@ def mix_report(
 
     ``size`` is the number of words of the text (null: 0), ``taken`` the words taken with repeats.
     Documents without words are never counted as taken words. Null is a source of its own, the
-    last; null ids draw as one id; rows alike in id and size are taken or left together; no rows
+    last; rows alike in id and text are taken or left together; null ids are an id like others; no rows
     give no rows; other columns are ignored.
     """
     sized = _sized(docs, doc_id, source, text)
-    chosen = with_copies(sized, plan_mix(sized, weights, cap, seed), F.col("size"), seed=seed)
+    chosen = with_copies(sized, plan_mix(sized, weights, cap, seed), F.col("size"), F.col("name"), seed=seed)
     return chosen.select(
         "doc_id",
         "size",
@@ -218,9 +223,10 @@ def mix(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
         F.col(doc_id).alias("doc_id"),
         F.col(source).alias("source"),
+        _name(doc_id, text).alias("name"),
         word_count(F.col(text)).alias("size"),
     )
-    chosen = with_copies(packed, plan, F.col("size"), seed=seed).where(F.col("_copies") > 0)
+    chosen = with_copies(packed, plan, F.col("size"), F.col("name"), seed=seed).where(F.col("_copies") > 0)
     copies = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
     return chosen.select("_row", copies.alias("_copy")).select("_row.*")
 
@@ -228,7 +234,8 @@ def mix(
 # The same in SQL, from the definition: a prefix of each source in the order of the keys.
 ORACLE = """
 WITH sized AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size
+  SELECT doc_id, source, coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) AS name,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size
   FROM documents),
 sizes AS (
   SELECT source, sum(size)::BIGINT AS source_size,
@@ -250,14 +257,14 @@ shares AS (
 parts AS (
   SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS ratio FROM shares),
 drawn AS (
-  SELECT d.doc_id, d.size, p.*, floor(ratio)::BIGINT AS whole, ratio - floor(ratio) AS fraction,
-         (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0::DOUBLE AS u
+  SELECT d.doc_id, d.name, d.size, p.*, floor(ratio)::BIGINT AS whole, ratio - floor(ratio) AS fraction,
+         (('0x' || substr(md5('mix:' || name), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0::DOUBLE AS u
   FROM sized d JOIN parts p ON d.source IS NOT DISTINCT FROM p.source),
 keyed AS (
   SELECT *, CASE WHEN fraction > 0 THEN (u / (1 - u)) / (fraction / (1 - fraction)) END AS key FROM drawn),
 reached AS (
-  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size) AS upto,
-         sum(size) OVER (PARTITION BY source, key, doc_id, size) AS alike
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key, name, size) AS upto,
+         sum(size) OVER (PARTITION BY source, key, name, size) AS alike
   FROM keyed)
 SELECT doc_id, size::BIGINT AS size, source_size, target,
        whole + CASE WHEN fraction > 0 AND 2 * upto - alike <= 2 * (target - whole * source_size) THEN 1 ELSE 0 END AS copies,

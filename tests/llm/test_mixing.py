@@ -83,6 +83,19 @@ def test_hot_source_and_same_plan_over_any_partitions(spark):
     assert max(map(abs, by.values())) <= 20
 
 
+@pytest.mark.parametrize("share", [3, 2])
+def test_rows_that_share_an_id_are_taken_one_by_one(spark, share):
+    """A third, or half, of the rows under one id, or under none."""
+    for one in (7, None):
+        rows = [(one if i % share == 0 else i, "abc"[i % 2], f"t{i} " + "w " * (i % 30)) for i in range(3000)]
+        taken, target = defaultdict(int), {}
+        for r in mixing.mix_report(spark.createDataFrame(rows, SCHEMA)).collect():
+            taken[r.source_size] += r.taken
+            target[r.source_size] = r.target
+        assert all(abs(taken[s] - target[s]) <= 31 / 2 + 1 for s in target)
+    against_oracle(rows[:500], spark)
+
+
 def test_no_python_in_the_plan(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = mixing.mix_report(docs)._jdf.queryExecution().executedPlan().toString()
