@@ -44,9 +44,12 @@ class BestYears:
         self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
         self.series, self.title, self.year, self.names = columns_of(series), columns_of(title), year, names
 
-    def _append(self, df: DataFrame, what: str, batch: int) -> None:
+    def _append(self, df: DataFrame, what: str, batch: int) -> DataFrame:
+        """Write a batch's rows and return them as they are stored."""
         # a bucket is one file: it holds totals and answers, of which a series has few however many facts it has
-        df.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{what}/batch={batch}")
+        folder = f"{self.path}/{what}/batch={batch}"
+        df.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
 
     def refresh(self, facts: DataFrame, batch: int, weight: str | None = None) -> DataFrame:
         """Apply a batch and return the new answers of its series, the only ones that are read or written.
@@ -54,9 +57,8 @@ class BestYears:
         own = partial_totals(
             facts, series=self.series, title=self.title, year=self.year, weight=weight, **self.names
         ).withColumn("bucket", _bucket(self.series, self.buckets))
-        own = written(own, "batch-totals")
         schema = T.StructType([*own.schema.fields, T.StructField("batch", T.LongType())])
-        self._append(own, "totals", batch)
+        own = self._append(own, "totals", batch)
         touched = own.select("bucket", *map(quoted, self.series)).distinct()
         numbers = [r.bucket for r in touched.select("bucket").distinct().collect()]  # at most self.buckets
         before = (
@@ -74,7 +76,7 @@ class BestYears:
             *(F.col(f"s.{quoted(c)}").alias(c) for c in ("bucket", *self.series)), *(F.col(f"b.{quoted(c)}").alias(c) for c in rest),
             F.coalesce("b.known", F.lit(False)).alias("known"),
         )
-        answers = written(answers, "batch-answers")
+        answers = written(answers, "batch-answers")  # stays as it is when the batch is applied again
         self._append(answers, "answers", batch)
         return answers.drop("bucket")
 
