@@ -309,3 +309,73 @@ def repair_report(conversations: DataFrame) -> DataFrame:
     neighbours, the cheapest repair's cost and letters, and the repaired text's hash. Conversations
     without a row left have zeros, no letters and the hash of nothing. Rows as in `repair`."""
     return _repaired(damaged(conversations), REPORT, False)
+
+
+# The same in SQL, from the definition: the cheapest way to every state of the role grammar, row by row.
+ORACLE = """
+WITH RECURSIVE named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k
+  FROM conversations),
+kinds AS (
+  SELECT *, xor(4294967295, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(range(1, strlen(k) + 1), lambda i: ascii(k[i])::BIGINT)),
+           lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, j: xor(x >> 1, 3988292384 * (x & 1))))) % 20 AS kind
+  FROM named),
+after AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM kinds WHERE kind <> 0),
+faulty AS (
+  SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i
+  FROM after),
+rows AS (
+  SELECT conv_id, turn, i, role, text, left(role, 1) AS initial,
+         CASE WHEN bare = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+              WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM faulty),
+-- states: 0 nothing read, 1 system, 2 a user waits for an answer, 3 answered
+shifts(p, symbol, q) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+inserts(p, q, letters, lines) AS (
+  VALUES (0, 0, '', []::VARCHAR[]), (1, 1, '', []), (2, 2, '', []), (3, 3, '', []),
+         (0, 2, 'I', ['user:']), (1, 2, 'I', ['user:']), (3, 2, 'I', ['user:']), (2, 3, 'I', ['assistant:']),
+         (0, 3, 'II', ['user:', 'assistant:']), (1, 3, 'II', ['user:', 'assistant:']),
+         (3, 3, 'II', ['user:', 'assistant:']), (2, 2, 'II', ['assistant:', 'user:'])),
+edits AS (
+  SELECT conv_id, i, 'D' AS letter, NULL AS symbol, 2 AS cost, []::VARCHAR[] AS line FROM rows
+  UNION ALL
+  SELECT conv_id, i, 'K', initial, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END, [role || ':' || text]
+  FROM rows WHERE fault NOT IN ('blank', 'duplicate')
+  UNION ALL
+  SELECT conv_id, i, 'R', r.symbol, CASE WHEN fault = 'truncated' THEN 6 ELSE 1 END, [r.name || ':' || text]
+  FROM rows, (VALUES ('u', 'user'), ('a', 'assistant')) r(symbol, name) WHERE fault NOT IN ('blank', 'duplicate')),
+steps AS (
+  SELECT e.conv_id, e.i, n.p, CASE WHEN letter = 'D' THEN n.q ELSE s.q END AS q,
+         n.letters || letter AS letters, 5 * len(n.letters) + cost AS cost, n.lines || line AS lines
+  FROM edits e, inserts n LEFT JOIN shifts s ON s.p = n.q AND s.symbol = e.symbol
+  WHERE letter = 'D' OR s.q IS NOT NULL),
+parse AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS state, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS lines FROM conversations
+  UNION ALL
+  SELECT t.conv_id, s.i, s.q, t.cost + s.cost, t.audit || s.letters, t.lines || s.lines
+  FROM parse t JOIN steps s ON s.conv_id IS NOT DISTINCT FROM t.conv_id AND s.i = t.i + 1 AND s.p = t.state
+  QUALIFY row_number() OVER (PARTITION BY t.conv_id, s.q ORDER BY t.cost + s.cost, t.audit || s.letters) = 1),
+ended AS (
+  SELECT t.conv_id, t.i, t.cost + 5 * len(n.letters) AS cost, t.audit || n.letters AS audit, t.lines || n.lines AS lines
+  FROM parse t JOIN inserts n ON n.p = t.state WHERE n.q IN (0, 3)
+  QUALIFY row_number() OVER (PARTITION BY t.conv_id ORDER BY t.i DESC, t.cost + 5 * len(n.letters), t.audit || n.letters) = 1),
+counted AS (
+  SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM rows)
+  GROUP BY conv_id)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost::BIGINT AS cost, audit,
+       sha256(array_to_string(lines, chr(10))) AS repaired_sha256
+FROM ended e LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+"""

@@ -102,4 +102,5 @@ ORACLES: dict[str, str] = {
     "op2_mix_sources": mixing.ORACLE,
     "op3_line_dedup": line_dedup.ORACLE,
     "op12_suffix_dedup": passages.ORACLE,
+    "op13_conversation_repair": conversations.ORACLE,
 }

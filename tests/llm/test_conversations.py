@@ -8,9 +8,11 @@ import random
 import re
 import zlib
 
+import duckdb
 import pytest
 
-from quarterdeck.llm.conversations import HELD, damaged, repair, repair_report
+from oracle import connect, oracle_rows, spark_rows
+from quarterdeck.llm.conversations import HELD, ORACLE, damaged, repair, repair_report
 
 SCHEMA = "conv_id long, turn long, role string, text string"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -146,6 +148,20 @@ def test_long_conversation_is_given_out_while_it_is_read(spark, middle):
     assert [r["turn"] for r in got if r["edit"] != "I"] == list(range(n))
 
 
+def test_whole_table_against_sql(spark):
+    sf = "/root/testdata/sf0.01"
+    columns, want = oracle_rows(connect(sf), ORACLE)
+    got = repair_report(spark.read.parquet(f"{sf}/conversations.parquet"))
+    assert sorted(columns) == sorted(got.columns) and spark_rows(got) == want
+
+
+def test_odd_rows_against_sql(spark, rows):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    assert spark_rows(repair_report(spark.createDataFrame(rows, SCHEMA))) == oracle_rows(con, ORACLE)[1]
+
+
 def test_report_of_a_whole_table_agrees_with_its_rows(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
     after = damaged(df).selectExpr("conv_id", "turn", "role", "text", "explode(sequence(1, copies)) AS n").where("copies > 0")
