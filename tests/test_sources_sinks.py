@@ -188,11 +188,11 @@ FILES = {
     ],
     "series": [
         "series_id        \tsector_code\tclass_code\tmeasure_code\tduration_code\tseasonal",
-        "FLOW0000042      \t3000\t6\t03 \t2\tS",
+        "FLOW0000042      \t4711\t6\t03 \t2\tS",
     ],
-    "sector": ["sector_code\tsector_name", "3000 \tManufacturing"],
-    "class": ["class_code\tclass_text", "6\tEmployees"],
-    "measure": ["measure_code\tmeasure_text", "03\tHours"],
+    "sector": ["sector_code\tsector_name", "4711 \tFoundries"],
+    "class": ["class_code\tclass_text", "6\tCrews"],
+    "measure": ["measure_code\tmeasure_text", "03\tShifts"],
     "duration": ["duration_code\tduration_text", "9\tIndex"],
 }
 
@@ -226,7 +226,7 @@ def test_flow_labels(flow):
     silver = spark.read.table("t_silver.facts")
     assert silver.count() == 6
     titles = {r.series_id: r.series_title for r in silver.collect()}
-    assert titles == {"FLOW0000042": "Manufacturing, Employees, Hours", "FLOW0000007": ""}
+    assert titles == {"FLOW0000042": "Foundries, Crews, Shifts", "FLOW0000007": ""}
 
 
 def test_flow_answers(flow):
