@@ -39,12 +39,12 @@ def components(edges: DataFrame) -> DataFrame:
         both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = written(both.groupBy("a").agg(F.least(F.first("a"), F.min("b")).alias("m")), "large-star")
         large = written(
-            both.where("b > a").join(small_or_whole(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(),
+            both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(),
             "large",
         )
         below = written(large.groupBy("a").agg(F.min("b").alias("m")), "small-star")
         links = written(
-            large.join(small_or_whole(below), "a")
+            large.join(below, "a")
             .where("b <> m")
             .select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionAll(below.select("a", F.col("m").alias("b")))

@@ -38,7 +38,7 @@ NEIGHBOURS = 1
 # Classes of a block of a region, and likeliest classes of other components that each class of a block
 # is compared with before all that are left.
 REGION = 512
-LEADERS = 4
+LEADERS = 1
 # Bins of the sketch by which blocks are compared.
 BINS = 512
 # Digests (16 bytes each) up to which the texts to compare are picked out by a broadcast; beyond, by
