@@ -63,21 +63,33 @@ def merged_totals(totals: DataFrame) -> DataFrame:
     return totals.groupBy(*map(quoted, keys)).agg(*(F.sum(c).cast(kinds[c]).alias(c) for c in PARTS))
 
 
-def best_of_totals(totals: DataFrame, series: str | Sequence[str] = "series_id", year: str = "year") -> DataFrame:
+def best_of_totals(
+    totals: DataFrame, series: str | Sequence[str] = "series_id", year: str = "year", gone: bool = False
+) -> DataFrame:
     """`best_year` out of merged totals: years without facts left are none, the rule on periods and the
-    ties are the same."""
+    ties are the same. With ``gone``, a series without facts left has one row, of nulls beside its key, and a
+    column ``known`` tells it from the others."""
     keys = columns_of(series)
-    rest = [c for c in totals.columns if c not in (*keys, *PARTS, year)]
+    rest = [c for c in totals.columns if c not in (*keys, *PARTS)]
     has_quarter = F.col("quarters") > 0
+    known = has_quarter | (F.col("annuals") > 0)
     total = F.when(
         has_quarter, F.when(F.col("quarter_values") > 0, F.coalesce("quarter_sum", F.lit(0)))
     ).otherwise(F.when(F.col("annual_values") > 0, F.coalesce("annual_sum", F.lit(0))))
-    ranking = Window.partitionBy(*map(quoted, keys)).orderBy(F.desc("has_quarter"), F.desc_nulls_last("yearly_sum"))
-    return (
-        totals.where(has_quarter | (F.col("annuals") > 0))
-        .withColumn("has_quarter", has_quarter)
+    best = [F.desc("has_quarter"), F.desc_nulls_last("yearly_sum")]
+    if gone:  # last, and of those a single one
+        best = [F.desc("known"), *best, F.when(~F.col("known"), F.struct(*map(quoted, rest)))]
+    ranking = Window.partitionBy(*map(quoted, keys)).orderBy(*best)
+    first = (
+        (totals if gone else totals.where(known))
+        .withColumns({"has_quarter": has_quarter, "known": known})
         .withColumn("yearly_sum", F.round(total, 2))
         .withColumn("place", F.rank().over(ranking))
         .where(F.col("place") == 1)
-        .select(*map(quoted, [*keys, *rest, year]), "yearly_sum")
+    )
+    rest = [*(c for c in rest if c != year), year]
+    if not gone:
+        return first.select(*map(quoted, [*keys, *rest]), "yearly_sum")
+    return first.select(
+        *map(quoted, keys), *(F.when(F.col("known"), F.col(quoted(c))).alias(c) for c in [*rest, "yearly_sum"]), "known"
     )

@@ -9,16 +9,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarterdeck.functions import columns_of, quoted
 from quarterdeck.operators.clean import dedupe_by_key
 from quarterdeck.operators.incremental import best_of_totals, merged_totals, partial_totals
-from quarterdeck.workspace import written
+from quarterdeck.workspace import parts_for, written
 
 BUCKETS = 64
+# Totals of a batch up to which its series are picked out of the earlier totals by a broadcast.
+FEW_ROWS = 100_000
 
 
 def _bucket(keys: Sequence[str], buckets: int):
@@ -46,9 +48,9 @@ class BestYears:
 
     def _append(self, df: DataFrame, what: str, batch: int) -> DataFrame:
         """Write a batch's rows and return them as they are stored."""
-        # a bucket is one file: it holds totals and answers, of which a series has few however many facts it has
+        # a bucket is one file, or where it is large several of the advisory size of a partition
         folder = f"{self.path}/{what}/batch={batch}"
-        df.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(folder)
+        df.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(folder)
         return self.spark.read.schema(df.schema).parquet(folder)
 
     def refresh(self, facts: DataFrame, batch: int, weight: str | None = None) -> DataFrame:
@@ -59,23 +61,28 @@ class BestYears:
         ).withColumn("bucket", _bucket(self.series, self.buckets))
         schema = T.StructType([*own.schema.fields, T.StructField("batch", T.LongType())])
         own = self._append(own, "totals", batch)
-        touched = own.select("bucket", *map(quoted, self.series)).distinct()
-        numbers = [r.bucket for r in touched.select("bucket").distinct().collect()]  # at most self.buckets
+        numbers = [r.bucket for r in own.select("bucket").distinct().collect()]  # at most self.buckets
         before = (
             _stored(self.spark, f"{self.path}/totals", schema)
             .where(F.col("bucket").isin(numbers) & (F.col("batch") < batch))
             .drop("batch")
         )
-        same = [F.col(f"t.{quoted(c)}").eqNullSafe(F.col(f"s.{quoted(c)}")) for c in ("bucket", *self.series)]
-        before = before.alias("t").join(touched.alias("s"), same, "left_semi")
-        totals = merged_totals(before.unionByName(own))
-        best = best_of_totals(totals, [*self.series, "bucket"], self.year).withColumn("known", F.lit(True))
-        same = [F.col(f"s.{quoted(c)}").eqNullSafe(F.col(f"b.{quoted(c)}")) for c in ("bucket", *self.series)]
-        rest = [*self.title, self.year, "yearly_sum"]
-        answers = touched.alias("s").join(best.alias("b"), same, "left").select(
-            *(F.col(f"s.{quoted(c)}").alias(c) for c in ("bucket", *self.series)), *(F.col(f"b.{quoted(c)}").alias(c) for c in rest),
-            F.coalesce("b.known", F.lit(False)).alias("known"),
-        )
+        keys = [*self.series, "bucket"]
+        many, earlier = own.count(), before.count()  # out of the files' footers
+        if earlier and many <= FEW_ROWS:
+            touched = own.select(*map(quoted, keys)).distinct()
+            same = [F.col(f"t.{quoted(c)}").eqNullSafe(F.col(f"s.{quoted(c)}")) for c in keys]
+            before = before.alias("t").join(F.broadcast(touched).alias("s"), same, "left_semi")
+        # dealt out by series once, so that what follows, which all goes by series, needs no other exchange
+        rows = before.withColumn("own", F.lit(False)).unionByName(own.withColumn("own", F.lit(True)))
+        rows = rows.repartition(parts_for(many if many <= FEW_ROWS else many + earlier), *map(quoted, keys))
+        if earlier and many > FEW_ROWS:
+            rows = rows.withColumn("own", F.max("own").over(Window.partitionBy(*map(quoted, keys)))).where("own")
+        totals = merged_totals(rows.drop("own")) if earlier else rows.drop("own")  # one batch's are merged
+        # without a weight no fact is taken back
+        answers = best_of_totals(totals, keys, self.year, gone=weight is not None)
+        known = F.col("known") if weight else F.lit(True).alias("known")
+        answers = answers.select(*map(quoted, ["bucket", *self.series, *self.title, self.year, "yearly_sum"]), known)
         answers = written(answers, "batch-answers")  # stays as it is when the batch is applied again
         self._append(answers, "answers", batch)
         return answers.drop("bucket")
@@ -83,13 +90,16 @@ class BestYears:
     def current(self) -> DataFrame:
         """The newest answer of every series, after a first refresh."""
         answers = self.spark.read.parquet(f"{self.path}/answers")
-        keys = ["bucket", *self.series]
+        keys = [*self.series, "bucket"]
         rest = [*self.title, self.year, "yearly_sum"]
-        row = F.struct(*map(quoted, rest), "known")
-        # newest batch first; ties of a series are rows of one batch, at most one a title and year
-        newest = answers.groupBy(*map(quoted, [*keys, "batch"])).agg(F.collect_list(row).alias("rows"))
-        newest = newest.groupBy(*map(quoted, keys)).agg(F.max_by("rows", "batch").alias("rows"))
-        return newest.select(*map(quoted, self.series), F.inline("rows")).where("known").drop("known")
+        # of a series all rows of its newest batch, which are its ties
+        newest = Window.partitionBy(*map(quoted, keys)).orderBy(F.desc("batch"))
+        return (
+            answers.repartition(parts_for(answers.count()), *map(quoted, keys))
+            .withColumn("place", F.rank().over(newest))
+            .where("place = 1 AND known")
+            .select(*map(quoted, [*self.series, *rest]))
+        )
 
 
 class NewestRows:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from datetime import date, timedelta
+from decimal import Decimal
 
 import pytest
 from hypothesis import given, settings
@@ -11,6 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarterdeck import refresh
 from quarterdeck.operators import (
     append_runs,
     best_of_totals,
@@ -82,6 +84,19 @@ def test_a_batch_reads_only_its_buckets(spark, tmp_path):
     assert len(list((tmp_path / "kept" / "totals" / "batch=1").glob("bucket=*"))) == 8
 
 
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_a_batch_of_any_size_gives_the_series_it_touches(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(refresh, "FEW_ROWS", few)
+    kept = BestYears(spark, str(tmp_path / "kept"), buckets=2)
+    first = [("a", "t", 2000, "Q01", Decimal(1)), ("a", "u", 2000, "Q01", Decimal(1)), (None, "t", 2001, "Q05", Decimal(2)), ("c", "t", 2002, "Q02", Decimal(3))]
+    kept.refresh(spark.createDataFrame(first, FACTS), 1)
+    back = [(*first[0], -1), (*first[1], -1), (None, "t", 2003, "Q01", Decimal(1), 1)]
+    touched = kept.refresh(spark.createDataFrame(back, FACTS + ", weight int"), 2, "weight")
+    assert rows(touched) == sorted([("a", None, None, None, False), (None, "t", 2003, Decimal("1.00"), True)], key=repr)
+    assert rows(kept.current()) == rows(best_year(spark.createDataFrame([first[2], first[3], back[2][:5]], FACTS)))
+    assert kept.current()._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+
+
 def test_totals_merge_in_any_order(spark):
     rng = random.Random(9)
     parts = [spark.createDataFrame(facts(rng, 30), FACTS) for _ in range(3)]
