@@ -1,7 +1,8 @@
 """Near duplicates by an LSH forest of MinHash signatures, confirmed on whole shingle sets.
 
 1. Every text becomes its shingle set's digest, ``TREES * DEPTH`` MinHash values and a finer sketch.
-   Texts with the same set are one class from here on.
+   Texts with the same set are one class from here on. Most classes share no region (below) with
+   another; that is told from the regions' numbers alone, and neither values nor sketches of theirs travel.
 2. Each tree sorts the classes by its own ``DEPTH`` values. A class's first candidates are its neighbours
    in that order, which have the longest prefixes in common with it. Classes that share no prefix of
    three values with another are in no region of the tree and drop out of it; a crowded region is
@@ -10,7 +11,8 @@
    shingle sets, and the links that hold make connected components.
 4. Neighbours join a group whose members are alike; a group of near copies need not be, such as copies
    that are near one original only. So in every region that still holds several components, the
-   classes of different ones are compared by sketch, block against block: first the likeliest of each
+   classes of different ones are compared by sketch, block against block, once for all regions that
+   hold the same classes: first the likeliest of each
    class are confirmed, then, between the components that are left, all that may be linked.
 """
 
@@ -41,8 +43,8 @@ REGION = 512
 LEADERS = 1
 # Bins of the sketch by which blocks are compared.
 BINS = 512
-# Digests (16 bytes each) up to which the texts to compare are picked out by a broadcast; beyond, by
-# a shuffle of all texts.
+# Digests (16 bytes each) up to which the texts to compare, and keys (8 bytes each) up to which the classes
+# that share regions, are picked out by a broadcast; beyond, by a shuffle of all.
 WANTED_ROWS = 1_000_000
 # Standard errors of the signature's estimate that a candidate may be below the threshold.
 SLACK = 4.5
@@ -94,22 +96,40 @@ def sketch(hashes: np.ndarray) -> bytes:
     return np.where(first < stop, least % np.uint64(255) + np.uint64(1), 0).astype(np.uint8).tobytes()
 
 
+def regions(sig: np.ndarray) -> np.ndarray:
+    """The region of every tree (columns) for signatures by tree and depth (rows)."""
+    key = np.broadcast_to(mix(np.arange(1, TREES + 1, dtype=np.uint64)), (len(sig), TREES))
+    for d in range(REGION_DEPTH):
+        key = mix(key ^ (sig[:, :, d].astype(np.uint64) + np.uint64(d << 40)))
+    return key.view(np.int64)
+
+
+def _with_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with their signatures' regions instead of the signatures."""
+    for batch in batches:
+        sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(-1, TREES, DEPTH)
+        yield pa.RecordBatch.from_pydict(
+            {
+                "digest": batch.column("digest"),
+                "id": batch.column("id"),
+                "regions": pa.array(list(regions(sig)), pa.list_(pa.int64())),
+            }
+        )
+
+
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each tree of each class: its region there, its path through the tree as bytes that sort
     like the values, and a byte of each of its values, enough to estimate a likeness."""
     for batch in batches:
         n = batch.num_rows
         sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(n, TREES, DEPTH)
-        key = np.broadcast_to(mix(np.arange(1, TREES + 1, dtype=np.uint64)), (n, TREES))
-        for d in range(REGION_DEPTH):
-            key = mix(key ^ (sig[:, :, d].astype(np.uint64) + np.uint64(d << 40)))
         path = np.frombuffer(sig.astype(">u4").tobytes(), f"S{4 * DEPTH}")
         whole = path.tobytes()
         of = pa.array(np.repeat(np.arange(n), TREES))
         yield pa.RecordBatch.from_pydict(
             {
                 "digest": batch.column("digest").take(of),
-                "region": pa.array(key.ravel().view(np.int64)),
+                "region": pa.array(regions(sig).ravel()),
                 "path": pa.array([whole[i : i + 4 * DEPTH] for i in range(0, len(whole), 4 * DEPTH)], pa.binary()),
             }
         )
@@ -183,6 +203,14 @@ def _confirmed(k: int, percent: int):
     return confirmed
 
 
+def sharing(classes: DataFrame) -> DataFrame:
+    """(key) of the ``classes`` (digest, regions) that share a region with another class, as ``xxhash64`` of
+    their digests, which is half as long. Should two digests have one key, they stay or go together."""
+    each = classes.select(F.explode("regions").alias("region"), F.xxhash64("digest").alias("key"))
+    shared = written(each.groupBy("region").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("region"), "shared")
+    return written(each.join(shared, "region", "left_semi").select("key").distinct(), "sharing")
+
+
 def placed(classes: DataFrame) -> DataFrame:
     """(digest, region, path, part, sig): a row for each tree of each class that shares a region there.
     ``part`` is the region, or where that is crowded its part by the shallowest deeper prefix that
@@ -283,17 +311,26 @@ def rest(place: DataFrame, sketches: DataFrame, of: DataFrame, percent: int, mos
     by ``sketches`` (digest, sketch, size), or all that may reach the threshold.
 
     A region's largest component and its other classes are dealt into blocks of ``REGION`` rows
-    on average; every block of other classes meets every block, and no class its own component.
+    on average; every block of other classes meets every block, and no class its own component. Near copies
+    share many regions: of those with the same classes, one is compared.
     """
     top = "region"
     at = written(place.select("digest", top).join(of, "digest"), "members")
-    by_component = at.groupBy(top, "component").agg(F.count(F.lit(1)).alias("n"))
-    regions = by_component.groupBy(top).agg(
-        F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n")
+    # 128 bits that tell sets of classes apart
+    marks = {"x": F.xxhash64("digest"), "y": F.xxhash64(F.lit(1), "digest")}
+    by_component = at.groupBy(top, "component").agg(
+        F.count(F.lit(1)).alias("n"), *(F.bit_xor(mark).alias(c) for c, mark in marks.items())
     )
+    held = by_component.groupBy(top).agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"),
+        F.max("n").alias("n_main"),
+        F.sum("n").alias("n"),
+        *(F.bit_xor(c).alias(c) for c in marks),
+    )
+    same = ["main", "n_main", "n", *marks]
     parts = lambda n: F.ceil(n / REGION).cast("long")
     still = written(
-        regions.where("n > n_main").select(top, "main", parts(F.col("n") - F.col("n_main")).alias("others"), parts(F.col("n_main")).alias("mains")),
+        held.where("n > n_main").groupBy(*same).agg(F.min(top).alias(top)).select(top, "main", parts(F.col("n") - F.col("n_main")).alias("others"), parts(F.col("n_main")).alias("mains")),
         "open",
     )
     is_main = F.col("component") == F.col("main")
@@ -320,10 +357,8 @@ def rest(place: DataFrame, sketches: DataFrame, of: DataFrame, percent: int, mos
 def link(pairs: DataFrame, signed: DataFrame, k: int, percent: int) -> DataFrame:
     """The ``pairs`` (a, b) of digests whose full sets, from ``signed`` (digest, text), are linked."""
     wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct(), "wanted")
-    texts = written(
-        signed.join(small_or_whole(wanted, WANTED_ROWS), "digest").groupBy("digest").agg(F.min("text").alias("text")),
-        "texts",
-    )
+    # not written: they come dealt out by digest, as the join below wants them
+    texts = signed.join(small_or_whole(wanted, WANTED_ROWS), "digest").groupBy("digest").agg(F.min("text").alias("text"))
     # a text that is in many pairs goes to each chunk of them once, not with every pair
     many = written(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")), "compared-with")
     part = F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / CHUNK))
@@ -369,17 +404,30 @@ def grouped(
     )
     own = F.coalesce(F.col("_row")[doc_id].cast("long"), F.lit(NO_ID))
     classes = written(
-        signed.where("n > 0").groupBy("digest").agg(F.min(own).alias("id"), F.min("sig").alias("sig"), F.min("sketch").alias("sketch"), F.min("n").alias("size")),
+        signed.where("n > 0")
+        .select("digest", own.alias("id"), "sig")
+        .mapInArrow(_with_regions, "digest binary, id long, regions array<bigint>")
+        .groupBy("digest")
+        .agg(F.min("id").alias("id"), F.min("regions").alias("regions")),
         "classes",
     )
+    near = written(
+        signed.where("n > 0")
+        .select(F.xxhash64("digest").alias("key"), "digest", "sig", "sketch", "n")
+        .join(small_or_whole(sharing(classes), WANTED_ROWS), "key", "left_semi")
+        .groupBy("key", "digest")
+        .agg(F.min("sig").alias("sig"), F.min("sketch").alias("sketch"), F.min("n").alias("size"))
+        .drop("key"),
+        "near",
+    )
     texts = signed.select("digest", F.col("_row")[text].alias("text"))
     ids = classes.select("digest", "id")
-    place = placed(classes)
+    place = placed(near)
     compared = candidates(place, percent)
     links = link(compared, texts, k, percent)
     of = _components(links, ids)
     for most in (LEADERS, None):
-        more = written(rest(place, classes.select("digest", "sketch", "size"), of, percent, most).join(compared, ["a", "b"], "left_anti"), "more")
+        more = written(rest(place, near.select("digest", "sketch", "size"), of, percent, most).join(compared, ["a", "b"], "left_anti"), "more")
         if more.isEmpty():
             continue
         compared = compared.unionAll(more)

@@ -192,6 +192,26 @@ def test_crowded_regions_are_dealt_out_by_deeper_prefixes(spark, monkeypatch):
     assert report(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
+def test_only_classes_that_share_a_region_are_placed_and_each_set_of_them_is_compared_once(spark, monkeypatch):
+    """Two texts alike but not linked share several regions, five hundred others none."""
+    seen = {}
+
+    def written(df, name):
+        out = nd_written(df, name)
+        seen.setdefault(name, out.count())
+        return out
+
+    nd_written = nd.written
+    monkeypatch.setattr(nd, "written", written)
+    rng = random.Random(13)
+    texts = [t for _ in range(500) for t in copies(rng, 0)] + copies(rng, 2, changes=3)[1:]
+    assert 0.65 < alike(*texts[-2:]) < 0.83
+    rows = list(enumerate(texts))
+    assert report(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    assert seen["places"] == 2 * nd.TREES
+    assert seen["members"] >= 4 and seen["open"] == 1
+
+
 def test_sketches_estimate_likeness():
     rng = np.random.default_rng(4)
     for size in (20, 400, 20_000):
