@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarterdeck.functions import columns_of, quoted, trim_text, typed
+from quarterdeck.operators.enrich import frequent_codes
 
 
 def _orderable(kind: T.DataType) -> bool:
@@ -71,15 +72,25 @@ def clean_facts(
     year: str = "year",
     period: str = "period",
     value: str = "value",
+    parts: int | None = None,
 ) -> DataFrame:
     """The raw fact as (series, year, period) -> value, other columns passed through. Of
-    several values for one key the largest is kept."""
+    several values for one key the largest is kept. With ``parts`` the facts come dealt out by series into so
+    many, where the session's shuffle partitions would make a task's share grow with the input. Facts of
+    a series with much of the rows are made unique before they are dealt out, see `frequent_codes`."""
     clean = typed_clean(
         raw,
         trim=(series, year, period, value),
         types={year: "int", value: "double"},
         round_to={value: 2},
     )
+    if parts:
+        keys = (series, year, period)
+        hot = frequent_codes(clean, series) if parts > 1 else []
+        if hot:
+            often = F.coalesce(F.col(quoted(series)).isin(hot), F.lit(False))
+            clean = clean.where(~often).unionByName(dedupe_by_key(clean.where(often), keys, value))
+        clean = clean.repartition(parts, quoted(series))
     return dedupe_by_key(clean, (series, year, period), value)
 
 

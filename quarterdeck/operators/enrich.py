@@ -143,17 +143,19 @@ def label_facts(
     key: str | Sequence[str] = "series_id",
     title: str = "series_title",
     title_of: Sequence[str] | None = None,
+    trimmed: bool = False,
 ) -> DataFrame:
     """Facts with the codes of their series, the text of every code, and a title made of
     the labels ``title_of`` (by default every text column, in the order of the lookups).
 
     Facts of an unknown series stay, with null codes and labels and an empty title. Every fact
-    comes out once: series that differ in their padding only are one, see `unique_codes`.
+    comes out once: series that differ in their padding only are one, see `unique_codes`. ``trimmed``
+    says that the facts' keys are trimmed already; facts dealt out by them then stay where they are.
     """
     names = columns_of(key)
     added = [c for c in series.columns if c not in names]
     out = (
-        trim_text(facts, names)
+        (facts if trimmed else trim_text(facts, names))
         .join(unique_codes(trim_text(series, [*names, *added]), names), names, "left")
         .select(*facts.columns, *added)
     )

@@ -32,6 +32,7 @@ from quarterdeck.operators import (
     rule_metrics,
 )
 from quarterdeck.operators.quality import METRICS_SCHEMA
+from quarterdeck.plans.sql_twins import by_series
 from quarterdeck.sinks import ensure_schema, publish
 from quarterdeck.sources import (
     explode_records,
@@ -39,7 +40,7 @@ from quarterdeck.sources import (
     read_documents,
     read_table,
 )
-from quarterdeck.workspace import Settings
+from quarterdeck.workspace import Settings, parts_for
 
 # The published file names of the productivity series, and the record field
 # names of the population documents.
@@ -162,10 +163,12 @@ class Flow:
             Lookup(self._read("bronze", f"raw_{name}"), code, text)
             for name, (code, text) in LABELS.items()
         ]
+        raw = self._read("bronze", "raw_data")
+        facts = clean_facts(raw, parts=parts_for(raw.count()))
         return self._write(
             "silver",
             "facts",
-            label_facts(clean_facts(self._read("bronze", "raw_data")), series, lookups),
+            label_facts(facts, series, lookups, trimmed=True),
             "Typed, unique facts with the labels of their series",
             sort_by=("series_id", "year", "period"),
         )
@@ -200,7 +203,7 @@ class Flow:
         return self._write(
             "gold",
             "best_year",
-            best_year(self._read("silver", "facts")),
+            best_year(by_series(self._read("silver", "facts"))),
             "Best year per series; quarters, or the annual code where there are none; ties kept",
         )
 

@@ -208,3 +208,23 @@ def test_reference_years(spark):
     got = reference_years(records, {"nation": "US"})
     assert got.dtypes == [("year", "int"), ("population", "bigint")]
     assert sorted(tuple(r) for r in got.collect()) == [(2013, 5), (2014, 7)]
+
+
+def test_facts_dealt_out_by_series_are_the_same_and_meet_their_series_where_they_are(spark):
+    rows = [(f" S{i % 40 if i % 2 else 0} ", str(2000 + i % 5), f"Q0{i % 4 + 1}", str(i), "f") for i in range(2000)]
+    rows += [(None, "2000", "Q01", "1", "f"), (None, "2000", "Q01", "2", "f")]
+    raw = spark.createDataFrame(rows, "series_id string, year string, period string, value string, footnote string")
+    dealt = clean_facts(raw, parts=5)
+    assert sorted(map(repr, dealt.collect())) == sorted(map(repr, clean_facts(raw).collect()))
+    assert "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString()
+    # S0 has half of the rows and is made unique before the rest is dealt out
+    assert dealt._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 2
+    series = spark.createDataFrame([("S1", "c1"), ("S2 ", "c2")], "series_id string, code string").hint("merge")
+    lookup = Lookup(spark.createDataFrame([("c1", "one")], "code string, text string").hint("broadcast"), "code", "text")
+    facts = clean_facts(raw, parts=16)
+    labelled = label_facts(facts, series, [lookup], trimmed=True)
+    text = labelled._jdf.queryExecution().executedPlan().toString()
+    again = label_facts(facts, series, [lookup])._jdf.queryExecution().executedPlan().toString()
+    # the series come to the facts' 16 parts; facts trimmed once more would be dealt out again
+    assert "SortMergeJoin" in text and "16), ENSURE_REQUIREMENTS" in text and "16), ENSURE_REQUIREMENTS" not in again
+    assert sorted(map(repr, labelled.collect())) == sorted(map(repr, label_facts(clean_facts(raw), series, [lookup]).collect()))
