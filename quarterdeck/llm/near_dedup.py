@@ -1,14 +1,16 @@
 """Near duplicates by an LSH forest of MinHash signatures, confirmed on whole shingle sets.
 
-1. Every text becomes its shingle set's digest, ``TREES * DEPTH`` MinHash values and a finer sketch.
-   Texts with the same set are one class from here on. Most classes share no region (below) with
-   another; that is told from the regions' numbers alone, and neither values nor sketches of theirs travel.
+1. Every text becomes its shingle set's digest and the numbers of its regions (below), from
+   ``TREES * DEPTH`` MinHash values. Texts with the same set are one class from here on. Most classes
+   share no region with another. A Bloom filter of the shared ones tells them apart in the task; only of
+   the rest are values and a finer sketch made and kept, from their texts once more.
 2. Each tree sorts the classes by its own ``DEPTH`` values. A class's first candidates are its neighbours
    in that order, which have the longest prefixes in common with it. Classes that share no prefix of
    three values with another are in no region of the tree and drop out of it; a crowded region is
    dealt out by deeper prefixes, as deep as it takes.
 3. Signatures rule out candidates far below the threshold; the rest are compared on their texts' full
-   shingle sets, and the links that hold make connected components.
+   shingle sets, and the links that hold make connected components. Their texts are picked out by a
+   Bloom filter too, so that on any input few others travel.
 4. Neighbours join a group whose members are alike; a group of near copies need not be, such as copies
    that are near one original only. So in every region that still holds several components, the
    classes of different ones are compared by sketch, block against block, once for all regions that
@@ -18,15 +20,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from quarterdeck.llm.components import components, small_or_whole
+from quarterdeck.llm.components import components
+from quarterdeck.llm.line_dedup import SEGMENT, _has, _probes, _set
 from quarterdeck.llm.shingles import digest, minhashes, mix, shingle_sets
 from quarterdeck.workspace import written
 
@@ -43,9 +47,9 @@ REGION = 512
 LEADERS = 1
 # Bins of the sketch by which blocks are compared.
 BINS = 512
-# Digests (16 bytes each) up to which the texts to compare, and keys (8 bytes each) up to which the classes
-# that share regions, are picked out by a broadcast; beyond, by a shuffle of all.
-WANTED_ROWS = 1_000_000
+# Bits of a filter: these for each key, in a power of two, within these bounds (16 MB at most). A fuller filter
+# lets more rows through; what it lets through wrongly meets nothing later.
+BITS_PER_KEY, LEAST_BITS, MOST_BITS = 24, 1 << 18, 1 << 27
 # Standard errors of the signature's estimate that a candidate may be below the threshold.
 SLACK = 4.5
 # Texts at a time, by characters; texts that one text is compared with in one chunk, on average.
@@ -64,6 +68,26 @@ def _blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
         i = j
 
 
+def _classed(k: int, text: str):
+    def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("_row").field(text).to_pylist()
+            for i, j in _blocks(texts):
+                sets = shingle_sets(texts[i:j], k)
+                full = [s for s in sets if len(s)]
+                at = iter(regions(minhashes(full, TREES * DEPTH).reshape(-1, TREES, DEPTH)) if full else ())
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "_row": batch.column("_row").slice(i, j - i),
+                        "n": pa.array([len(s) for s in sets], pa.int64()),
+                        "digest": pa.array([digest(s) if len(s) else None for s in sets], pa.binary()),
+                        "regions": pa.array([next(at) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                    }
+                )
+
+    return classed
+
+
 def _signed(k: int, text: str):
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,17 +128,81 @@ def regions(sig: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _with_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows with their signatures' regions instead of the signatures."""
-    for batch in batches:
-        sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(-1, TREES, DEPTH)
-        yield pa.RecordBatch.from_pydict(
-            {
-                "digest": batch.column("digest"),
-                "id": batch.column("id"),
-                "regions": pa.array(list(regions(sig)), pa.list_(pa.int64())),
-            }
-        )
+def _hashes(keys: pa.Array) -> np.ndarray:
+    """The 64 bits by which a filter knows a region or a digest; both are hashes themselves."""
+    if pa.types.is_binary(keys.type):
+        return np.frombuffer(b"".join(keys.to_pylist()), np.uint64)[::2]
+    return keys.to_numpy().view(np.uint64)
+
+
+def _fill(bits: int):
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = np.zeros(bits // 8, np.uint8)
+        for batch in batches:
+            _set(bitmap, _probes(_hashes(batch.column(0)), bits).ravel())
+        for i in range(0, len(bitmap), SEGMENT):
+            if bitmap[i : i + SEGMENT].any():
+                packed = zlib.compress(bitmap[i : i + SEGMENT].tobytes(), 1)
+                yield pa.RecordBatch.from_pydict({"segment": pa.array([i // SEGMENT], pa.int32()), "bits": [packed]})
+
+    return fill
+
+
+def _either(table: pa.Table) -> pa.Table:
+    """One segment of the filters of all tasks."""
+    joint = np.zeros(SEGMENT, np.uint8)
+    for packed in table.column("bits").to_pylist():
+        joint |= np.frombuffer(zlib.decompress(packed), np.uint8)
+    return pa.table({"segment": table.column("segment")[:1], "bits": pa.array([zlib.compress(joint.tobytes(), 1)], pa.binary())})
+
+
+def filter_of(keys: DataFrame) -> Broadcast:
+    """A Bloom filter of the one column of a written table, regions or digests, as compressed bytes."""
+    bits = min(MOST_BITS, 1 << (max(LEAST_BITS, BITS_PER_KEY * keys.count()) - 1).bit_length())
+    joint = np.zeros(bits // 8, np.uint8)
+    parts = keys.mapInArrow(_fill(bits), "segment int, bits binary").groupBy("segment")
+    for row in parts.applyInArrow(_either, "segment int, bits binary").collect():
+        at = row.segment * SEGMENT
+        joint[at : at + SEGMENT] = np.frombuffer(zlib.decompress(row.bits), np.uint8)
+    return keys.sparkSession.sparkContext.broadcast(zlib.compress(joint.tobytes(), 1))
+
+
+def _looked_up(held: Broadcast) -> Callable[[pa.Array], np.ndarray]:
+    """Which of some keys may be among those of a filter."""
+    bitmap = np.frombuffer(zlib.decompress(held.value), np.uint8)
+    return lambda keys: _has(bitmap, _probes(_hashes(keys), 8 * len(bitmap)))
+
+
+def _firsts(digests: pa.Array, among: np.ndarray) -> list[int]:
+    """The first row of each digest among some rows of a batch."""
+    seen: dict[bytes, int] = {}
+    for i in np.flatnonzero(among).tolist():
+        seen.setdefault(digests[i].as_py(), i)
+    return list(seen.values())
+
+
+def _nearby(k: int, shared: Broadcast):
+    def nearby(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Size, signature and sketch of each class of a batch that may share a region."""
+        has = _looked_up(shared)
+        for batch in batches:
+            maybe = has(batch.column("regions").flatten()).reshape(-1, TREES).any(axis=1)
+            texts = batch.column("text").take(pa.array(_firsts(batch.column("digest"), maybe), pa.int64()))
+            rows = pa.RecordBatch.from_arrays([pa.StructArray.from_arrays([texts], ["text"])], ["_row"])
+            for signed in _signed(k, "text")([rows]):
+                yield signed.select(["digest", "n", "sig", "sketch"])
+
+    return nearby
+
+
+def _picked(wanted: Broadcast):
+    def picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows whose digest may be wanted, one for each digest of a batch."""
+        has = _looked_up(wanted)
+        for batch in batches:
+            yield batch.take(pa.array(_firsts(batch.column("digest"), has(batch.column("digest"))), pa.int64()))
+
+    return picked
 
 
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,12 +291,10 @@ def _confirmed(k: int, percent: int):
     return confirmed
 
 
-def sharing(classes: DataFrame) -> DataFrame:
-    """(key) of the ``classes`` (digest, regions) that share a region with another class, as ``xxhash64`` of
-    their digests, which is half as long. Should two digests have one key, they stay or go together."""
-    each = classes.select(F.explode("regions").alias("region"), F.xxhash64("digest").alias("key"))
-    shared = written(each.groupBy("region").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("region"), "shared")
-    return written(each.join(shared, "region", "left_semi").select("key").distinct(), "sharing")
+def shared_regions(classes: DataFrame) -> DataFrame:
+    """(region) of the regions that several of the ``classes`` (digest, regions) have."""
+    each = classes.select(F.explode("regions").alias("region"))
+    return written(each.groupBy("region").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("region"), "shared")
 
 
 def placed(classes: DataFrame) -> DataFrame:
@@ -358,7 +444,12 @@ def link(pairs: DataFrame, signed: DataFrame, k: int, percent: int) -> DataFrame
     """The ``pairs`` (a, b) of digests whose full sets, from ``signed`` (digest, text), are linked."""
     wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct(), "wanted")
     # not written: they come dealt out by digest, as the join below wants them
-    texts = signed.join(small_or_whole(wanted, WANTED_ROWS), "digest").groupBy("digest").agg(F.min("text").alias("text"))
+    texts = (
+        signed.where("digest IS NOT NULL")
+        .mapInArrow(_picked(filter_of(wanted)), "digest binary, text string")
+        .groupBy("digest")
+        .agg(F.min("text").alias("text"))
+    )
     # a text that is in many pairs goes to each chunk of them once, not with every pair
     many = written(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")), "compared-with")
     part = F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / CHUNK))
@@ -400,24 +491,22 @@ def grouped(
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     row = packed.schema["_row"].dataType.simpleString()
     signed = written(
-        packed.mapInArrow(_signed(k, text), f"_row {row}, n long, digest binary, sig binary, sketch binary"), "signed"
+        packed.mapInArrow(_classed(k, text), f"_row {row}, n long, digest binary, regions array<bigint>"), "signed"
     )
     own = F.coalesce(F.col("_row")[doc_id].cast("long"), F.lit(NO_ID))
     classes = written(
         signed.where("n > 0")
-        .select("digest", own.alias("id"), "sig")
-        .mapInArrow(_with_regions, "digest binary, id long, regions array<bigint>")
+        .select("digest", own.alias("id"), "regions")
         .groupBy("digest")
         .agg(F.min("id").alias("id"), F.min("regions").alias("regions")),
         "classes",
     )
     near = written(
         signed.where("n > 0")
-        .select(F.xxhash64("digest").alias("key"), "digest", "sig", "sketch", "n")
-        .join(small_or_whole(sharing(classes), WANTED_ROWS), "key", "left_semi")
-        .groupBy("key", "digest")
-        .agg(F.min("sig").alias("sig"), F.min("sketch").alias("sketch"), F.min("n").alias("size"))
-        .drop("key"),
+        .select("digest", "regions", F.col("_row")[text].alias("text"))
+        .mapInArrow(_nearby(k, filter_of(shared_regions(classes))), "digest binary, n long, sig binary, sketch binary")
+        .groupBy("digest")
+        .agg(F.min("sig").alias("sig"), F.min("sketch").alias("sketch"), F.min("n").alias("size")),
         "near",
     )
     texts = signed.select("digest", F.col("_row")[text].alias("text"))

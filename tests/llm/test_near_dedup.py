@@ -2,9 +2,12 @@ from __future__ import annotations
 
 import random
 import re
+import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -212,6 +215,48 @@ def test_only_classes_that_share_a_region_are_placed_and_each_set_of_them_is_com
     assert seen["members"] >= 4 and seen["open"] == 1
 
 
+def test_values_and_sketches_are_written_for_classes_that_may_share_a_region_only(spark, monkeypatch):
+    """What is written of every text has its size, not the sizes of a signature and a sketch as well."""
+    rows, size = {}, {}
+
+    def written(df, name):
+        out = nd_written(df, name)
+        rows.setdefault(name, out.count())
+        size.setdefault(name, sum(Path(f.removeprefix("file:")).stat().st_size for f in out.inputFiles()))
+        return out
+
+    nd_written = nd.written
+    monkeypatch.setattr(nd, "written", written)
+    rng = random.Random(14)
+    docs = list(enumerate([t for _ in range(2000) for t in copies(rng, 0, words=20)] + 3 * copies(rng, 1, changes=1)))
+    assert report(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)) == brute(docs)
+    assert rows["near"] == 2
+    assert size["signed"] < 600 * len(docs)
+
+
+@pytest.mark.parametrize("keys", [100, 40_000])
+def test_a_filter_passes_every_key_and_few_others(spark, keys):
+    rng = np.random.default_rng(15)
+    names = [x.tobytes() for x in rng.integers(0, 2**64, (2 * keys, 2), dtype=np.uint64)]
+    wanted = nd.written(spark.createDataFrame([(bytearray(x),) for x in names[:keys]], "digest binary"), "wanted")
+    held = nd.filter_of(wanted)
+    batch = pa.RecordBatch.from_pydict({"digest": pa.array(names + names[:50], pa.binary()), "text": [str(i) for i in range(2 * keys + 50)]})
+    (got,) = nd._picked(held)([batch])
+    assert got.column("digest").to_pylist()[:keys] == names[:keys]
+    assert got.column("text").to_pylist()[:keys] == [str(i) for i in range(keys)]
+    assert got.num_rows <= 1.01 * keys
+    many = nd.written(spark.range(keys).select(F.xxhash64("id").alias("region")), "shared")
+    look = nd._looked_up(nd.filter_of(many))
+    assert look(pa.array([r.region for r in many.collect()], pa.int64())).all()
+
+
+def test_a_full_filter_loses_nothing(spark, monkeypatch):
+    monkeypatch.setattr(nd, "filter_of", lambda keys: spark.sparkContext.broadcast(zlib.compress(b"\xff" * nd.SEGMENT)))
+    rng = random.Random(16)
+    rows = list(enumerate(copies(rng, 60) + [t for _ in range(60) for t in copies(rng, 0)] + 2 * copies(rng, 2))) + [(500, None), (501, "")]
+    assert report(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
 def test_sketches_estimate_likeness():
     rng = np.random.default_rng(4)
     for size in (20, 400, 20_000):
