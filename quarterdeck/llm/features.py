@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Bytes of text that a task has as Python strings at a time, about.
+BLOCK = 1 << 21
 _BYTES = np.arange(256)
 _CLASSES = {
     "upper": (_BYTES >= 65) & (_BYTES <= 90),
@@ -43,6 +49,15 @@ def structure(text: str, words: list[str], counts: dict[str, int]) -> list[float
     ]
 
 
+def blocks(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Where runs of successive texts begin and end: those that begin in the same ``BLOCK`` bytes. A batch
+    has 10,000 rows of any length, so a task makes strings of a run of it at a time, not of all."""
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    run = (size.cumsum() - size) // BLOCK
+    bounds = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(size)]
+    return ((i, j) for i, j in zip(bounds, bounds[1:]) if i < j)
+
+
 def held_out(doc_id: str, folds: int, fold: int):
     """Whether a row belongs to the fold that is never learned from; null ids count as empty text."""
     as_text = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))

@@ -18,12 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterdeck.llm.boosting import fit_boosted, fit_isotonic
-from quarterdeck.llm.features import STRUCTURE, held_out, labelled, structure
+from quarterdeck.llm.features import STRUCTURE, blocks, held_out, labelled, structure
 
-# Labelled documents to learn from, about; entries of the learned lexicon; words remembered by a task.
+# Labelled documents to learn from, about; entries of the learned lexicon; words remembered by a task,
+# and keys that it counts before it hands the counts on.
 TRAIN_ROWS = 20_000
 LEXICON = 4_000
 REMEMBERED = 300_000
+COUNTED = 100_000
 
 # Common insults, and words that address the reader, in the four languages.
 INSULTS = frozenset(
@@ -88,21 +90,31 @@ def dense(text: str, kinds: Kinds) -> list[float]:
     ]
 
 
+def _counted(found: Counter) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(
+        {
+            "key": [k for k, _ in found],
+            "label": pa.array([v for _, v in found], pa.int32()),
+            "n": pa.array(list(found.values()), pa.int64()),
+        }
+    )
+
+
 def _holdings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In how many documents of this task each key is, by label."""
+    """In how many documents of this task each key is, by label; a key comes again after ``COUNTED`` others."""
+    found: Counter = Counter()
     for batch in batches:
-        found: Counter = Counter()
-        for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-            words = set(LETTERS.findall(text.lower()))
-            found.update((k, label) for k in {k for w in words for k in keys(w)})
-        if found:
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "key": [k for k, _ in found],
-                    "label": pa.array([v for _, v in found], pa.int32()),
-                    "n": pa.array(list(found.values()), pa.int64()),
-                }
-            )
+        texts, labels = batch.column("text"), batch.column("label")
+        for i, j in blocks(texts):
+            rows = zip(texts.slice(i, j - i).to_pylist(), labels.slice(i, j - i).to_pylist(), strict=True)
+            for text, label in rows:
+                words = set(LETTERS.findall(text.lower()))
+                found.update((k, label) for k in {k for w in words for k in keys(w)})
+                if len(found) >= COUNTED:
+                    yield _counted(found)
+                    found.clear()
+    if found:
+        yield _counted(found)
 
 
 def learn_lexicon(sample: DataFrame) -> tuple[frozenset[str], frozenset[str]]:
@@ -131,15 +143,17 @@ def _measure(model):
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = Kinds(*model.value)
         for batch in batches:
-            values = [dense(t or "", kinds) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch.column("doc_id"),
-                    "label": batch.column("label"),
-                    "part": batch.column("part"),
-                    "values": pa.array(values, pa.list_(pa.float64())),
-                }
-            )
+            texts = batch.column("text")
+            for i, j in blocks(texts):
+                values = [dense(t or "", kinds) for t in texts.slice(i, j - i).to_pylist()]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "doc_id": batch.column("doc_id").slice(i, j - i),
+                        "label": batch.column("label").slice(i, j - i),
+                        "part": batch.column("part").slice(i, j - i),
+                        "values": pa.array(values, pa.list_(pa.float64())),
+                    }
+                )
 
     return measure
 
@@ -180,27 +194,31 @@ def score_texts(texts: list[str | None], model: dict, kinds: Kinds) -> np.ndarra
     return np.interp(raw, *model["points"])
 
 
-def _scored(model):
+def _scored(model, text: str | None = None):
+    """Scores of the rows in ``_row``, from their column ``text``, or beside them from ``_text``."""
+
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = pickle.loads(model.value)
         kinds = Kinds(*own["lexicon"])
         for batch in batches:
-            score = score_texts(batch.column("_text").to_pylist(), own, kinds)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), pa.array(score, pa.float64())], names=["_row", "_score"]
-            )
+            rows = batch.column("_row")
+            texts = batch.column("_text") if text is None else rows.field(text)
+            for i, j in blocks(texts):
+                score = score_texts(texts.slice(i, j - i).to_pylist(), own, kinds)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.slice(i, j - i), pa.array(score, pa.float64())], names=["_row", "_score"]
+                )
 
     return scored
 
 
 def with_scores(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
-    """(``_row``, ``_score``): every row as a struct, and the probability that it is toxic."""
+    """(``_row``, ``_score``): every row as a struct, and the probability that it is toxic. Texts go to
+    the Python workers once, inside their rows."""
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
-    packed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text).alias("_text")
-    )
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     row = packed.schema["_row"].dataType.simpleString()
-    return packed.mapInArrow(_scored(shared), f"_row {row}, _score double")
+    return packed.mapInArrow(_scored(shared, text), f"_row {row}, _score double")
 
 
 def without_toxic(docs: DataFrame, model: dict, threshold: float = 0.3, text: str = "text") -> DataFrame:

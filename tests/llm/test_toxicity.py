@@ -1,13 +1,18 @@
 from __future__ import annotations
 
+import pickle
 import zlib
+from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from quarterdeck.llm import features
 from quarterdeck.llm import toxicity as tox
-from quarterdeck.llm.features import labelled
+from quarterdeck.llm.features import blocks, labelled
 from quarterdeck.llm.boosting import fit_boosted, fit_isotonic
 
 
@@ -79,3 +84,29 @@ def test_the_sample_is_bounded_by_rows(spark):
     every = labelled(docs, labels, "toxic", 4, 2, 10**9)
     assert every.where("doc_id = 1").select("text", "label").collect() == [("text 0", 1)]
     assert every.count() == every.select("doc_id").distinct().count()
+
+
+def test_a_task_takes_a_batch_in_runs_of_bounded_size(monkeypatch):
+    """A batch of texts of any length is scored run by run, and its texts are in it once, in their rows."""
+    monkeypatch.setattr(features, "BLOCK", 10_000)
+    texts = ["", "you idiot " * 300, None, "a b", "x" * 25_000, *["word " * 400] * 40, ""]
+    rows = pa.StructArray.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], names=["doc_id", "body"])
+    whole = pa.RecordBatch.from_arrays([pa.concat_arrays([rows, rows])], names=["_row"]).slice(len(rows))
+    model = {"lexicon": (frozenset(["idiot"]), frozenset()), "trees": None, "prior": 0.25}
+    got = list(tox._scored(SimpleNamespace(value=pickle.dumps(model)), "body")([whole]))
+    assert [r["_row"]["body"] for b in got for r in b.to_pylist()] == texts
+    assert len(got) > 9 and max(sum(len(r["_row"]["body"] or "") for r in b.to_pylist()[:-1]) for b in got) <= 10_000
+    assert list(blocks(pa.array([], pa.string()))) == [] and list(blocks(pa.array([None, ""], pa.string()))) == [(0, 2)]
+
+
+def test_counts_of_a_task_are_handed_on_in_parts(monkeypatch):
+    texts, labels = [f"word{chr(97 + i % 26) * 3}{chr(97 + i // 26)} all Other" for i in range(300)], [i % 2 for i in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(labels, pa.int32())], names=["text", "label"])
+    (one,) = tox._holdings([batch])
+    monkeypatch.setattr(tox, "COUNTED", 50)
+    parts = list(tox._holdings([batch]))
+    assert len(parts) > 5 and max(b.num_rows for b in parts) < 50 + 20
+    total: Counter = Counter()
+    for r in (r for b in parts for r in b.to_pylist()):
+        total[r["key"], r["label"]] += r["n"]
+    assert total == {(r["key"], r["label"]): r["n"] for r in one.to_pylist()}
